@@ -56,7 +56,10 @@ class SalesLake:
         return latest_snapshot(rows, "id") if self.latest_only else rows
 
     def orders_raw(self) -> DataFrame:
-        return self._table("bronze", "orders_raw", lambda: self.orders, (INGESTION,))
+        # A delivery has few dates, so its tasks can write them as they come.
+        return self._table(
+            "bronze", "orders_raw", lambda: self.orders, (INGESTION,), clustered=True
+        )
 
     def products_raw(self) -> DataFrame:
         return self.products
