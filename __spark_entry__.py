@@ -74,14 +74,6 @@ def landed(tables: SalesLake, source: str) -> str:
 _landed: set[str] = set()
 
 
-def latest_products(tables: SalesLake) -> DataFrame:
-    return landing.latest_snapshot(tables.products_raw(), "id")
-
-
-def latest_users(tables: SalesLake) -> DataFrame:
-    return landing.latest_snapshot(tables.users_raw(), "id")
-
-
 def dims(tables: SalesLake) -> dict[str, tuple[DataFrame, str]]:
     return {
         "dim_date": (tables.dim_date(), "date_id"),
@@ -144,11 +136,7 @@ def rebuild_zone(t: SalesLake) -> DataFrame:
 
 
 def publish_results(t: SalesLake) -> DataFrame:
-    path = t.scratch("publish_results")
-    found = results(t)
-    for run_id in ("run-1", "run-2"):
-        sinks.publish_results(found, report.report_long_format(found), path, run_id)
-    return sinks.read_latest_report(t.spark, path).fillna("", subset=["value"])
+    return report.publish_results(saved_results(t), t.scratch("publish_results"), "run-1")
 
 
 # --- composed operators -----------------------------------------------------------------
@@ -198,9 +186,12 @@ def null_only_on_convention(t: SalesLake) -> DataFrame:
     )
 
 
-def results(t: SalesLake) -> dict[str, DataFrame]:
-    """The twelve results, each as its own plan over the star schema."""
-    return {name: QUESTIONS[name](t) for name in report.QUERY_INDEX}
+def saved_results(t: SalesLake) -> dict[str, DataFrame]:
+    """The twelve results, each computed and saved once; the report reads the files."""
+    return {
+        name: t.saved("results", name, lambda ask=QUESTIONS[name]: ask(t))
+        for name in report.QUERY_INDEX
+    }
 
 
 QUESTIONS: dict[str, Callable[[SalesLake], DataFrame]] = {
@@ -257,13 +248,13 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
         t.orders_raw(), t.spellings.filter(F.col("standard") != "NATION_7")
     ),
     "quality_orphan_keys": lambda t: quality.quality_orphan_keys(
-        t.orders_raw(), latest_products(t), latest_users(t)
+        t.orders_raw(), t.products_raw(), t.users_raw()
     ),
     "quality_orphan_keys_all_snapshots": lambda t: quality.quality_orphan_keys(
-        t.orders_raw(), t.products_raw(), t.users_raw()
+        t.orders_raw(), t.products_raw(), t.users_raw(), latest_only=False
     ),
     "quality_inner_join_loss": lambda t: quality.quality_inner_join_loss(
-        t.orders_raw(), latest_products(t), latest_users(t)
+        t.orders_raw(), t.products_raw(), t.users_raw()
     ),
     "quality_multi_dated_keys": lambda t: quality.quality_multi_dated_keys(t.orders_raw()),
     "quality_null_rate": lambda t: quality.quality_null_rate(t.products_raw()),
@@ -322,20 +313,22 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "global_basket": lambda t: analytics.global_basket(t.fact_sales()),
     "identified_share": lambda t: analytics.identified_share(t.fact_sales()),
     # report
-    "report_long_format": lambda t: report.report_long_format(results(t)),
-    "report_summary": lambda t: report.report_summary(results(t)),
+    "report_long_format": lambda t: report.report_long_format(saved_results(t)),
+    "report_summary": lambda t: report.report_summary(saved_results(t)),
     "report_additivity_verdict": lambda t: report.report_additivity_verdict(
-        QUESTIONS["q3_additivity_check"](t)
+        saved_results(t)["q3_additivity_check"]
     ),
     "report_status_groups": lambda t: report.report_status_groups(
-        QUESTIONS["q2_rank_comparison"](t)
+        saved_results(t)["q2_rank_comparison"]
     ),
     "report_orphan_share": lambda t: report.report_orphan_share(
-        QUESTIONS["q6_orphan_population"](t)
+        saved_results(t)["q6_orphan_population"]
+    ),
+    "report_share_spread": lambda t: report.report_share_spread(
+        saved_results(t)["q1_by_country"]
     ),
-    "report_share_spread": lambda t: report.report_share_spread(QUESTIONS["q1_by_country"](t)),
     "report_mean_vs_median": lambda t: report.report_mean_vs_median(
-        QUESTIONS["q4_basket_by_country"](t)
+        saved_results(t)["q4_basket_by_country"]
     ),
 }
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 
 def money(total: Column) -> Column:
+    """Whole cents. Line amounts are whole cents, so a rounded sum is free of the noise that
+    the order of a floating-point sum leaves; shares and ratios are taken of rounded sums."""
     return F.round(total, 2)
 
 

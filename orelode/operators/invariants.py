@@ -129,7 +129,9 @@ def inv_convention_usage(fact: DataFrame) -> DataFrame:
         ),
         F.count_if(orphan).alias("orphan_rows"),
         money(F.sum(F.when(orphan, amount))).alias("orphan_revenue"),
-        percent(F.sum(F.when(orphan, amount).otherwise(0.0)), F.sum(amount)).alias("orphan_pct"),
+        percent(
+            money(F.sum(F.when(orphan, amount).otherwise(0.0))), money(F.sum(amount))
+        ).alias("orphan_pct"),
     )
 
 

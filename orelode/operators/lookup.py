@@ -36,9 +36,9 @@ def lookup(
         return joined.drop(right[right_key])
 
     values = [name for name in right.columns if name != right_key]
-    per_key = left.groupBy(F.col(left_key).alias("_hot_key")).agg(F.count("*").alias("_rows"))
-    limit = per_key.agg(F.sum("_rows") / HOT_PARTS).scalar()
-    hot = per_key.filter(F.col("_hot_key").isNotNull() & (F.col("_rows") > limit))
+    per_key = left.groupBy(F.col(left_key).alias("_hot_key")).agg(F.count("*").alias("_key_rows"))
+    limit = per_key.agg(F.sum("_key_rows") / HOT_PARTS).scalar()
+    hot = per_key.filter(F.col("_hot_key").isNotNull() & (F.col("_key_rows") > limit))
     hot = hot.join(right, F.col("_hot_key") == F.col(right_key), "left").select(
         "_hot_key", F.struct(*values).alias("_hot")
     )

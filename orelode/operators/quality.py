@@ -141,19 +141,29 @@ def _keyed_amounts(orders: DataFrame) -> DataFrame:
 
 
 def _matched_amounts(
-    orders: DataFrame, products: DataFrame, users: DataFrame, broadcast_rows: int
+    orders: DataFrame,
+    products: DataFrame,
+    users: DataFrame,
+    latest_only: bool,
+    broadcast_rows: int,
 ) -> DataFrame:
-    keyed = _keyed_amounts(orders)
-    keyed = with_matches(
-        keyed, products.select("id"), "product_id", "id", "products", broadcast_rows
-    )
-    return with_matches(keyed, users.select("id"), "customer_id", "id", "users", broadcast_rows)
+    """Keyed amounts with the number of catalog rows each key joins.
+
+    ``latest_only`` counts the snapshots of a catalog row as the one row they describe.
+    """
+    pairs = _keyed_amounts(orders)
+    for catalog, key, out in ((products, "product_id", "products"), (users, "customer_id", "users")):
+        pairs = with_matches(pairs, catalog.select("id"), key, "id", out, broadcast_rows)
+        if latest_only:
+            pairs = pairs.withColumn(out, F.least(F.col(out), F.lit(1)))
+    return pairs
 
 
 def quality_orphan_keys(
     orders: DataFrame,
     products: DataFrame,
     users: DataFrame,
+    latest_only: bool = True,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows and revenue whose keys are in no catalog, by left joins to both catalogs.
@@ -161,7 +171,7 @@ def quality_orphan_keys(
     Rows without a readable product id count in ``unresolved_product_rows`` and in
     ``orphan_product_revenue``; the other two product figures leave them out.
     """
-    pairs = _matched_amounts(orders, products, users, broadcast_rows)
+    pairs = _matched_amounts(orders, products, users, latest_only, broadcast_rows)
     repeats = F.greatest("products", F.lit(1)) * F.greatest("users", F.lit(1))
     rows = F.col("rows") * repeats
     amount = F.col("amount") * repeats
@@ -187,10 +197,11 @@ def quality_inner_join_loss(
     orders: DataFrame,
     products: DataFrame,
     users: DataFrame,
+    latest_only: bool = True,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows and revenue that inner joins to both catalogs would lose."""
-    pairs = _matched_amounts(orders, products, users, broadcast_rows)
+    pairs = _matched_amounts(orders, products, users, latest_only, broadcast_rows)
     repeats = F.col("products") * F.col("users")
     kept = F.when(repeats > 0, F.col("amount") * repeats)
     return pairs.agg(

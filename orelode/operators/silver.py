@@ -66,7 +66,10 @@ def silver_typed(deduplicated: DataFrame, date_formats: Sequence[str] = ()) -> D
 
 
 def silver_standardise(
-    rows: DataFrame, spellings: DataFrame, column: str = "country", broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame,
+    spellings: DataFrame,
+    column: str = "country",
+    broadcast_rows: int = BROADCAST_ROWS // 10,
 ) -> DataFrame:
     """Replace a column by its standard name; a spelling not on the list gives NULL."""
     names = spellings.groupBy("spelling").agg(F.min("standard").alias("standard"))
@@ -124,8 +127,8 @@ def silver_orders(
         stamp.cast("date").alias("invoice_date"),
         "invoice_timestamp",
         "source_ingestion_date",
-        F.date_format(stamp, "yyyy").alias("year"),
-        F.date_format(stamp, "MM").alias("month"),
+        F.lpad(F.year(stamp).cast("string"), 4, "0").alias("year"),
+        F.lpad(F.month(stamp).cast("string"), 2, "0").alias("month"),
     )
 
 

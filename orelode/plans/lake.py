@@ -39,7 +39,7 @@ class SalesLake:
     broadcast_rows: int = BROADCAST_ROWS
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
-    def _table(
+    def saved(
         self,
         zone: str,
         name: str,
@@ -47,6 +47,7 @@ class SalesLake:
         by: Sequence[str] = (),
         clustered: bool = False,
     ) -> DataFrame:
+        """The table of this name, written when it is first asked for."""
         if name not in self._tables:
             path = f"{self.root}/{zone}/{name}"
             self._tables[name] = rebuild_zone(build(), path, by, clustered)
@@ -57,7 +58,7 @@ class SalesLake:
 
     def orders_raw(self) -> DataFrame:
         # A delivery has few dates, so its tasks can write them as they come.
-        return self._table(
+        return self.saved(
             "bronze", "orders_raw", lambda: self.orders, (INGESTION,), clustered=True
         )
 
@@ -68,7 +69,7 @@ class SalesLake:
         return self.users
 
     def orders_clean(self) -> DataFrame:
-        return self._table(
+        return self.saved(
             "silver",
             "orders_clean",
             lambda: silver.silver_orders(self.orders_raw(), self.spellings, self.date_formats),
@@ -76,30 +77,30 @@ class SalesLake:
         )
 
     def products_clean(self) -> DataFrame:
-        return self._table(
+        return self.saved(
             "silver",
             "products_clean",
             lambda: silver.silver_products(self._catalog(self.products_raw())),
         )
 
     def users_clean(self) -> DataFrame:
-        return self._table(
+        return self.saved(
             "silver",
             "users_clean",
             lambda: silver.silver_users(self._catalog(self.users_raw())),
         )
 
     def dim_date(self) -> DataFrame:
-        return self._table("gold", "dim_date", lambda: gold.dim_date(self.orders_clean()))
+        return self.saved("gold", "dim_date", lambda: gold.dim_date(self.orders_clean()))
 
     def dim_product(self) -> DataFrame:
-        return self._table("gold", "dim_product", lambda: gold.dim_product(self.products_clean()))
+        return self.saved("gold", "dim_product", lambda: gold.dim_product(self.products_clean()))
 
     def dim_customer(self) -> DataFrame:
-        return self._table("gold", "dim_customer", lambda: gold.dim_customer(self.users_clean()))
+        return self.saved("gold", "dim_customer", lambda: gold.dim_customer(self.users_clean()))
 
     def fact_sales(self) -> DataFrame:
-        return self._table(
+        return self.saved(
             "gold",
             "fact_sales",
             lambda: gold.fact_sales(

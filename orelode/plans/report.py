@@ -93,6 +93,29 @@ def report_long_format(results: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def publish_results(results: Mapping[str, DataFrame], path: str, run_id: str) -> DataFrame:
+    """Keep one history folder per run, replace the ``latest`` folder, return the long form.
+
+    Each result is computed once, for its history file; the latest copy and the long form
+    are made from the files. Results go out as JSON lines, the long form as CSV.
+    """
+    saved = {}
+    for name, result in results.items():
+        folder = f"{path}/history/raw/{name}/run_id={run_id}"
+        result.write.mode("overwrite").json(folder)
+        saved[name] = result.sparkSession.read.schema(result.schema).json(folder)
+        saved[name].write.mode("overwrite").json(f"{path}/latest/raw/{name}")
+    long = report_long_format(saved)
+    for folder in (f"{path}/history/report/run_id={run_id}", f"{path}/latest/report"):
+        long.write.mode("overwrite").option("header", True).csv(folder)
+    return read_report(long.sparkSession, f"{path}/latest/report")
+
+
+def read_report(spark: SparkSession, folder: str) -> DataFrame:
+    columns = "question string, query string, line bigint, column string, value string"
+    return spark.read.schema(columns).option("header", True).csv(folder).fillna("", ["value"])
+
+
 def _facts(question: str, one_row: DataFrame, facts: Mapping[str, str]) -> DataFrame:
     kinds = dict(one_row.dtypes)
     cells = [plain_text(F.col(c), kinds[c]).alias(fact) for fact, c in facts.items()]

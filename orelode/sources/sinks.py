@@ -1,11 +1,10 @@
-"""Writers of layer tables and of published results."""
+"""Writers of layer tables."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def write_parquet(rows: DataFrame, path: str) -> DataFrame:
@@ -52,29 +51,3 @@ def rebuild_zone(
 def read_table(like: DataFrame, path: str) -> DataFrame:
     """Read with the written schema, so that partition values keep their type ('04')."""
     return like.sparkSession.read.schema(like.schema).parquet(path)
-
-
-def publish_results(results: Mapping[str, DataFrame], long: DataFrame, path: str, run_id: str) -> None:
-    """Keep one history folder per run and replace the ``latest`` folder.
-
-    Each result goes out as JSON lines, the long form of all of them as CSV.
-    """
-    for name, result in results.items():
-        _stamped(result, run_id).json(f"{path}/history/raw/{name}")
-        result.write.mode("overwrite").json(f"{path}/latest/raw/{name}")
-    _stamped(long, run_id).option("header", True).csv(f"{path}/history/report")
-    long.write.mode("overwrite").option("header", True).csv(f"{path}/latest/report")
-
-
-def read_latest_report(spark: SparkSession, path: str) -> DataFrame:
-    columns = "question string, query string, line bigint, column string, value string"
-    return spark.read.schema(columns).option("header", True).csv(f"{path}/latest/report")
-
-
-def _stamped(rows: DataFrame, run_id: str):
-    return (
-        rows.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-    )
