@@ -22,14 +22,14 @@ from orelode.sources import landing, scan, sinks
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 
-_lakes: dict[tuple[str, str], SalesLake] = {}
+_lakes: dict[tuple, SalesLake] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str) -> SalesLake:
-    """The lake over the tables of ``sf_dir``, built once per application and folder."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    """The lake over the tables of ``sf_dir``, built once per application and state of them."""
+    key = (spark.sparkContext.applicationId, sf_dir, *versions(sf_dir))
     if key not in _lakes:
-        folder = hashlib.sha256(key[1].encode()).hexdigest()[:16]
+        folder = hashlib.sha256(repr(key).encode()).hexdigest()[:16]
         _lakes[key] = SalesLake(
             spark,
             f"{application_folder(spark)}/{folder}",
@@ -41,6 +41,14 @@ def lake(spark: SparkSession, sf_dir: str) -> SalesLake:
     return _lakes[key]
 
 
+def versions(sf_dir: str) -> list[tuple[str, int, int]]:
+    """Size and time of the tables where they are local files; elsewhere they stay as they
+    are for as long as an application runs."""
+    paths = [f"{sf_dir}/{table}.parquet" for table in delivery.TABLES]
+    states = [(path, os.stat(path)) for path in paths if os.path.exists(path)]
+    return [(path, state.st_size, state.st_mtime_ns) for path, state in states]
+
+
 def plain(rows: DataFrame) -> DataFrame:
     """Dates, timestamps and arrays as text, which every engine hands over alike."""
     columns = []

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orelode.schemas import INGESTION
 
+TABLES = ["lineitem", "orders", "part", "customer", "nation"]
 FIRST_DATE = "2026-01-01"
 SECOND_DATE = "2026-01-02"
 # Added to a key to make one that is in no catalog at any size of the tables.
