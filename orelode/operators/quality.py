@@ -130,16 +130,6 @@ def quality_mapping_coverage(orders: DataFrame, spellings: DataFrame) -> DataFra
     )
 
 
-def _keyed_amounts(orders: DataFrame) -> DataFrame:
-    """Rows and amount per (product, customer) pair, so that copies never travel."""
-    amount = safe_integer(F.col("quantity")) * price()
-    return orders.groupBy(
-        safe_integer(F.col("productid")).alias("product_id"),
-        safe_integer(F.col("customerid")).alias("customer_id"),
-        (F.col("customerid") == "").alias("customer_absent"),
-    ).agg(F.count("*").alias("rows"), F.sum(amount).alias("amount"))
-
-
 def _matched_amounts(
     orders: DataFrame,
     products: DataFrame,
@@ -147,16 +137,31 @@ def _matched_amounts(
     latest_only: bool,
     broadcast_rows: int,
 ) -> DataFrame:
-    """Keyed amounts with the number of catalog rows each key joins.
+    """Amounts with the number of catalog rows their keys join, as (rows, amount, ...).
 
     ``latest_only`` counts the snapshots of a catalog row as the one row they describe.
+    Small catalogs are broadcast and no row travels. For the others rows are first reduced
+    to one per pair of keys, so that copies of a row do not travel together.
     """
-    pairs = _keyed_amounts(orders)
+    bounds = {"products": products.count(), "users": users.count()}
+    amount = safe_integer(F.col("quantity")) * price()
+    keyed = orders.select(
+        safe_integer(F.col("productid")).alias("product_id"),
+        safe_integer(F.col("customerid")).alias("customer_id"),
+        (F.col("customerid") == "").alias("customer_absent"),
+        F.lit(1).cast("bigint").alias("rows"),
+        amount.alias("amount"),
+    )
+    if max(bounds.values()) > broadcast_rows:
+        keyed = keyed.groupBy("product_id", "customer_id", "customer_absent").agg(
+            F.sum("rows").alias("rows"), F.sum("amount").alias("amount")
+        )
     for catalog, key, out in ((products, "product_id", "products"), (users, "customer_id", "users")):
-        pairs = with_matches(pairs, catalog.select("id"), key, "id", out, broadcast_rows)
+        ids = catalog.select("id")
+        keyed = with_matches(keyed, ids, key, "id", out, broadcast_rows, bounds[out])
         if latest_only:
-            pairs = pairs.withColumn(out, F.least(F.col(out), F.lit(1)))
-    return pairs
+            keyed = keyed.withColumn(out, F.least(F.col(out), F.lit(1)))
+    return keyed
 
 
 def quality_orphan_keys(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orelode.operators.lookup import lookup
 from orelode.schemas import INGESTION
 
 TABLES = ["lineitem", "orders", "part", "customer", "nation"]
@@ -47,18 +48,25 @@ def redelivered(rows: DataFrame, condition: str, **changed: str) -> DataFrame:
 
 
 def orders_delivery(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines as text; one product in forty is delivered again a day later."""
-    customers = (
-        read(spark, folder, "customer")
-        .join(read(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
-        .select("c_custkey", "n_name")
+    """Order lines as text; one product in forty is delivered again a day later.
+
+    Prices and countries are looked up before the lines meet their orders: a product or a
+    customer may hold a large share of the rows, an order is only as long as its lines.
+    """
+    customer = read(spark, folder, "customer")
+    nations = read(spark, folder, "nation").select("n_nationkey", "n_name")
+    countries = lookup(customer, nations, "c_nationkey", "n_nationkey").select(
+        "c_custkey", "n_name"
     )
-    lines = (
-        spread_small(read(spark, folder, "lineitem"))
-        .join(read(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
-        .join(read(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
-        .join(customers, F.expr("o_custkey = c_custkey"))
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    orders = lookup(orders, countries, "o_custkey", "c_custkey", customer.count())
+    lines = spread_small(read(spark, folder, "lineitem"))
+    lines = lines.select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
     )
+    prices = read(spark, folder, "part").select("p_partkey", "p_retailprice")
+    lines = lookup(lines, prices, "l_partkey", "p_partkey").filter("p_retailprice IS NOT NULL")
+    lines = lines.join(orders.filter("n_name IS NOT NULL"), F.expr("l_orderkey = o_orderkey"))
     rows = lines.selectExpr(
         "concat(if(l_returnflag = 'R', 'C', ''), l_orderkey % 5000) AS invoiceno",
         f"""cast(if(l_partkey % 53 = 0, l_partkey + {UNKNOWN_KEY_OFFSET}, l_partkey) AS string)
@@ -108,9 +116,9 @@ def products_delivery(spark: SparkSession, folder: str) -> DataFrame:
 
 def users_delivery(spark: SparkSession, folder: str) -> DataFrame:
     """The customers, nested; one in fifty comes again a year older."""
-    people = read(spark, folder, "customer").join(
-        read(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
-    )
+    nations = read(spark, folder, "nation").select("n_nationkey", "n_name")
+    people = lookup(read(spark, folder, "customer"), nations, "c_nationkey", "n_nationkey")
+    people = people.filter("n_name IS NOT NULL")
     address = """named_struct(
         'address', concat(c_custkey % 900, ' {street}'), 'city', concat('City ', c_custkey % {cities}),
         'state', c_mktsegment, 'statecode', substr(c_mktsegment, 1, 2),

@@ -143,3 +143,12 @@ def test_fact_is_the_same_without_any_broadcast(spark, lake, tmp_path):
     assert rows(silver.silver_orphans_kept(*clean)) == rows(
         silver.silver_orphans_kept(*clean, broadcast_rows=0)
     )
+
+
+@pytest.mark.parametrize("latest_only", [True, False])
+def test_orphan_profiles_are_the_same_without_any_broadcast(lake, latest_only):
+    from orelode.operators import quality
+
+    raw = (lake.orders_raw(), lake.products_raw(), lake.users_raw(), latest_only)
+    for profile in (quality.quality_orphan_keys, quality.quality_inner_join_loss):
+        assert rows(profile(*raw)) == rows(profile(*raw, broadcast_rows=0))
