@@ -122,10 +122,8 @@ def discover_partitions(t: SalesLake) -> DataFrame:
 
 def write_partitioned_parquet(t: SalesLake) -> DataFrame:
     path = t.scratch("write_partitioned_parquet")
-    orders = t.orders_clean()
-    sinks.write_partitioned_parquet(orders, path)
-    one_year = orders.filter(F.col("year") == "1998")
-    rows = sinks.write_partitioned_parquet(one_year, path, refresh_only=True)
+    sinks.write_partitioned_parquet(t.orders_clean(), path)
+    rows = sinks.write_partitioned_parquet(t.orders_clean(), path, refresh_only=True)
     return rows.groupBy("year", "month").agg(
         F.count("*").alias("rows"), F.round(F.sum("line_amount"), 2).alias("revenue")
     )
@@ -137,14 +135,14 @@ def write_parquet(t: SalesLake) -> DataFrame:
 
 def rebuild_zone(t: SalesLake) -> DataFrame:
     path = t.scratch("rebuild_zone")
-    orders = t.orders_clean()
-    sinks.rebuild_zone(orders, path, ("year", "month"))
-    rows = sinks.rebuild_zone(orders.filter("is_return"), path, ("year", "month"))
+    sinks.rebuild_zone(t.orders_clean(), path, ("year", "month"))
+    rows = sinks.rebuild_zone(t.orders_clean(), path, ("year", "month"))
     return silver.silver_return_split(rows)
 
 
 def publish_results(t: SalesLake) -> DataFrame:
-    return report.publish_results(saved_results(t), t.scratch("publish_results"), "run-1")
+    published_results(t)
+    return report.read_report(t.spark, f"{t.root}/published/latest/report")
 
 
 # --- composed operators -----------------------------------------------------------------
@@ -194,13 +192,15 @@ def null_only_on_convention(t: SalesLake) -> DataFrame:
     )
 
 
-def saved_results(t: SalesLake) -> dict[str, DataFrame]:
-    """The twelve results, each computed and saved once; the report reads the files."""
-    return {
-        name: t.saved("results", name, lambda ask=QUESTIONS[name]: ask(t))
-        for name in report.QUERY_INDEX
-    }
+def published_results(t: SalesLake) -> dict[str, DataFrame]:
+    """The twelve results, published once; the report is made from the published files."""
+    if t.root not in _published:
+        live = {name: QUESTIONS[name](t) for name in report.QUERY_INDEX}
+        _published[t.root] = report.publish_results(live, f"{t.root}/published", "run-1")
+    return _published[t.root]
+
 
+_published: dict[str, dict[str, DataFrame]] = {}
 
 QUESTIONS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "q1_total": lambda t: analytics.q1_total(t.fact_sales(), t.dim_date()),
@@ -321,22 +321,22 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "global_basket": lambda t: analytics.global_basket(t.fact_sales()),
     "identified_share": lambda t: analytics.identified_share(t.fact_sales()),
     # report
-    "report_long_format": lambda t: report.report_long_format(saved_results(t)),
-    "report_summary": lambda t: report.report_summary(saved_results(t)),
+    "report_long_format": lambda t: report.report_long_format(published_results(t)),
+    "report_summary": lambda t: report.report_summary(published_results(t)),
     "report_additivity_verdict": lambda t: report.report_additivity_verdict(
-        saved_results(t)["q3_additivity_check"]
+        published_results(t)["q3_additivity_check"]
     ),
     "report_status_groups": lambda t: report.report_status_groups(
-        saved_results(t)["q2_rank_comparison"]
+        published_results(t)["q2_rank_comparison"]
     ),
     "report_orphan_share": lambda t: report.report_orphan_share(
-        saved_results(t)["q6_orphan_population"]
+        published_results(t)["q6_orphan_population"]
     ),
     "report_share_spread": lambda t: report.report_share_spread(
-        saved_results(t)["q1_by_country"]
+        published_results(t)["q1_by_country"]
     ),
     "report_mean_vs_median": lambda t: report.report_mean_vs_median(
-        saved_results(t)["q4_basket_by_country"]
+        published_results(t)["q4_basket_by_country"]
     ),
 }
 

@@ -81,13 +81,24 @@ def fact_resolve_product(
 
 
 def fact_resolve_customer(
-    rows: DataFrame, customers: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame,
+    customers: DataFrame,
+    broadcast_rows: int = BROADCAST_ROWS,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """NULL id: not recorded. Id not in the dimension: orphan. Otherwise the id itself."""
     natural = customers.filter(F.col("customer_type") == "Known").select(
         F.col("customer_id").alias("known_id")
     )
-    found = with_matches(rows, natural, "customer_id", "known_id", "_found", broadcast_rows)
+    found = with_matches(
+        rows,
+        natural,
+        "customer_id",
+        "known_id",
+        "_found",
+        broadcast_rows,
+        key_source=key_source,
+    )
     key = (
         F.when(F.col("customer_id").isNull(), F.lit(schemas.UNRECORDED_CUSTOMER).cast("bigint"))
         .when(F.col("_found") == 0, F.lit(schemas.ORPHAN_CUSTOMER).cast("bigint"))
@@ -129,7 +140,7 @@ def fact_sales(
     Its rows lie in time order, so they can be written by year and month as they are.
     """
     resolved = fact_resolve_product(orders_clean, products, broadcast_rows)
-    resolved = fact_resolve_customer(resolved, customers, broadcast_rows)
+    resolved = fact_resolve_customer(resolved, customers, broadcast_rows, orders_clean)
     return fact_surrogate_id(resolved, staging).select(
         "sale_id",
         "invoiceno",

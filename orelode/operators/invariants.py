@@ -46,10 +46,11 @@ def _with_dimensions(
     fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]], broadcast_rows: int
 ) -> DataFrame:
     """Per fact the number of matching rows in each dimension, in a column of its name."""
+    found = fact
     for name, (dim, key) in dims.items():
         rows = dim.select(F.col(key).alias("_dim_key"))
-        fact = with_matches(fact, rows, key, "_dim_key", name, broadcast_rows)
-    return fact
+        found = with_matches(found, rows, key, "_dim_key", name, broadcast_rows, key_source=fact)
+    return found
 
 
 def inv_no_fanout(

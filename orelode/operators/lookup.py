@@ -21,6 +21,7 @@ def lookup(
     right_key: str,
     right_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to ``right``, which has one row per key; every left row stays once.
 
@@ -29,6 +30,9 @@ def lookup(
     it is broadcast and ``left`` is not shuffled. Beyond that both sides are shuffled on
     the key, except that the left rows of hot keys take their values from a broadcast of
     the hot keys alone, and travel spread over SPREAD join keys that match nothing.
+
+    Keys are counted in ``key_source``, a frame with the same key column, when ``left`` is
+    the outcome of a costly plan. Which keys count as hot changes the work, not the result.
     """
     bound = right.count() if right_rows is None else right_rows
     if bound <= broadcast_rows:
@@ -36,7 +40,10 @@ def lookup(
         return joined.drop(right[right_key])
 
     values = [name for name in right.columns if name != right_key]
-    per_key = left.groupBy(F.col(left_key).alias("_hot_key")).agg(F.count("*").alias("_key_rows"))
+    counted = left if key_source is None else key_source
+    per_key = counted.groupBy(F.col(left_key).alias("_hot_key")).agg(
+        F.count("*").alias("_key_rows")
+    )
     limit = per_key.agg(F.sum("_key_rows") / HOT_PARTS).scalar()
     hot = per_key.filter(F.col("_hot_key").isNotNull() & (F.col("_key_rows") > limit))
     hot = hot.join(right, F.col("_hot_key") == F.col(right_key), "left").select(
@@ -71,6 +78,7 @@ def with_matches(
     out: str,
     broadcast_rows: int = BROADCAST_ROWS,
     right_rows: int | None = None,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the number of ``right`` rows that carry the key of each left row (0 if none).
 
@@ -83,5 +91,5 @@ def with_matches(
         .agg(F.count("*").alias(out))
     )
     bound = right.count() if right_rows is None else right_rows
-    found = lookup(left, matches, left_key, "_match_key", bound, broadcast_rows)
+    found = lookup(left, matches, left_key, "_match_key", bound, broadcast_rows, key_source)
     return found.withColumn(out, F.coalesce(F.col(out), F.lit(0)))

@@ -152,13 +152,14 @@ def _matched_amounts(
         F.lit(1).cast("bigint").alias("rows"),
         amount.alias("amount"),
     )
+    lines = keyed
     if max(bounds.values()) > broadcast_rows:
         keyed = keyed.groupBy("product_id", "customer_id", "customer_absent").agg(
             F.sum("rows").alias("rows"), F.sum("amount").alias("amount")
         )
     for catalog, key, out in ((products, "product_id", "products"), (users, "customer_id", "users")):
         ids = catalog.select("id")
-        keyed = with_matches(keyed, ids, key, "id", out, broadcast_rows, bounds[out])
+        keyed = with_matches(keyed, ids, key, "id", out, broadcast_rows, bounds[out], lines)
         if latest_only:
             keyed = keyed.withColumn(out, F.least(F.col(out), F.lit(1)))
     return keyed

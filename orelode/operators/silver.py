@@ -248,14 +248,15 @@ def silver_orphans_kept(
 ) -> DataFrame:
     """Rows and revenue with an unresolved key; cleaning must not have dropped them."""
     lines = orders_clean.select("product_id", "customer_id", "line_amount")
-    lines = with_matches(
-        lines, products_clean.select(F.col("product_id").alias("p")), "product_id", "p",
-        "products", broadcast_rows,
-    )
-    lines = with_matches(
-        lines, users_clean.select(F.col("customer_id").alias("u")), "customer_id", "u",
-        "users", broadcast_rows,
-    )
+    catalogs = {
+        "products": (products_clean, "product_id"),
+        "users": (users_clean, "customer_id"),
+    }
+    for name, (catalog, key) in catalogs.items():
+        ids = catalog.select(F.col(key).alias("_id"))
+        lines = with_matches(
+            lines, ids, key, "_id", name, broadcast_rows, key_source=orders_clean
+        )
     orphan = (F.col("products") == 0) | F.col("customer_id").isNull() | (F.col("users") == 0)
     repeats = F.greatest("products", F.lit(1)) * F.greatest("users", F.lit(1))
     return lines.agg(

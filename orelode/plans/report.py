@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,22 +94,30 @@ def report_long_format(results: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def publish_results(results: Mapping[str, DataFrame], path: str, run_id: str) -> DataFrame:
-    """Keep one history folder per run, replace the ``latest`` folder, return the long form.
+def publish_results(
+    results: Mapping[str, DataFrame], path: str, run_id: str, at_once: int = 4
+) -> dict[str, DataFrame]:
+    """Keep one history folder per run, replace the ``latest`` folder, return the results
+    as they were published.
 
     Each result is computed once, for its history file; the latest copy and the long form
-    are made from the files. Results go out as JSON lines, the long form as CSV.
+    are made from the files. Results go out as JSON lines, the long form as CSV. Results are
+    small and their jobs short, so a few of them are submitted at a time.
     """
-    saved = {}
-    for name, result in results.items():
+
+    def publish(name: str) -> DataFrame:
         folder = f"{path}/history/raw/{name}/run_id={run_id}"
-        result.write.mode("overwrite").json(folder)
-        saved[name] = result.sparkSession.read.schema(result.schema).json(folder)
-        saved[name].write.mode("overwrite").json(f"{path}/latest/raw/{name}")
-    long = report_long_format(saved)
+        results[name].write.mode("overwrite").json(folder)
+        saved = results[name].sparkSession.read.schema(results[name].schema).json(folder)
+        saved.write.mode("overwrite").json(f"{path}/latest/raw/{name}")
+        return saved
+
+    with ThreadPoolExecutor(at_once) as pool:
+        published = dict(zip(results, pool.map(publish, results)))
+    long = report_long_format(published)
     for folder in (f"{path}/history/report/run_id={run_id}", f"{path}/latest/report"):
         long.write.mode("overwrite").option("header", True).csv(folder)
-    return read_report(long.sparkSession, f"{path}/latest/report")
+    return published
 
 
 def read_report(spark: SparkSession, folder: str) -> DataFrame:

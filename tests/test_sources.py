@@ -152,7 +152,9 @@ def test_publish_keeps_history_and_replaces_latest(spark, tmp_path):
                 "extra": spark.createDataFrame([(None,)], "note string")}
 
     report.publish_results(result(12345678.5), path, "run-1")
-    found = report.publish_results(result(20.0), path, "run-2")
+    published = report.publish_results(result(20.0), path, "run-2")
+    assert rows(published["q1_total"]) == [(20.0, 2)]
+    found = report.read_report(spark, f"{path}/latest/report")
     assert rows(found) == [
         ("Annex", "extra", 1, "note", ""),
         ("Q1", "q1_total", 1, "lines", "2"),
