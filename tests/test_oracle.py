@@ -57,4 +57,4 @@ def test_entry(spark):
         "revenue",
         "revenue_pct",
     ]
-    assert frame.count() == 5
+    assert frame.count() > 0
