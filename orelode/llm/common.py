@@ -121,3 +121,46 @@ def covered(starts: np.ndarray, width: int, length: int) -> np.ndarray:
     np.add.at(edges, starts, 1)
     np.add.at(edges, np.minimum(starts + width, length), -1)
     return np.cumsum(edges[:-1]) > 0
+
+
+def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """Groups of consecutive rows with equal values in the first columns.
+
+    Only one group is held at a time; its size is what the caller has bounded.
+    """
+    key, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)])
+        edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        starts = [0, *edges.tolist()]
+        for start, stop in zip(starts, [*starts[1:], batch.num_rows]):
+            here = tuple(keys[:, start].tolist())
+            if here != key and parts:
+                yield key, pa.Table.from_batches(parts)
+                parts = []
+            key = here
+            parts.append(batch.slice(start, stop - start))
+    if parts:
+        yield key, pa.Table.from_batches(parts)
+
+
+class Forest:
+    """Disjoint sets over places 0..n-1."""
+
+    def __init__(self, size: int):
+        self.up = list(range(size))
+
+    def root(self, place: int) -> int:
+        up = self.up
+        while up[place] != place:
+            up[place] = up[up[place]]
+            place = up[place]
+        return place
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(a), self.root(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b

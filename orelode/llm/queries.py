@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.llm import credentials, langid, line_cleaning, pareto_mix, text_density
+from orelode.llm import (
+    credentials,
+    langid,
+    line_cleaning,
+    ngram_join,
+    pareto_mix,
+    text_density,
+)
 from orelode.llm.common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op6_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.find_credentials(table(spark, sf_dir, "documents"))
     return found.drop("found")
@@ -38,6 +49,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op6_credential_linking": op6_credential_linking,
     "op7_line_cleaning": op7_line_cleaning,
     "op8_language_id": op8_language_id,
