@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orelode.llm import (
     credentials,
+    debruijn,
     langid,
     line_cleaning,
     ngram_join,
@@ -22,6 +23,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeated_passages(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op6_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.find_credentials(table(spark, sf_dir, "documents"))
     return found.drop("found")
@@ -50,6 +55,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_substring_dedup": op3_substring_dedup,
     "op6_credential_linking": op6_credential_linking,
     "op7_line_cleaning": op7_line_cleaning,
     "op8_language_id": op8_language_id,
