@@ -126,7 +126,8 @@ def covered(starts: np.ndarray, width: int, length: int) -> np.ndarray:
 def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
     """Groups of consecutive rows with equal values in the first columns.
 
-    Only one group is held at a time; its size is what the caller has bounded.
+    Only one group is held at a time; its size is what the caller has bounded. Single rows
+    between others, which have nothing to be compared with, are left out.
     """
     key, parts = None, []
     for batch in batches:
@@ -136,6 +137,8 @@ def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple
         edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         starts = [0, *edges.tolist()]
         for start, stop in zip(starts, [*starts[1:], batch.num_rows]):
+            if stop - start == 1 and 0 < start and stop < batch.num_rows:
+                continue
             here = tuple(keys[:, start].tolist())
             if here != key and parts:
                 yield key, pa.Table.from_batches(parts)

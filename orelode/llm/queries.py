@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orelode.llm import (
     credentials,
     debruijn,
+    itq,
     langid,
     line_cleaning,
     ngram_join,
@@ -27,6 +28,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeated_passages(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.find_credentials(table(spark, sf_dir, "documents"))
     return found.drop("found")
@@ -56,6 +61,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op6_credential_linking": op6_credential_linking,
     "op7_line_cleaning": op7_line_cleaning,
     "op8_language_id": op8_language_id,
