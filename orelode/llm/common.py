@@ -39,7 +39,7 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        rows.write.parquet(path)
+        rows.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(rows.schema).parquet(path)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.llm import (
+    bm25_packing,
     credentials,
     debruijn,
     itq,
@@ -32,6 +34,11 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return bm25_packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer).drop("ids")
+
+
 def op6_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.find_credentials(table(spark, sf_dir, "documents"))
     return found.drop("found")
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_lexical_packing": op5_lexical_packing,
     "op6_credential_linking": op6_credential_linking,
     "op7_line_cleaning": op7_line_cleaning,
     "op8_language_id": op8_language_id,
