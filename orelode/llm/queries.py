@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orelode.llm import (
     bm25_packing,
+    crf_pii,
     credentials,
     debruijn,
     itq,
@@ -26,6 +27,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return crf_pii.find_personal_data(docs).drop("text", "masked")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeated_passages(table(spark, sf_dir, "documents")).drop("removed")
 
@@ -67,6 +73,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_personal_data": op2_personal_data,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_lexical_packing": op5_lexical_packing,
