@@ -85,6 +85,10 @@ def listed(spans: Column) -> Column:
     return F.array_join(parts, ",")
 
 
+def of_kind(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def order_keys(spans: Column) -> Column:
     """Spans with the fields that order them first."""
     return F.transform(
@@ -131,10 +135,7 @@ def find_credentials(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         "left",
     )
     spans = F.concat("_base", F.coalesce("_linked", F.array().cast(SPAN)))
-    counts = [
-        F.size(F.filter("_base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{name}")
-        for i, name in enumerate(BASE)
-    ]
+    counts = [of_kind(F.col("_base"), i).alias(f"n_{name}") for i, name in enumerate(BASE)]
     return result.select(
         F.col("_key").alias(key),
         *counts,
