@@ -192,7 +192,7 @@ def labelled_lines(count: int = 700, seed: int = 11) -> list[tuple[list[str], li
 
     def email() -> list[str]:
         name = pick([word(), f"{word()}.{number(2)}", f"{word()}_{word()}"]).lower()
-        host = f"{word()}{number(1)}".lower()
+        host = pick([f"{word()}{number(1)}", word()]).lower()
         return pick([[f"{name}@{host}.{word()}.com".lower()], [f"{name}@{host}.org"],
                      [name, "[at]", host, "[dot]", "com"], [name, "(at)", f"{host}.com"],
                      [name, "(at)", host, "(dot)", "net"], [f"{name}[at]{host}[dot]com"]])
@@ -272,7 +272,7 @@ def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(values - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def train_field(lines: list[tuple[list[str], list[str]]], decay: float = 1e-3) -> Field:
+def train_field(lines: list[tuple[list[str], list[str]]], decay: float = 2e-5) -> Field:
     """Maximises the likelihood of the tags by forward and backward sums over all lines at once."""
     known: dict = {}
     buckets = [token_buckets(tokens, known) for tokens, _ in lines]
