@@ -20,6 +20,8 @@ BITS = 64
 KEY_BITS = 16
 ROTATIONS = 3
 ROUNDS = 30
+#: Share of the sample, turned as far as a link allows, that has to agree in a table.
+LEAST_RECALL = 0.97
 #: Bound of the sample that rotations are learned from, in rows and in numbers.
 SAMPLE_ROWS = 8_192
 SAMPLE_NUMBERS = 4_000_000
@@ -36,24 +38,45 @@ def usable(embedding: Column, label: Column) -> Column:
     return F.coalesce(label.isNotNull() & embedding.isNotNull() & ~bad & some, F.lit(False))
 
 
-def learn_rotation(vectors: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """A projection onto rotated principal directions and, for each, its median.
+def learn_rotation(vectors: np.ndarray, seed: int, centred: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A projection onto rotated principal directions, and where each bit changes.
 
     The rotation alternates with the codes: for given codes it is the orthogonal map that brings
     the projections closest to them, which settles in codes with little quantisation error.
+    Centred codes are balanced: each bit changes at the median of the sample.
     """
     bits = min(BITS, vectors.shape[1])
-    middle = vectors.mean(axis=0)
-    _, directions = np.linalg.eigh(np.cov((vectors - middle).T).reshape(vectors.shape[1], -1))
+    shifted = vectors - vectors.mean(axis=0) if centred else vectors
+    _, directions = np.linalg.eigh(shifted.T @ shifted)
     directions = directions[:, ::-1][:, :bits]
-    flat = (vectors - middle) @ directions
+    flat = shifted @ directions
     rotation = np.linalg.qr(np.random.default_rng(seed).normal(size=(bits, bits)))[0]
     for _ in range(ROUNDS):
         codes = np.where(flat @ rotation > 0, 1.0, -1.0)
         left, _, right = np.linalg.svd(codes.T @ flat)
         rotation = (left @ right).T
     projection = directions @ rotation
-    return projection, np.median(vectors @ projection, axis=0)
+    return projection, np.median(vectors @ projection, axis=0) if centred else np.zeros(bits)
+
+
+def learn_rotations(vectors: np.ndarray, least: float) -> list:
+    """Centred rotations, or, where these would part near vectors, others through the origin.
+
+    Which to take is measured: each vector of the sample is turned in a random direction until
+    its cosine is ``least``, and has to agree with itself in a table. Planes through the origin
+    part two vectors in proportion to their angle, however crowded the sample is.
+    """
+    tried = vectors[:2_000]
+    turned = np.random.default_rng(9).normal(size=tried.shape)
+    turned -= (turned * tried).sum(axis=1, keepdims=True) * tried
+    turned /= np.maximum(np.sqrt((turned * turned).sum(axis=1, keepdims=True)), 1e-12)
+    turned = least * tried + np.sqrt(1 - least * least) * turned
+    for centred in (True, False):
+        rotations = [learn_rotation(vectors, seed, centred) for seed in range(ROTATIONS)]
+        met = (table_keys(tried, rotations) == table_keys(turned, rotations)).any(axis=1).mean()
+        if met >= LEAST_RECALL:
+            break
+    return rotations
 
 
 def table_keys(vectors: np.ndarray, rotations: list) -> np.ndarray:
@@ -204,7 +227,7 @@ def compared(nodes: DataFrame, width: int, total: int, least: float) -> DataFram
     sample = unit(sample.column(0), width) if sample.num_rows else np.eye(1, width)
     if len(sample) < 2:
         sample = np.concatenate([sample, -sample])
-    rotations = [learn_rotation(sample, seed) for seed in range(ROTATIONS)]
+    rotations = learn_rotations(sample, least)
 
     coded = nodes.mapInArrow(partial(key_rows, rotations=rotations, width=width), f"{NODE}, codes array<long>")
     coded = staged(coded, "codes")
