@@ -15,7 +15,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +38,18 @@ def powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
+def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least value in every run of ``width``: the leftmost of equal ones, so
+    that the choice depends on the run alone. Runs of doubled width are made of two halves."""
+    best, reach = np.arange(len(values)), 1
+    while reach < width:
+        shift = min(reach, width - reach)
+        left, right = best[:-shift], best[shift:]
+        best = np.where(values[right] < values[left], right, left)
+        reach += shift
+    return best
+
+
 def paths(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor, path hash, first window and number of windows of every path of a document."""
     count = len(words) - WINDOW + 1
@@ -46,9 +57,7 @@ def paths(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         none = np.empty(0, np.int64)
         return none.view(np.uint64), none.view(np.uint64), none, none
     runs = window_hashes(words, ANCHOR)
-    inside = sliding_window_view(runs, WINDOW - ANCHOR + 1)
-    # the leftmost of equal runs, so that the choice depends on the window alone
-    anchor = np.arange(count) + inside.argmin(axis=1)
+    anchor = leftmost_least(runs, WINDOW - ANCHOR + 1)
     starts = np.append(0, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1)
     lengths = np.diff(np.append(starts, count))
     with np.errstate(over="ignore"):

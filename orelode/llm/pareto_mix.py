@@ -61,7 +61,7 @@ def uniform(*columns: Column, seed: int = 0) -> Column:
 
 def pareto_rank(chance: Column, inclusion: Column) -> Column:
     """Odds of a uniform number divided by the odds of inclusion; small ranks are chosen."""
-    return F.when(inclusion > 0, (chance / (1 - chance)) / (inclusion / (1 - inclusion)))
+    return F.try_divide(chance / (1 - chance), F.try_divide(inclusion, 1 - inclusion))
 
 
 def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -100,9 +100,9 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     ranked = (
         groups.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
         .drop("_source", "weight")
-        .withColumn("_certain", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
+        .withColumn("_certain", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)))
         .withColumn("_wanted", F.col("target") - F.col("_certain") * F.col("source_size"))
-        .withColumn("_chance", F.col("_wanted") / F.col("source_size"))
+        .withColumn("_chance", F.coalesce(F.try_divide("_wanted", "source_size"), F.lit(0.0)))
         .withColumn("_rank", pareto_rank(uniform("_key", "_code"), F.col("_chance")))
     )
     # ranks lie in (0, inf); x / (1 + x) keeps their order and fits bins
