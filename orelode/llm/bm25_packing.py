@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import Cache, slices, staged
+from orelode.llm.common import once_in_worker, slices, staged
 
 WINDOW = 2048
 #: Closes every document.
@@ -26,16 +26,24 @@ TASK_TOKENS = 32_000_000
 QUERY_TERMS = 8
 K1, B = 1.2, 0.75
 
-#: A word of letters with marks behind it, which the tokenizer cuts in two at that place: its
-#: letters have one composed form each, and the marks hold no apostrophe of a contraction.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Texts of these characters have one composed form and one lower form for each character.
+PLAIN = re.compile(r"[\t\n\r -~¡¿«»À-ÿ]*")
+# Fixed value: how the tokenizer cuts such a text, after lowering it.
+PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
+
+#: Pieces whose ids a worker remembers.
+REMEMBERED = 800_000
+#: Texts that are tokenised together.
+TEXTS = 1_024
 
 
 class Ids:
-    """Ids of whole texts by a tokenizer that drops white space and lowers letters.
+    """Ids of whole texts, as the tokenizer gives them, with the ids of pieces remembered.
 
-    No piece reaches over white space, so the ids of a text are those of its words, which are
-    remembered. Texts that may hold a special token go through the tokenizer as a whole.
+    The tokenizer lowers letters, cuts a text into pieces by ``PIECE`` and drops white space;
+    the ids of a text are those of its pieces. New pieces go through the tokenizer in one call,
+    and their ids are told apart by the mark of a piece's end. Texts with characters outside of
+    ``PLAIN``, or that may hold a special token, go through it as a whole.
     """
 
     def __init__(self, path: str):
@@ -43,27 +51,44 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.end = np.array([END_ID], self.kind).tobytes()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts = Cache(self.direct, 400_000)
-        self.words = Cache(self.word, 400_000)
+        self.last = np.zeros(size, bool)
+        for piece, place in self.tokenizer.get_vocab().items():
+            self.last[place] = piece.endswith("</w>")
+        self.known: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def word(self, raw: bytes) -> bytes:
-        text = raw.decode("utf-8", "surrogatepass")
-        plain = PLAIN.fullmatch(text)
-        if not plain:
-            return self.direct(text)
-        return self.parts[plain[1].lower()] + (self.parts[plain[2]] if plain[2] else b"")
-
-    def of(self, text: str) -> bytes:
-        if any(special in text for special in self.specials):
-            return self.direct(text) + self.end
-        raw = text.encode("utf-8", "surrogatepass")
-        return b"".join(map(self.words.__getitem__, raw.split())) + self.end
+    def learn(self, pieces: set[str]) -> None:
+        """Remembers the ids of all pieces, and forgets others when there are too many."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list(pieces.difference(self.known))
+        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, self.kind)
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) == len(new):
+            raw, stops = ids.tobytes(), (stops * self.kind.itemsize).tolist()
+            self.known.update((piece, raw[a:b]) for piece, a, b in zip(new, [0, *stops], stops))
+        else:
+            self.known.update((piece, self.direct(piece)) for piece in new)
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        cut = [
+            PIECE.findall(text.lower())
+            if PLAIN.fullmatch(text) and not any(special in text for special in self.specials)
+            else None
+            for text in texts
+        ]
+        self.learn(set().union(*filter(None, cut)))
+        known = self.known.__getitem__
+        return [
+            (self.direct(text) if pieces is None else b"".join(map(known, pieces))) + self.end
+            for text, pieces in zip(texts, cut)
+        ]
 
 
 def signature(terms: np.ndarray) -> list[int]:
@@ -77,9 +102,9 @@ def signature(terms: np.ndarray) -> list[int]:
 
 
 def id_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    ids = Ids(path)
-    for part in slices(batches):
-        raw = [ids.of(text or "") for text in part.column(1).to_pylist()]
+    ids = once_in_worker(f"ids of {path}", lambda: Ids(path))
+    for part in slices(batches, TEXTS):
+        raw = ids.of([text or "" for text in part.column(1).to_pylist()])
         marks = [signature(np.unique(np.frombuffer(r, ids.kind))) for r in raw]
         yield pa.RecordBatch.from_arrays(
             [part.column(0), pa.array([len(r) // ids.kind.itemsize for r in raw], pa.int64()),
