@@ -33,8 +33,9 @@ PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-
 
 #: Pieces whose ids a worker remembers.
 REMEMBERED = 800_000
-#: Texts that are tokenised together.
+#: Texts, and new pieces, that are tokenised together.
 TEXTS = 1_024
+TOGETHER = 64
 
 
 class Ids:
@@ -68,7 +69,9 @@ class Ids:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(pieces.difference(self.known))
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, self.kind)
+        lines = [" ".join(new[i : i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(one.ids, self.kind) for one in found] or [np.empty(0, self.kind)])
         stops = np.flatnonzero(self.last[ids]) + 1
         if len(stops) == len(new):
             raw, stops = ids.tobytes(), (stops * self.kind.itemsize).tolist()
@@ -91,21 +94,18 @@ class Ids:
         ]
 
 
-def signature(terms: np.ndarray) -> list[int]:
-    """Two minima over hashes of the distinct terms; texts with common terms tend to share them."""
-    found = []
-    for odd in (0x9E3779B1, 0x85EBCA6B):
-        with np.errstate(over="ignore"):
-            codes = terms.astype(np.uint32) * np.uint32(odd)
-            found.append(int((codes ^ (codes >> np.uint32(15))).min()))
-    return found
+def signature(ids: np.ndarray, orders: list[np.ndarray]) -> list[int]:
+    """The first of the terms in each of two random orders of the vocabulary; texts with common
+    terms tend to share them."""
+    return [int(order[ids].min()) for order in orders]
 
 
 def id_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     ids = once_in_worker(f"ids of {path}", lambda: Ids(path))
+    orders = [np.random.default_rng(seed).permutation(len(ids.last)).astype(np.int32) for seed in (1, 2)]
     for part in slices(batches, TEXTS):
         raw = ids.of([text or "" for text in part.column(1).to_pylist()])
-        marks = [signature(np.unique(np.frombuffer(r, ids.kind))) for r in raw]
+        marks = [signature(np.frombuffer(r, ids.kind), orders) for r in raw]
         yield pa.RecordBatch.from_arrays(
             [part.column(0), pa.array([len(r) // ids.kind.itemsize for r in raw], pa.int64()),
              pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
@@ -119,7 +119,8 @@ def document_frequencies(batches: Iterator[pa.RecordBatch], kind: np.dtype, size
     counts = np.zeros(size, np.int64)
     for batch in batches:
         for raw in batch.column(0).to_pylist():
-            counts[np.unique(np.frombuffer(raw, kind))] += 1
+            # adds one to each distinct term: repeated places of an index are written once
+            counts[np.frombuffer(raw, kind)] += 1
     terms = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(counts[terms])], ["term", "docs"])
 
