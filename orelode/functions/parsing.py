@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 WHITE_SPACE = " \t\n\r\f\v"
 TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 INTEGER_SHAPE = r"^[+-]?[0-9]+$"
+NUMBER_SHAPE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# A number from here on is no amount; sums of smaller ones fit their decimals.
+TOO_LARGE = 1e15
 
 
 def safe_integer(text: Column, type_name: str = "bigint") -> Column:
@@ -18,9 +21,11 @@ def safe_integer(text: Column, type_name: str = "bigint") -> Column:
 
 
 def safe_double(text: Column) -> Column:
-    """Number, or NULL. NaN compares above everything in Spark, so it is read as NULL."""
-    value = text.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """Finite number written in digits, or NULL: the cast alone also reads NaN, infinities and
+    the suffixes of number literals (5d). Numbers from ``TOO_LARGE`` on are unreadable too."""
+    shown = F.btrim(text, F.lit(WHITE_SPACE))
+    value = F.when(shown.rlike(NUMBER_SHAPE), shown.try_cast("double"))
+    return F.when(F.abs(value) < TOO_LARGE, value)
 
 
 def safe_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:

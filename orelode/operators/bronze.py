@@ -55,12 +55,14 @@ def bronze_anomaly_counts(orders: DataFrame) -> DataFrame:
 def nested_projection(
     rows: DataFrame, key: str, fields: Mapping[str, str | Column], limit: int = 3
 ) -> DataFrame:
-    """First rows by key, with fields picked out of nested columns by path."""
+    """First rows by key, then by ingestion date, with fields picked out of nested columns by
+    path."""
     picked = [
         (F.col(path) if isinstance(path, str) else path).alias(name)
         for name, path in fields.items()
     ]
-    return rows.orderBy(key).limit(limit).select(key, *picked)
+    order = [key, *[name for name in (INGESTION,) if name in rows.columns]]
+    return rows.orderBy(*order).limit(limit).select(key, *picked)
 
 
 def products_sample(products: DataFrame, limit: int = 3) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelode import schemas
-from orelode.functions.measures import money, percent
+from orelode.functions.measures import CENTS, exact_sum, money, percent
 from orelode.operators.lookup import BROADCAST_ROWS, with_matches
 
 GRAIN = ("invoiceno", "product_id", "invoice_timestamp")
@@ -78,11 +78,16 @@ def inv_no_fanout(
     joined = lines.agg(
         F.count("*").alias("before_join"),
         F.coalesce(F.sum(times), F.lit(0)).alias("after_join"),
-        money(F.sum(F.when(times > 0, F.col("line_amount") * times))).alias("revenue_after_join"),
+        money(joined_revenue(times)).alias("revenue_after_join"),
     )
     return joined.withColumn("passed", F.col("before_join") == F.col("after_join"))
 
 
+def joined_revenue(times: Column) -> Column:
+    """Exact revenue of lines that a join would repeat so many times."""
+    return F.sum(F.when(times > 0, F.col("line_amount").cast(CENTS) * times))
+
+
 def inv_pk_unique(dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """I3: no dimension repeats its key."""
     checks = [
@@ -129,10 +134,10 @@ def inv_convention_usage(fact: DataFrame) -> DataFrame:
             "unrecorded_customer"
         ),
         F.count_if(orphan).alias("orphan_rows"),
-        money(F.sum(F.when(orphan, amount))).alias("orphan_revenue"),
-        percent(
-            money(F.sum(F.when(orphan, amount).otherwise(0.0))), money(F.sum(amount))
-        ).alias("orphan_pct"),
+        money(exact_sum(F.when(orphan, amount))).alias("orphan_revenue"),
+        percent(exact_sum(F.when(orphan, amount).otherwise(0.0)), exact_sum(amount)).alias(
+            "orphan_pct"
+        ),
     )
 
 
@@ -159,10 +164,10 @@ def demo_inner_join_cost(
     lines = fact.select("product_id", "customer_id", "line_amount")
     lines = _with_dimensions(lines, dims, broadcast_rows)
     times = F.col("products") * F.col("customers")
-    kept = F.coalesce(F.sum(F.when(times > 0, F.col("line_amount") * times)), F.lit(0.0))
+    kept = F.coalesce(joined_revenue(times), F.lit(0).cast(CENTS))
     return lines.agg(
         (F.count("*") - F.coalesce(F.sum(times), F.lit(0))).alias("lines_lost"),
-        money(F.sum("line_amount") - kept).alias("revenue_lost"),
+        money(exact_sum("line_amount") - kept).alias("revenue_lost"),
     )
 
 

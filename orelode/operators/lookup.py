@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side that is broadcast, in rows of a key and a few plain values: tens of MB.
+# Largest side that is broadcast: rows, and bytes of its texts and other columns of no fixed
+# width. A row takes a few tens of bytes beside these, so a broadcast stays under 100 MB.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_TEXT = 64_000_000
 # A key is hot when it has more than one part in HOT_PARTS of all rows, so that there are
 # fewer than HOT_PARTS hot keys whatever the data.
 HOT_PARTS = 1_000
@@ -25,9 +27,10 @@ def lookup(
 ) -> DataFrame:
     """Left join to ``right``, which has one row per key; every left row stays once.
 
-    The row count of ``right`` decides (for a written table it comes from the file
-    footers; pass an upper bound as ``right_rows`` to save it). Up to ``broadcast_rows``
-    it is broadcast and ``left`` is not shuffled. Beyond that both sides are shuffled on
+    The size of ``right`` decides: its rows, which are counted unless an upper bound is given as
+    ``right_rows``, and the bytes of its texts, if it has any. (The count of a whole written
+    table comes from the file footers, that of a filtered one from a scan.) Up to
+    ``broadcast_rows`` it is broadcast and ``left`` is not shuffled. Beyond that both sides are shuffled on
     the key, except that the left rows of hot keys take their values from a broadcast of
     the hot keys alone, and travel spread over SPREAD join keys that match nothing.
 
@@ -35,7 +38,7 @@ def lookup(
     the outcome of a costly plan. Which keys count as hot changes the work, not the result.
     """
     bound = right.count() if right_rows is None else right_rows
-    if bound <= broadcast_rows:
+    if bound <= broadcast_rows and text_bytes(right) <= BROADCAST_TEXT:
         joined = left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
         return joined.drop(right[right_key])
 
@@ -70,6 +73,16 @@ def lookup(
     )
 
 
+def text_bytes(rows: DataFrame) -> int:
+    """Bytes of the columns without a fixed width; no job where there is none."""
+    fixed = ("int", "bigint", "double", "date", "boolean", "smallint", "tinyint", "float")
+    wide = [name for name, kind in rows.dtypes if kind not in fixed]
+    if not wide:
+        return 0
+    sizes = [F.sum(F.octet_length(F.col(name).cast("string"))) for name in wide]
+    return sum(size or 0 for size in rows.agg(*sizes).first())
+
+
 def with_matches(
     left: DataFrame,
     right: DataFrame,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.functions.measures import money, percent
+from orelode.functions.measures import FINE, exact_sum, money, percent
 from orelode.functions.parsing import (
     is_return,
     safe_double,
@@ -144,7 +144,7 @@ def _matched_amounts(
     to one per pair of keys, so that copies of a row do not travel together.
     """
     bounds = {"products": products.count(), "users": users.count()}
-    amount = safe_integer(F.col("quantity")) * price()
+    amount = (safe_integer(F.col("quantity")) * price()).cast(FINE)
     keyed = orders.select(
         safe_integer(F.col("productid")).alias("product_id"),
         safe_integer(F.col("customerid")).alias("customer_id"),
@@ -259,5 +259,5 @@ def quality_silver_forecast(orders: DataFrame) -> DataFrame:
         F.count_if(dated).alias("after_r3"),
         F.count_if(priced).alias("after_r4"),
         F.count_if(kept).alias("silver"),
-        money(F.sum(F.when(kept, F.round(quantity * price(), 2)))).alias("revenue"),
+        money(exact_sum(F.when(kept, F.round(quantity * price(), 2)))).alias("revenue"),
     )

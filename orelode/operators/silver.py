@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.functions.measures import money
+from orelode.functions.measures import CENTS, exact_sum, money
 from orelode.functions.parsing import (
     is_return,
     safe_double,
@@ -25,6 +25,7 @@ KEEP_RULES = {
     "R5 quantity missing": "quantity IS NOT NULL",
 }
 DUPLICATE_RULE = "R1 exact duplicate"
+PLAIN_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
 def spelling_frame(spark: SparkSession, spellings: Mapping[str, str]) -> DataFrame:
@@ -40,10 +41,19 @@ def business_tuples(orders: DataFrame, columns: Sequence[str] = ORDERS_COLUMNS)
 def silver_dedup(orders: DataFrame, columns: Sequence[str] = ORDERS_COLUMNS) -> DataFrame:
     """One row per business tuple, with its latest ingestion date.
 
-    The date is compared as a date: an aggregate over text would need a sort of all rows
-    before the shuffle, a date is aggregated by hash.
+    The latest is the greatest text that was delivered. An aggregate over text would need a
+    sort of all rows before the shuffle, so numbers stand for the texts: the day for a plain
+    date, and for any other text its place in a sorted list of those, which is empty as a rule.
     """
-    latest = F.max(F.col(INGESTION).cast("date")).cast("string")
+    text = F.col(INGESTION)
+    day = F.when(text.rlike(PLAIN_DATE), F.unix_date(text.try_cast("date")))
+    others = orders.filter(text.isNotNull() & day.isNull())
+    others = others.agg(F.sort_array(F.collect_set(text)).alias("texts")).scalar()
+    place = F.max(F.when(day.isNull(), F.array_position(others, text))).cast("int")
+    latest = F.greatest(
+        F.date_from_unix_date(F.max(day)).cast("string"),
+        F.when(place > 0, F.try_element_at(others, place)),
+    )
     return orders.groupBy(*columns).agg(latest.alias("source_ingestion_date"))
 
 
@@ -203,7 +213,7 @@ def silver_users(users: DataFrame) -> DataFrame:
 def silver_totals(orders_clean: DataFrame) -> DataFrame:
     return orders_clean.agg(
         F.count("*").alias("rows"),
-        money(F.sum("line_amount")).alias("revenue"),
+        money(exact_sum("line_amount")).alias("revenue"),
         F.min("invoice_date").alias("first_day"),
         F.max("invoice_date").alias("last_day"),
     )
@@ -236,7 +246,7 @@ def silver_partition_counts(orders_clean: DataFrame) -> DataFrame:
 
 def silver_return_split(orders_clean: DataFrame) -> DataFrame:
     return orders_clean.groupBy("is_return").agg(
-        F.count("*").alias("rows"), money(F.sum("line_amount")).alias("revenue")
+        F.count("*").alias("rows"), money(exact_sum("line_amount")).alias("revenue")
     )
 
 
@@ -261,7 +271,9 @@ def silver_orphans_kept(
     repeats = F.greatest("products", F.lit(1)) * F.greatest("users", F.lit(1))
     return lines.agg(
         F.coalesce(F.sum(F.when(orphan, repeats)), F.lit(0)).alias("orphan_rows"),
-        money(F.sum(F.when(orphan, F.col("line_amount") * repeats))).alias("orphan_revenue"),
+        money(F.sum(F.when(orphan, F.col("line_amount").cast(CENTS) * repeats))).alias(
+            "orphan_revenue"
+        ),
     )
 
 

@@ -7,15 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orelode import schemas
-from orelode.functions.measures import money, percent, ratio
+from orelode.functions.measures import FINE, exact_sum, money, percent, ratio
 from orelode.operators.invariants import demo_inner_join_cost, no_customer, no_product
 from orelode.operators.lookup import BROADCAST_ROWS
 from orelode.operators.median import ACCURACY, lower_median
-from orelode.operators.numbering import number_rows, ranks
 
 TOP = 10
-# Up to this many products are ranked by a window in one task.
-WINDOW_ROWS = 1_000_000
 
 # Labels of the results.
 BOTH_TOP = "In both top 10"
@@ -52,11 +49,11 @@ def q1_total(fact: DataFrame, dim_date: DataFrame, months: int = 3) -> DataFrame
     returned = F.col("is_return")
     amount = F.col("line_amount")
     return _last_months(fact, dim_date, months).agg(
-        money(F.sum(amount)).alias("net_revenue"),
+        money(exact_sum(amount)).alias("net_revenue"),
         F.count("*").alias("lines"),
         F.count_distinct("invoiceno", "date_id").alias("orders"),
-        money(F.sum(F.when(~returned, amount).otherwise(0.0))).alias("gross_revenue"),
-        money(F.sum(F.when(returned, amount).otherwise(0.0))).alias("returns_impact"),
+        money(exact_sum(F.when(~returned, amount).otherwise(0.0))).alias("gross_revenue"),
+        money(exact_sum(F.when(returned, amount).otherwise(0.0))).alias("returns_impact"),
     )
 
 
@@ -65,107 +62,125 @@ def q1_by_country(fact: DataFrame, dim_date: DataFrame, months: int = 3) -> Data
     countries = (
         _last_months(fact, dim_date, months)
         .groupBy("country")
-        .agg(F.count("*").alias("lines"), money(F.sum("line_amount")).alias("revenue"))
+        .agg(F.count("*").alias("lines"), exact_sum("line_amount").alias("revenue"))
     )
     everything = F.sum("revenue").over(Window.partitionBy())
-    return countries.withColumn(
-        "revenue_share_pct", percent(F.col("revenue"), money(everything))
-    ).orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("country"))
+    shares = countries.withColumn("revenue_share_pct", percent(F.col("revenue"), everything))
+    ordered = shares.orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("country"))
+    return ordered.withColumn("revenue", money("revenue"))
 
 
 def product_measures(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Revenue, quantity and mean line price per real product."""
+    """Exact revenue, quantity and mean line price per real product, without its names."""
     measures = (
         fact.filter(~no_product())
         .groupBy("product_id")
         .agg(
-            money(F.sum("line_amount")).alias("revenue"),
+            exact_sum("line_amount").alias("revenue"),
             F.sum("quantity").alias("quantity"),
-            ratio(F.round(F.sum("unit_price"), 6), F.count("unit_price")).alias("avg_unit_price"),
+            ratio(
+                F.round(exact_sum("unit_price", FINE), 6), F.count("unit_price")
+            ).alias("avg_unit_price"),
         )
     )
-    return measures.join(dim_product.select("product_id", "title", "category"), "product_id")
+    return measures.join(dim_product.select("product_id"), "product_id", "left_semi")
+
+
+def named(products: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """A few products with their title and category: only theirs meet the wide columns."""
+    return F.broadcast(products).join(
+        dim_product.select("product_id", "title", "category"), "product_id"
+    )
 
 
 def q2_top_revenue(fact: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
     columns = ["product_id", "title", "category", "revenue", "quantity", "avg_unit_price"]
-    products = product_measures(fact, dim_product).select(*columns)
-    return products.orderBy(F.desc("revenue"), "product_id").limit(top)
+    order = [F.desc("revenue"), F.asc("product_id")]
+    products = product_measures(fact, dim_product).orderBy(*order).limit(top)
+    ordered = named(products, dim_product).orderBy(*order).limit(top)
+    return ordered.select(*columns).withColumn("revenue", money("revenue"))
 
 
 def q2_top_quantity(fact: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
     columns = ["product_id", "title", "category", "quantity", "revenue"]
-    products = product_measures(fact, dim_product).select(*columns)
-    return products.orderBy(F.desc("quantity"), "product_id").limit(top)
+    order = [F.desc("quantity"), F.asc("product_id")]
+    products = product_measures(fact, dim_product).orderBy(*order).limit(top)
+    ordered = named(products, dim_product).orderBy(*order).limit(top)
+    return ordered.select(*columns).withColumn("revenue", money("revenue"))
 
 
-def q2_rank_comparison(
-    fact: DataFrame,
-    dim_product: DataFrame,
-    staging: str,
-    top: int = TOP,
-    window_rows: int = WINDOW_ROWS,
-) -> DataFrame:
+def q2_rank_comparison(fact: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
     """Products in the top by revenue or by quantity, with both ranks (ties share one).
 
-    The row count of the dimension decides how to rank: few products go through plain
-    windows, more are numbered range by range and a rank is the least number of a value.
+    The best ``top`` products hold all values of a rank up to ``top``; the products with such a
+    value are the ones to show. Their ranks come from counting all products between the values
+    to be ranked, which is a partial aggregate; no window sees the products.
     """
-    columns = ["product_id", "title", "category", "revenue", "quantity"]
-    products = product_measures(fact, dim_product).select(*columns)
-    if dim_product.count() <= window_rows:
-        ranked = products.withColumns(
-            {
-                "revenue_rank": F.rank().over(Window.orderBy(F.desc("revenue"))),
-                "quantity_rank": F.rank().over(Window.orderBy(F.desc("quantity"))),
-            }
-        ).filter((F.col("revenue_rank") <= top) | (F.col("quantity_rank") <= top))
-    else:
-        ranked = _ranked_by_range(products, staging, top)
+    measures = product_measures(fact, dim_product).select("product_id", "revenue", "quantity")
+    shown = None
+    for value in ("revenue", "quantity"):
+        best = measures.orderBy(F.desc(value), "product_id").limit(top).select(value).distinct()
+        found = measures.join(F.broadcast(best), value, "left_semi").select(*measures.columns)
+        shown = found if shown is None else shown.unionByName(found)
+    shown = shown.distinct()
+    for value in ("revenue", "quantity"):
+        shown = with_rank(shown, measures, value)
     by_revenue = F.col("revenue_rank") <= top
     by_quantity = F.col("quantity_rank") <= top
+    ranked = shown.withColumn(
+        "top10_status",
+        F.when(by_revenue & by_quantity, BOTH_TOP)
+        .when(by_revenue, REVENUE_TOP)
+        .otherwise(QUANTITY_TOP),
+    ).withColumn("_group", F.when(by_revenue & by_quantity, 1).when(by_revenue, 2).otherwise(3))
+    names = dim_product.select("product_id", "title", "category")
+    columns = ["product_id", "title", "category", "revenue", "quantity"]
     return (
-        ranked.withColumn(
-            "top10_status",
-            F.when(by_revenue & by_quantity, BOTH_TOP)
-            .when(by_revenue, REVENUE_TOP)
-            .otherwise(QUANTITY_TOP),
-        )
-        .withColumn("_group", F.when(by_revenue & by_quantity, 1).when(by_revenue, 2).otherwise(3))
+        ranked.join(names, "product_id")
         .orderBy("_group", "revenue_rank", "quantity_rank", "product_id")
-        .drop("_group")
+        .select(*columns, "revenue_rank", "quantity_rank", "top10_status")
+        .withColumn("revenue", money("revenue"))
     )
 
 
-def _ranked_by_range(products: DataFrame, staging: str, top: int) -> DataFrame:
-    by_revenue = [F.col("revenue").desc(), F.col("product_id").asc()]
-    by_quantity = [F.col("quantity").desc(), F.col("product_id").asc()]
-    numbered = number_rows(products, by_revenue, "_revenue_no", f"{staging}/by_revenue")
-    numbered = number_rows(numbered, by_quantity, "_quantity_no", f"{staging}/by_quantity")
-    revenue_ranks = ranks(numbered, "revenue", "_revenue_no", "revenue_rank")
-    quantity_ranks = ranks(numbered, "quantity", "_quantity_no", "quantity_rank")
-    # Ranks up to ``top`` belong to at most ``top`` values, however many products tie.
-    top_revenues = revenue_ranks.filter(F.col("revenue_rank") <= top).select(
-        "revenue", F.lit(True).alias("_in_revenue")
+def with_rank(shown: DataFrame, measures: DataFrame, value: str) -> DataFrame:
+    """``shown`` with the RANK of its values of one measure among all products.
+
+    The values to rank, in falling order, cut the products into steps: a product's step is the
+    number of these values that are not below its own. A value is outranked by the products of
+    the steps up to its place. There are as many steps as values to rank.
+    """
+    cuts = shown.agg(F.sort_array(F.collect_set(value), asc=False).alias("cuts"))
+    step = F.size(F.filter("cuts", lambda cut: cut >= F.col(value)))
+    steps = beside(measures, cuts).groupBy(step.alias("step")).agg(F.count("*").alias("products"))
+    counts = steps.agg(
+        F.map_from_entries(F.collect_list(F.struct("step", "products"))).alias("counts")
     )
-    top_quantities = quantity_ranks.filter(F.col("quantity_rank") <= top).select(
-        "quantity", F.lit(True).alias("_in_quantity")
+    ranked = beside(beside(shown, cuts), counts)
+    above = F.aggregate(
+        F.sequence(F.lit(0), (F.array_position("cuts", F.col(value)) - 1).cast("int")),
+        F.lit(0).cast("bigint"),
+        lambda total, i: total + F.coalesce(F.try_element_at("counts", i), F.lit(0)),
     )
-    selected = (
-        numbered.drop("_revenue_no", "_quantity_no")
-        .join(F.broadcast(top_revenues), "revenue", "left")
-        .join(F.broadcast(top_quantities), "quantity", "left")
-        .filter(F.col("_in_revenue") | F.col("_in_quantity"))
-        .drop("_in_revenue", "_in_quantity")
+    return ranked.withColumn(f"{value}_rank", above + 1).drop("cuts", "counts")
+
+
+def beside(rows: DataFrame, one: DataFrame) -> DataFrame:
+    """Every row with the columns of a one-row table, by an equality that always holds."""
+    # Always 0, but not a literal: a literal would be folded out of the join keys.
+    zero = F.pmod(F.xxhash64(*rows.columns[:1]), F.lit(1))
+    other = one.withColumn("_other", F.pmod(F.xxhash64(F.size(one.columns[0])), F.lit(1)))
+    return (
+        rows.withColumn("_zero", zero)
+        .join(F.broadcast(other), F.col("_zero") == F.col("_other"))
+        .drop("_zero", "_other")
     )
-    ranked = selected.join(revenue_ranks, "revenue").join(quantity_ranks, "quantity")
-    return ranked.select(*products.columns, "revenue_rank", "quantity_rank")
 
 
 def _orders(fact: DataFrame) -> DataFrame:
     """One row per order, which is an invoice number on a day."""
     return fact.groupBy("invoiceno", "date_id").agg(
-        F.count("*").alias("lines"), F.sum("line_amount").alias("amount")
+        F.count("*").alias("lines"), exact_sum("line_amount").alias("amount")
     )
 
 
@@ -188,13 +203,14 @@ def q3_monthly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         )
     )
     monthly = invoices.groupBy(*months).agg(
-        money(F.sum("amount")).alias("revenue"),
+        F.sum("amount").alias("revenue"),
         F.sum("lines").alias("lines"),
         F.sum("orders").alias("orders"),
         F.count("invoiceno").alias("raw_invoices"),
     )
     basket = ratio(F.col("revenue"), F.col("orders"))
-    return monthly.withColumn("avg_basket", basket).orderBy("year", "month")
+    monthly = monthly.withColumns({"avg_basket": basket, "revenue": money("revenue")})
+    return monthly.orderBy("year", "month")
 
 
 def q3_additivity_check(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -228,40 +244,45 @@ def q4_basket_by_country(fact: DataFrame, exact: bool = True) -> DataFrame:
     saves the second look at the orders.
     """
     orders = fact.groupBy("invoiceno", "date_id", "country").agg(
-        money(F.sum("line_amount")).alias("amount"), F.sum("quantity").alias("items")
+        exact_sum("line_amount").alias("amount"), F.sum("quantity").alias("items")
     )
-    sketch = money(F.percentile_approx("amount", 0.5, ACCURACY)).alias("median_basket")
+    sketch = F.percentile_approx("amount", 0.5, ACCURACY).alias("median_basket")
     baskets = orders.groupBy("country").agg(
         F.count("*").alias("orders"),
-        money(F.sum("amount")).alias("revenue"),
-        ratio(money(F.sum("amount")), F.count("amount")).alias("avg_basket"),
+        F.sum("amount").alias("revenue"),
+        ratio(F.sum("amount"), F.count("amount")).alias("avg_basket"),
         *([] if exact else [sketch]),
         ratio(F.sum("items"), F.count("items")).alias("avg_items"),
     )
     if exact:
-        # One column of the fact says how many countries there are.
-        countries = fact.select("country").distinct().count()
-        medians = lower_median(orders, "country", "amount", "median_basket", countries)
+        # the median reads the same order rows, so that their shuffle is used again
+        medians = lower_median(orders, "country", "amount", "median_basket")
         medians = medians.withColumnRenamed("country", "_country")
         same = F.col("country").eqNullSafe(F.col("_country"))
         baskets = baskets.join(medians, same, "left").drop("_country")
+    baskets = baskets.withColumns(
+        {"revenue": money("revenue"), "median_basket": money("median_basket")}
+    )
     return baskets.select(
         "country", "orders", "revenue", "avg_basket", "median_basket", "avg_items"
     ).orderBy(F.desc_nulls_last("avg_basket"), F.asc_nulls_last("country"))
 
 
 def q5_top_customers(fact: DataFrame, dim_customer: DataFrame, top: int = 5) -> DataFrame:
-    """Known customers with the most revenue."""
+    """Known customers with the most revenue; only theirs meet names and addresses."""
     orders = (
         fact.filter(F.col("customer_id") > 0)
         .groupBy("customer_id", "invoiceno", "date_id")
-        .agg(F.sum("line_amount").alias("amount"), F.count("*").alias("lines"))
+        .agg(exact_sum("line_amount").alias("amount"), F.count("*").alias("lines"))
     )
     measures = orders.groupBy("customer_id").agg(
-        money(F.sum("amount")).alias("revenue"),
+        F.sum("amount").alias("revenue"),
         F.sum("lines").alias("lines"),
         F.count("invoiceno").alias("orders"),
     )
+    order = [F.desc("revenue"), F.asc("customer_id")]
+    known = measures.join(dim_customer.select("customer_id"), "customer_id", "left_semi")
+    best = known.orderBy(*order).limit(top)
     people = dim_customer.select(
         "customer_id",
         F.concat("firstname", F.lit(" "), "lastname").alias("customer"),
@@ -270,8 +291,8 @@ def q5_top_customers(fact: DataFrame, dim_customer: DataFrame, top: int = 5) ->
         F.col("company_name").alias("company"),
     )
     columns = [*people.columns, "revenue", "lines", "orders"]
-    ranked = measures.join(people, "customer_id").select(*columns)
-    return ranked.orderBy(F.desc("revenue"), "customer_id").limit(top)
+    ranked = F.broadcast(best).join(people, "customer_id").orderBy(*order).limit(top)
+    return ranked.select(*columns).withColumn("revenue", money("revenue"))
 
 
 def _population() -> Column:
@@ -290,18 +311,19 @@ def q6_orphan_population(fact: DataFrame) -> DataFrame:
     populations = fact.groupBy(_population().alias("population")).agg(
         F.count("*").alias("lines"),
         F.sum("quantity").alias("quantity"),
-        money(F.sum("line_amount")).alias("revenue"),
+        exact_sum("line_amount").alias("revenue"),
     )
     everything = Window.partitionBy()
-    revenue = money(F.sum("revenue").over(everything))
-    return populations.select(
+    shares = populations.select(
         "population",
         "lines",
         percent(F.col("lines"), F.sum("lines").over(everything)).alias("lines_pct"),
         "quantity",
         "revenue",
-        percent(F.col("revenue"), revenue).alias("revenue_pct"),
-    ).orderBy(F.desc("revenue"), "population")
+        percent(F.col("revenue"), F.sum("revenue").over(everything)).alias("revenue_pct"),
+    )
+    ordered = shares.orderBy(F.desc("revenue"), "population")
+    return ordered.withColumn("revenue", money("revenue"))
 
 
 def q6_orphan_impact(
@@ -342,7 +364,8 @@ def month_over_month(monthly: DataFrame, first_day: Column, last_day: Column) ->
 
     def change(name: str) -> Column:
         before = F.when(consecutive, F.lag(name).over(order))
-        return percent(money(F.col(name) - before), before).alias(f"{name}_change_pct")
+        gap = F.round(F.col(name) - before, 2)
+        return percent(gap, before).alias(f"{name}_change_pct")
 
     measures = ["revenue", "avg_basket", "orders"]
     return full.select("year", "month", *measures, *[change(name) for name in measures]).orderBy(
@@ -362,16 +385,17 @@ def global_basket(fact: DataFrame) -> DataFrame:
     """Mean order value next to the mean line value, which is something else."""
     return _orders(fact).agg(
         F.count("*").alias("orders"),
-        ratio(money(F.sum("amount")), F.count("amount")).alias("avg_basket"),
-        ratio(money(F.sum("amount")), F.sum("lines")).alias("avg_line"),
+        ratio(F.sum("amount"), F.count("amount")).alias("avg_basket"),
+        ratio(F.sum("amount"), F.sum("lines")).alias("avg_line"),
     )
 
 
 def identified_share(fact: DataFrame) -> DataFrame:
     """Share of revenue that carries a known customer."""
-    known = F.sum(F.when(F.col("customer_id") > 0, F.col("line_amount")))
+    known = exact_sum(F.when(F.col("customer_id") > 0, F.col("line_amount")))
+    everything = exact_sum("line_amount")
     return fact.agg(
         money(known).alias("identified_revenue"),
-        money(F.sum("line_amount")).alias("revenue"),
-        percent(money(known), money(F.sum("line_amount"))).alias("identified_pct"),
+        money(everything).alias("revenue"),
+        percent(known, everything).alias("identified_pct"),
     )

@@ -17,24 +17,12 @@ FIRST_DATE = "2026-01-01"
 SECOND_DATE = "2026-01-02"
 # Added to a key to make one that is in no catalog at any size of the tables.
 UNKNOWN_KEY_OFFSET = 9_000_000_000
-# Tables up to this many rows may lie in a single file that one task has to read.
-SMALL_TABLE_ROWS = 10_000_000
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def spread_small(rows: DataFrame) -> DataFrame:
-    """Deal the rows of a small table out to all cores; a big one is left as it lies.
-
-    The count comes from the file footers.
-    """
-    if rows.count() > SMALL_TABLE_ROWS:
-        return rows
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-
-
 def redelivered(rows: DataFrame, condition: str, **changed: str) -> DataFrame:
     """All rows on the first date, and those that meet the condition on a second one too."""
     dates = F.when(
@@ -60,7 +48,7 @@ def orders_delivery(spark: SparkSession, folder: str) -> DataFrame:
     )
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
     orders = lookup(orders, countries, "o_custkey", "c_custkey", customer.count())
-    lines = spread_small(read(spark, folder, "lineitem"))
+    lines = read(spark, folder, "lineitem")
     lines = lines.select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
     )

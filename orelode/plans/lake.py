@@ -11,7 +11,7 @@ from orelode.operators import gold, silver
 from orelode.operators.lookup import BROADCAST_ROWS
 from orelode.schemas import INGESTION
 from orelode.sources.landing import latest_snapshot
-from orelode.sources.sinks import rebuild_zone
+from orelode.sources.sinks import rebuild_zone, remove_folder
 
 MONTHS = ("year", "month")
 
@@ -63,10 +63,10 @@ class SalesLake:
         )
 
     def products_raw(self) -> DataFrame:
-        return self.products
+        return self.saved("bronze", "products_raw", lambda: self.products)
 
     def users_raw(self) -> DataFrame:
-        return self.users
+        return self.saved("bronze", "users_raw", lambda: self.users)
 
     def orders_clean(self) -> DataFrame:
         return self.saved(
@@ -100,7 +100,8 @@ class SalesLake:
         return self.saved("gold", "dim_customer", lambda: gold.dim_customer(self.users_clean()))
 
     def fact_sales(self) -> DataFrame:
-        return self.saved(
+        built = "fact_sales" in self._tables
+        fact = self.saved(
             "gold",
             "fact_sales",
             lambda: gold.fact_sales(
@@ -113,6 +114,9 @@ class SalesLake:
             MONTHS,
             clustered=True,
         )
+        if not built:
+            remove_folder(self.spark, self.scratch("fact_numbering"))
+        return fact
 
     def scratch(self, name: str) -> str:
         """Folder for an operator that has to fix intermediate rows in files."""

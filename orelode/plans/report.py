@@ -12,21 +12,22 @@ from pyspark.sql.window import Window
 
 from orelode.functions.measures import plain_text
 from orelode.plans import analytics
+from orelode.sources.sinks import copy_folder
 
-# The question each result belongs to and its place within the question.
+# The question each result answers, its place within the question, its title.
 QUERY_INDEX = {
-    "q1_total": ("Q1", 1),
-    "q1_by_country": ("Q1", 2),
-    "q2_top_revenue": ("Q2", 1),
-    "q2_top_quantity": ("Q2", 2),
-    "q2_rank_comparison": ("Q2", 3),
-    "q3_monthly": ("Q3", 1),
-    "q3_additivity_check": ("Q3", 2),
-    "q4_basket_by_country": ("Q4", 1),
-    "q5_top_customers": ("Q5", 1),
-    "q6_orphan_population": ("Q6", 1),
-    "q6_orphan_impact": ("Q6", 2),
-    "q6_orphan_trend": ("Q6", 3),
+    "q1_total": ("Q1", 1, "Total revenue of the last three months"),
+    "q1_by_country": ("Q1", 2, "Revenue by country"),
+    "q2_top_revenue": ("Q2", 1, "Top 10 products by revenue"),
+    "q2_top_quantity": ("Q2", 2, "Top 10 products by quantity sold"),
+    "q2_rank_comparison": ("Q2", 3, "Comparison of the top 10 products"),
+    "q3_monthly": ("Q3", 1, "Revenue and orders by month"),
+    "q3_additivity_check": ("Q3", 2, "Consistency of the order counts"),
+    "q4_basket_by_country": ("Q4", 1, "Mean basket by country"),
+    "q5_top_customers": ("Q5", 1, "Top 5 customers by revenue"),
+    "q6_orphan_population": ("Q6", 1, "Missing keys, volume and impact"),
+    "q6_orphan_impact": ("Q6", 2, "Financial impact of missing keys"),
+    "q6_orphan_trend": ("Q6", 3, "Missing keys by month"),
 }
 ANNEX = ("Annex", 99)
 
@@ -51,8 +52,8 @@ LINE_ORDER = {
 
 
 def query_index(spark: SparkSession) -> DataFrame:
-    rows = [(name, question, place) for name, (question, place) in QUERY_INDEX.items()]
-    return spark.createDataFrame(rows, "query string, question string, place int")
+    rows = [(name, *entry) for name, entry in QUERY_INDEX.items()]
+    return spark.createDataFrame(rows, "query string, question string, place int, title string")
 
 
 def sort_key(text: str) -> Column:
@@ -94,29 +95,52 @@ def report_long_format(results: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def report_by_question(long: DataFrame) -> DataFrame:
+    """The long form in reading order: by question, then by the place of each result in it.
+
+    A result that is not indexed is its own title, at the end of the annex.
+    """
+    index = query_index(long.sparkSession).select("query", "place", "title")
+    return (
+        long.join(F.broadcast(index), "query", "left")
+        .select(
+            "question",
+            F.coalesce("place", F.lit(ANNEX[1])).cast("int").alias("place"),
+            F.coalesce("title", "query").alias("title"),
+            "query",
+            "line",
+            "column",
+            "value",
+        )
+        .orderBy("question", "place", "query", "line")
+    )
+
+
 def publish_results(
     results: Mapping[str, DataFrame], path: str, run_id: str, at_once: int = 4
 ) -> dict[str, DataFrame]:
     """Keep one history folder per run, replace the ``latest`` folder, return the results
     as they were published.
 
-    Each result is computed once, for its history file; the latest copy and the long form
-    are made from the files. Results go out as JSON lines, the long form as CSV. Results are
-    small and their jobs short, so a few of them are submitted at a time.
+    Each result is computed once, for its history file, and the long form once, from these
+    files. The files are copied to ``latest`` as they are: results are small, a copy needs no
+    job. Results go out as JSON lines, the long form as CSV. Their jobs are short, so a few of
+    them are submitted at a time.
     """
 
     def publish(name: str) -> DataFrame:
         folder = f"{path}/history/raw/{name}/run_id={run_id}"
         results[name].write.mode("overwrite").json(folder)
-        saved = results[name].sparkSession.read.schema(results[name].schema).json(folder)
-        saved.write.mode("overwrite").json(f"{path}/latest/raw/{name}")
-        return saved
+        spark = results[name].sparkSession
+        copy_folder(spark, folder, f"{path}/latest/raw/{name}")
+        return spark.read.schema(results[name].schema).json(folder)
 
     with ThreadPoolExecutor(at_once) as pool:
         published = dict(zip(results, pool.map(publish, results)))
+    folder = f"{path}/history/report/run_id={run_id}"
     long = report_long_format(published)
-    for folder in (f"{path}/history/report/run_id={run_id}", f"{path}/latest/report"):
-        long.write.mode("overwrite").option("header", True).csv(folder)
+    long.coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
+    copy_folder(long.sparkSession, folder, f"{path}/latest/report")
     return published
 
 

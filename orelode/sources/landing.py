@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from orelode.schemas import INGESTION
@@ -16,15 +17,11 @@ def land_snapshot(
 ) -> str:
     """Write a delivery under ``ingestion_date=<UTC date>`` and return the root path.
 
-    Another date adds a partition; the same date again replaces only its own partition.
+    Another date adds a partition; the same date again replaces its own, also by nothing when
+    the delivery is empty.
     """
     date = ingestion_date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
-    writer = (
-        delivery.withColumn(INGESTION, F.lit(date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(INGESTION)
-    )
+    writer = delivery.drop(INGESTION).write.mode("overwrite")
     if file_format == "csv":
         # The CSV writer trims by default, which would repair the spellings in passing.
         writer = (
@@ -33,7 +30,7 @@ def land_snapshot(
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
         )
-    writer.format(file_format).save(path)
+    writer.format(file_format).save(f"{path}/{INGESTION}={date}")
     return path
 
 
@@ -42,18 +39,36 @@ def discover_partitions(
 ) -> DataFrame:
     """Register the folder as a partitioned catalog table and pick up new partitions.
 
-    Reads by path need no registration; this is for users who query by table name.
+    Reads by path need no registration; this is for users who query by table name. A table of
+    this name that lies in another folder is an error.
     """
+    name = ".".join(quoted(part) for part in table.split("."))
+    fields = StructType.fromDDL(columns).fields
+    kinds = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {INGESTION} STRING) "
-        f"USING {file_format} PARTITIONED BY ({INGESTION}) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({kinds}, {quoted(INGESTION)} STRING) "
+        f"USING {file_format} PARTITIONED BY ({quoted(INGESTION)}) LOCATION '{place}'"
     )
-    spark.catalog.recoverPartitions(table)
-    return spark.table(table)
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()[1]
+    if location(found) != location(path):
+        raise ValueError(f"{table} lies in {found}, not in {path}")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def location(path: str) -> str:
+    """A folder as it compares: a path without a scheme is a local one."""
+    scheme, _, rest = path.rpartition(":")
+    return f"{scheme or 'file'}:/{rest.strip('/')}"
 
 
 def latest_snapshot(rows: DataFrame, key: str, version: str = INGESTION) -> DataFrame:
-    """One row per key: the one of its latest version.
+    """One row per key: the one of its latest version. Rows without a key all stay.
 
     The first-row filter on the window runs on the map side too, so a key with very many
     versions sends one row per task. All columns break ties, which makes the choice fixed.
@@ -62,4 +77,6 @@ def latest_snapshot(rows: DataFrame, key: str, version: str = INGESTION) -> Data
     others = [name for name in rows.columns if name not in (key, version)]
     order = [F.col(version).desc_nulls_last(), *[F.col(n).desc_nulls_last() for n in others]]
     newest = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn("_newest", newest).filter("_newest = 1").drop("_newest")
+    known = rows.filter(F.col(key).isNotNull()).withColumn("_newest", newest)
+    known = known.filter("_newest = 1").drop("_newest")
+    return known.unionByName(rows.filter(F.col(key).isNull()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(rows: DataFrame, path: str) -> DataFrame:
@@ -51,3 +51,26 @@ def rebuild_zone(
 def read_table(like: DataFrame, path: str) -> DataFrame:
     """Read with the written schema, so that partition values keep their type ('04')."""
     return like.sparkSession.read.schema(like.schema).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """A folder and the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate table that nothing reads any more."""
+    place, system = _folder(spark, path)
+    system.delete(place, True)
+
+
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Replaces a folder by a copy of another one, file by file; meant for small results."""
+    place, system = _folder(spark, source)
+    copy, target_system = _folder(spark, target)
+    target_system.delete(copy, True)
+    target_system.mkdirs(copy.getParent())
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        system, place, target_system, copy, False, True, spark.sparkContext._jsc.hadoopConfiguration()
+    )

@@ -19,8 +19,15 @@ def test_integers_are_digits_only(spark):
 
 
 def test_doubles(spark):
-    values = ["1.5", "-5.5", "0", "n/a", "", "NaN", None]
-    assert read(spark, parsing.safe_double, *values) == [1.5, -5.5, 0.0, None, None, None, None]
+    values = ["1.5", "-5.5", "0", " 2.5 ", ".5", "5.", "1e3", "n/a", "", "NaN", None]
+    assert read(spark, parsing.safe_double, *values) == [
+        1.5, -5.5, 0.0, 2.5, 0.5, 5.0, 1000.0, None, None, None, None,
+    ]
+
+
+def test_only_finite_numbers_in_digits_are_doubles(spark):
+    values = ["Infinity", "-Infinity", "inf", "5d", "5f", "5D", "1e400", "1e15", "0x1p3", "1_000"]
+    assert read(spark, parsing.safe_double, *values) == [None] * len(values)
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Europe/Paris"])

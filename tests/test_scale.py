@@ -1,6 +1,8 @@
 """Operators for big or lopsided inputs, against their plain forms."""
 
+import os
 import random
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from conftest import rows
+from orelode.functions.measures import exact_sum, money
 from orelode.operators.lookup import lookup, with_matches
 from orelode.operators.median import lower_median
 from orelode.operators.numbering import number_rows, ranks
@@ -110,17 +113,63 @@ def test_median_of_lopsided_groups(spark):
     for key in {k for k, v in data if v is not None}:
         values = sorted(v for k, v in data if k == key and v is not None)
         expected.append((key, values[(len(values) + 1) // 2 - 1]))
-    for limit in (0, 100):
-        found = lower_median(frame, "k", "v", "m", broadcast_rows=limit)
-        assert rows(found) == sorted(expected, key=repr)
+    for limit in ("-1", "10MB"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            found = lower_median(frame, "k", "v", "m")
+            assert rows(found) == sorted(expected, key=repr)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_rank_comparison_by_ranges_equals_windows(spark, lake, tmp_path):
+def test_a_median_outside_its_bounds_is_an_error(spark, monkeypatch):
+    from orelode.operators import median
+
+    # bounds that lie above the middle: MARGIN is what keeps them apart from it
+    monkeypatch.setattr(median, "MARGIN", -4_000)
+    frame = spark.createDataFrame([("a", float(i)) for i in range(100)], "k string, v double")
+    with pytest.raises(Exception, match="do not enclose"):
+        lower_median(frame, "k", "v", "m").collect()
+
+
+def test_rank_comparison_equals_windows(lake):
     fact, dim = lake.fact_sales(), lake.dim_product()
-    plain = analytics.q2_rank_comparison(fact, dim, str(tmp_path))
-    ranged = analytics.q2_rank_comparison(fact, dim, str(tmp_path), window_rows=0)
-    assert plain.columns == ranged.columns
-    assert [tuple(r) for r in plain.collect()] == [tuple(r) for r in ranged.collect()]
+    measures = analytics.product_measures(fact, dim)
+    window = {v: F.rank().over(Window.orderBy(F.desc(v))) for v in ("revenue", "quantity")}
+    ranked = measures.select("product_id", *[w.alias(f"{v}_rank") for v, w in window.items()])
+    expected = ranked.filter("revenue_rank <= 10 or quantity_rank <= 10")
+    found = analytics.q2_rank_comparison(fact, dim).select(*expected.columns)
+    assert rows(found) == rows(expected)
+
+
+def test_money_is_exact_at_any_size_and_order(spark):
+    amount = F.round(F.lit(25_000_000_000.0) + (F.col("id") * 37 % 1_000_003) / 100, 2)
+    frame = spark.range(4_000_000).select(amount.alias("line_amount"))
+    whole = sum(2_500_000_000_000 + i * 37 % 1_000_003 for i in range(4_000_000))
+    expected = float(Decimal(whole) / 100)
+    for parts in (1, 7):
+        total = frame.repartition(parts).agg(money(exact_sum("line_amount")).alias("t")).first().t
+        assert total == expected > 9e16
+
+
+def test_a_side_with_long_texts_is_not_broadcast(spark, monkeypatch):
+    from orelode.operators import lookup as module
+
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    right = spark.createDataFrame([(1, "x" * 500)], "j int, v string")
+    assert "Broadcast" in lookup(left, right, "k", "j")._jdf.queryExecution().toString()
+    monkeypatch.setattr(module, "BROADCAST_TEXT", 100)
+    found = lookup(left, right, "k", "j")
+    assert rows(found) == [(1, "x" * 500), (2, None)]
+    assert "_slot" in found._jdf.queryExecution().toString()
+
+
+def test_no_staging_is_left_behind(spark, lake):
+    lake.fact_sales()
+    assert not os.path.exists(f"{lake.root}/staging/fact_numbering")
+    for source in ("orders", "products", "users"):
+        assert os.path.isdir(f"{lake.root}/landed/{source}")
+        assert not os.path.exists(f"{lake.root}/staging/{source}")
 
 
 def test_exact_and_sketched_medians_agree_on_small_groups(lake):

@@ -95,6 +95,55 @@ def test_landing_appends_by_date_and_replaces_the_same_date(spark, tmp_path, fil
     ]
 
 
+def test_landing_an_empty_delivery_replaces_the_date(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    one = spark.createDataFrame([("1", "a")], "invoiceno string, country string")
+    landing.land_snapshot(one, path, "2026-01-01", "json")
+    landing.land_snapshot(one, path, "2026-01-02", "json")
+    landing.land_snapshot(one.limit(0), path, "2026-01-01", "json")
+    reader = spark.read.schema("invoiceno string, country string, ingestion_date string")
+    assert rows(reader.json(path)) == [("1", "a", "2026-01-02")]
+
+
+def test_discovery_takes_any_column_and_folder_and_refuses_another_folder(spark, tmp_path):
+    path = str(tmp_path / "it's here")
+    landing.land_snapshot(spark.createDataFrame([("1",)], "`a b` string"), path, "2026-01-01", "parquet")
+    found = landing.discover_partitions(spark, "odd_name", path, "`a b` STRING")
+    assert rows(found) == [("1", "2026-01-01")]
+    with pytest.raises(ValueError):
+        landing.discover_partitions(spark, "odd_name", str(tmp_path / "other"), "`a b` STRING")
+    spark.sql("DROP TABLE odd_name")
+
+
+def test_snapshots_keep_every_row_without_a_key(spark):
+    catalog = spark.createDataFrame(
+        [(None, "x", "2026-01-01"), (None, "y", "2026-01-01"), (1, "z", "2026-01-01")],
+        "id int, v string, ingestion_date string",
+    )
+    assert sorted(r.v for r in landing.latest_snapshot(catalog, "id").collect()) == ["x", "y", "z"]
+
+
+def test_samples_of_repeated_keys_are_ordered_by_date(spark):
+    from orelode.operators.bronze import nested_projection
+
+    data = [(1, d, d[-2:]) for d in ("2026-01-03", "2026-01-01", "2026-01-04", "2026-01-02")]
+    frame = spark.createDataFrame(data, "id int, ingestion_date string, v string").repartition(4)
+    assert [r.v for r in nested_projection(frame, "id", {"v": "v"}).collect()] == ["01", "02", "03"]
+
+
+def test_published_cells_keep_their_digits(spark):
+    from orelode.functions.measures import plain_text
+
+    values = [0.1234, 0.001, 20.0, 12345678.5, 1e-7, -2.5e-10, 1.5e22, -1e7, 123456789.125, 0.0,
+              float("inf"), float("nan"), None]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    found = [r[0] for r in frame.select(plain_text(F.col("v"), "double")).collect()]
+    assert found == [
+        "0.1234", "0.001", "20.00", "12345678.50", "0.0000001", "-0.00000000025",
+        "15000000000000000000000.00", "-10000000.00", "123456789.125", "0.00", "Infinity", "NaN", None,
+    ]
+
+
 def test_landing_defaults_to_today(spark, tmp_path):
     landing.land_snapshot(spark.range(1), str(tmp_path / "x"), file_format="json")
     assert [n for n in os.listdir(tmp_path / "x") if n.startswith("ingestion_date=20")]
