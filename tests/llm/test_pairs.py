@@ -11,7 +11,7 @@ from corpus_rows import keyed, make_docs
 from orelode.llm import itq
 from orelode.llm.components import connected_components
 from orelode.llm.debruijn import remove_repeated_passages
-from orelode.llm.ngram_join import Similarity, block_keys, ngram_components, short_sketch
+from orelode.llm.ngram_join import Similarity, block_keys, level, ngram_components, short_sketch
 
 
 def groups(nodes, links):
@@ -101,7 +101,8 @@ def test_sketches_of_linked_sets_share_a_block_and_bound_the_difference(percent)
         b = np.unique(np.append(kept, dice.integers(0, 1 << 62, drop - drop // 2).astype(np.uint64)))
         common = len(np.intersect1d(a, b))
         apart = len(a) + len(b) - 2 * common
-        differ = int(np.bitwise_count(short_sketch(a) ^ short_sketch(b)).sum())
+        folded = level([short_sketch(a), short_sketch(b)])
+        differ = int(np.bitwise_count(folded[0] ^ folded[1]).sum())
         assert differ <= apart
         if apart and near.links(common, len(a) + len(b) - common):
             assert apart <= near.apart(len(a) + len(b))
