@@ -17,13 +17,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import Cache, Forest, mixed, runs, slices, staged, utf8, window_hashes
+from orelode.llm.common import Cache, Forest, mapped, mixed, runs, slices, staged, utf8, window_hashes
 from orelode.llm.components import connected_components
 
 #: Growth of sizes within a band; links reach from a band to itself and the next one.
 BAND = 1.25
-#: Words of the short sketch that candidates are compared by before their sets are.
-SKETCH = 8
+#: Least and most 64-bit words of the short sketch that candidates are compared by before their
+#: sets are. It has about a bit for each shingle, so that unrelated sets differ in half of them.
+LEAST_SKETCH = 4
+MOST_SKETCH = 64
 #: Most documents, and most shingles, of one chunk of a group. Groups beyond that are compared
 #: chunk by chunk, in as many tasks as there are pairs of chunks.
 CHUNK = 512
@@ -96,12 +98,23 @@ def block_keys(found: np.ndarray, band: int, blocks: int) -> np.ndarray:
 
 
 def short_sketch(found: np.ndarray) -> np.ndarray:
-    sketch = np.zeros(SKETCH, np.uint64)
-    place = ((found >> np.uint64(8)) % np.uint64(SKETCH)).astype(np.int64)
+    """One flipped bit for each shingle, in a power of two of words."""
+    words = LEAST_SKETCH
+    while words < MOST_SKETCH and 64 * words < len(found):
+        words *= 2
+    sketch = np.zeros(words, np.uint64)
+    place = ((found >> np.uint64(8)) & np.uint64(words - 1)).astype(np.int64)
     np.bitwise_xor.at(sketch, place, np.uint64(1) << (found & np.uint64(63)))
     return sketch
 
 
+def level(sketches: list[np.ndarray]) -> np.ndarray:
+    """Sketches folded to the length of the shortest: halves laid on each other by exclusive or
+    are the sketch of half the length."""
+    words = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(s.reshape(-1, words), axis=0) for s in sketches])
+
+
 def sketch_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     near, hashes = Similarity(percent), Cache(xxhash.xxh3_64_intdigest)
     for part in slices(batches):
@@ -178,7 +191,7 @@ def candidate_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
         if i != j and not (sides.any() and not sides.all()):
             continue
         nodes = rows.column("node").to_numpy()
-        sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH)
+        sketches = level([np.frombuffer(raw, np.uint64) for raw in rows.column("sketch").to_pylist()])
         forest = Forest(len(nodes))
         for a, b in zip(*near_pairs(sketches, rows.column("n").to_numpy(), sides, near)):
             if forest.join(int(a), int(b)):
@@ -200,7 +213,7 @@ def verified_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -
         docs = rows.column("node").to_numpy()
         sets = [shingles(raw, width, hashes) for raw in utf8(rows.column("text").combine_chunks())]
         sizes = np.array([len(s) for s in sets])
-        sketches = np.stack([short_sketch(s) for s in sets])
+        sketches = level([short_sketch(s) for s in sets])
         forest, links = Forest(len(docs)), []
         for a, b in zip(*near_pairs(sketches, sizes, sides, near)):
             a, b = int(a), int(b)
@@ -240,7 +253,8 @@ def ngram_components(
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     found = staged(
-        rows.mapInArrow(
+        mapped(
+            rows,
             partial(sketch_rows, width=width, percent=percent),
             "doc long, n long, node long, check long, sketch binary, keys array<long>",
         ),
