@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import sys
 import uuid
 from collections.abc import Iterator
 
@@ -20,6 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_048
+
 #: Rows that are decoded at once inside a task.
 SLICE_ROWS = 256
 
@@ -62,6 +64,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def mapped(rows: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of at most ``BATCH_ROWS``, which bound the memory of a worker
+    and of the JVM beside it: texts are long. The session keeps the lower setting."""
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return rows.mapInArrow(function, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in short pieces, which bound the Python objects alive at a time."""
     for batch in batches:
@@ -89,19 +100,6 @@ class Cache(dict):
         return value
 
 
-def once_in_worker(name: str, make):
-    """What ``make`` gives, made once in each Python worker and kept for its later tasks.
-
-    Only for what any task would make alike, as a loaded file or remembered results of a pure
-    function. It hangs on the interpreter, as a module of this package would be anew in every
-    task.
-    """
-    kept = sys.__dict__.setdefault("_orelode_kept", {})
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit over all others."""
     with np.errstate(over="ignore"):

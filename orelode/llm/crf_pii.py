@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from orelode.llm.common import slices
+from orelode.llm.common import mapped, slices
 
 # The kinds in the order in which they are listed, and their patterns.
 KINDS = ["email", "ip", "card", "phone"]
@@ -467,4 +467,4 @@ def find_personal_data(
                 [*part.columns, *[pa.array(c, t) for c, t in zip(columns, types)]], [*kept, *new]
             )
 
-    return docs.select(*kept).mapInArrow(find, ", ".join([*kinds, SCHEMA]))
+    return mapped(docs.select(*kept), find, ", ".join([*kinds, SCHEMA]))

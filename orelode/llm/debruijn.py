@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import Cache, covered, mixed, slices, staged, utf8, window_hashes
+from orelode.llm.common import Cache, covered, mapped, mixed, slices, staged, utf8, window_hashes
 
 #: Words of a window that counts as repeated, and of its anchor.
 WINDOW = 13
@@ -184,7 +184,8 @@ def remove_repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "
         F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("code"), F.col(text).alias("text")
     )
     found = staged(
-        rows.mapInArrow(
+        mapped(
+            rows,
             path_rows,
             "doc long, code long, n_words long, digest string, anchor array<long>, "
             "path array<long>, start array<int>, count array<int>",

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import slices
+from orelode.llm.common import mapped, slices
 
 UNKNOWN = "und"
 
@@ -117,7 +117,7 @@ def training_rows(docs: DataFrame, text: str, lang: str, eligible: Column, key:
                 ["lang", "at", "places", "counts"],
             )
 
-    return sample.mapInArrow(count, "lang string, at double, places array<int>, counts array<long>")
+    return mapped(sample, count, "lang string, at double, places array<int>, counts array<long>")
 
 
 def train(rows: list, epochs: int = 12, rate: float = 4.0, batch: int = 16) -> Model:
@@ -219,7 +219,7 @@ def identify_language(
             )
 
     schema = ", ".join([*kinds, "lang_pred string", "score double", "rejected boolean"])
-    return docs.select(*kept).mapInArrow(predict, schema)
+    return mapped(docs.select(*kept), predict, schema)
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from orelode.llm.common import SPACES, Cache, covered, slices, window_hashes
+from orelode.llm.common import SPACES, Cache, covered, mapped, slices, window_hashes
 
 # What counts as a symbol, and the width of a repeated window.
 SYMBOLS = b"#*$%&|<>"
@@ -120,7 +120,7 @@ def clean_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
             yield pa.RecordBatch.from_arrays([part.column(0), *columns], [key, *names])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(judge, f"{key} {kind}, {SCHEMA}")
+    return mapped(docs.select(key, text), judge, f"{key} {kind}, {SCHEMA}")
 
 
 KINDS = [

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from orelode.llm.common import slices
+from orelode.llm.common import mapped, slices
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
@@ -271,4 +271,4 @@ def extract_main_text(pages: DataFrame, page: str = "html") -> DataFrame:
             )
 
     schema = ", ".join([*kinds, "text string", "n_chars long"])
-    return pages.select(*kept, page).mapInArrow(extract, schema)
+    return mapped(pages.select(*kept, page), extract, schema)
