@@ -48,16 +48,14 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def discard(rows: DataFrame) -> None:
-    """Deletes a table made by ``staged`` which nothing reads any more."""
-    spark = rows.sparkSession
-    files = rows.inputFiles()
-    if not files:
-        return
-    path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if f"{application_folder(spark)}/llm/".split(":", 1)[-1] in path.toString():
-        system.delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``staged`` which nothing reads any more."""
+    for rows in tables:
+        spark = rows.sparkSession
+        for path in {file.rpartition("/")[0] for file in rows.inputFiles()}:
+            if "/llm/" in path:
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smaller ones, until each component is a star around its smallest node. The number of
     rounds grows with the logarithm of the nodes. Each round takes minima by node, which are
     reduced before the shuffle, and joins them back, where a node with many neighbours may be
-    split; nothing is gathered by node. Rounds are written to the shared folder.
+    split; nothing is gathered by node. Rounds, and the result, are written to the shared folder.
     """
     links = (
         edges.filter(F.col("a") != F.col("b"))
@@ -33,7 +33,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         before = found
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    found = links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    found = staged(found, "components")
+    discard(links)
+    return found
 
 
 def digest(links: DataFrame) -> tuple:

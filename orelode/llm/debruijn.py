@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import Cache, covered, mapped, mixed, slices, staged, utf8, window_hashes
+from orelode.llm.common import Cache, discard, mapped, mixed, slices, staged, utf8, window_hashes
 
 #: Words of a window that counts as repeated, and of its anchor.
 WINDOW = 13
@@ -88,37 +88,46 @@ def path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def listed(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Where the entries of each row begin and end, and the fields of all entries."""
+    if column.null_count:
+        column = column.fill_null([])
+    fields = {f.name: column.values.field(f.name).to_numpy() for f in column.type.value_type}
+    return column.offsets.to_numpy(), fields
+
+
 def edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The single windows of paths that meet others around their anchor."""
     hashes = Cache(xxhash.xxh3_64_intdigest)
     for part in slices(batches):
-        out: list[list] = [[], [], [], [], []]
-        for doc, code, raw, taken in zip(
-            part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)),
-            part.column(3).to_pylist(),
-        ):
-            edges = window_hashes(word_hashes(raw.split(), hashes), WINDOW).view(np.int64)
-            for path in taken:
-                at = np.arange(path["start"], path["start"] + path["count"])
-                for column, values in zip(
-                    out, ([doc] * len(at), [code] * len(at), [path["anchor"]] * len(at), edges[at], at)
-                ):
-                    column.extend(values)
-        kinds = [pa.int64()] * 4 + [pa.int32()]
+        offsets, taken = listed(part.column(3))
+        starts, counts = taken["start"].astype(np.int64), taken["count"].astype(np.int64)
+        edges, places, anchors, sizes = [], [], [], []
+        for row, raw in enumerate(utf8(part.column(2))):
+            own = slice(offsets[row], offsets[row + 1])
+            times = counts[own]
+            at = np.arange(times.sum()) + np.repeat(starts[own] - np.cumsum(times) + times, times)
+            edges.append(window_hashes(word_hashes(raw.split(), hashes), WINDOW)[at])
+            places.append(at)
+            anchors.append(np.repeat(taken["anchor"][own], times))
+            sizes.append(len(at))
+        rows = pa.array(np.repeat(np.arange(part.num_rows), sizes))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(out, kinds)],
+            [part.column(0).take(rows), part.column(1).take(rows), pa.array(np.concatenate(anchors), pa.int64()),
+             pa.array(np.concatenate(edges).view(np.int64)), pa.array(np.concatenate(places).astype(np.int32))],
             ["doc", "code", "anchor", "edge", "start"],
-        )
+        )
 
 
 def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of removed words from runs of removed windows."""
-    for part in slices(batches):
+    for part in slices(batches, 1_024):
+        offsets, windows = listed(part.column(4))
         ranges, removed, digests = [], [], []
-        for n_words, digest, windows in zip(
-            part.column(2).to_pylist(), part.column(3).to_pylist(), part.column(4).to_pylist()
-        ):
-            found = word_ranges(windows or [], n_words)
+        sizes, known = part.column(2).to_pylist(), part.column(3).to_pylist()
+        for row, (n_words, digest) in enumerate(zip(sizes, known)):
+            own = slice(offsets[row], offsets[row + 1])
+            found = word_ranges(windows["start"][own], windows["count"][own], n_words)
             ranges.append([{"start": a, "stop": b} for a, b in found])
             removed.append(sum(b - a for a, b in found))
             digests.append(digest if not found else EMPTY if removed[-1] == n_words else None)
@@ -133,14 +142,16 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 RANGES = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
 
-def word_ranges(windows: list[dict], n_words: int) -> list[tuple[int, int]]:
-    """Disjoint runs of words that windows begun at the given places cover."""
-    if not windows:
+def word_ranges(starts: np.ndarray, counts: np.ndarray, n_words: int) -> list[tuple[int, int]]:
+    """Disjoint runs of words that runs of windows cover."""
+    if not len(starts):
         return []
-    starts = np.concatenate([np.arange(w["start"], w["start"] + w["count"]) for w in windows])
-    inside = covered(np.unique(starts), WINDOW, n_words)
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], inside.astype(np.int8), [0]))))
-    return [(int(a), int(b)) for a, b in zip(edges[::2], edges[1::2])]
+    edges = np.zeros(n_words + 1, np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + counts + WINDOW - 1, -1)
+    inside = (np.cumsum(edges[:-1]) > 0).astype(np.int8)
+    turns = np.flatnonzero(np.diff(inside, prepend=0, append=0))
+    return [(int(a), int(b)) for a, b in zip(turns[::2], turns[1::2])]
 
 
 def kept_words(raw: bytes, removed: list[dict]) -> bytes:
@@ -192,7 +203,7 @@ def remove_repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "
         ),
         "paths",
     )
-    windows = repeated_windows(rows, found)
+    windows, steps = repeated_windows(rows, found)
     gathered = windows.groupBy("doc", "code").agg(F.collect_list(F.struct("start", "count")).alias("windows"))
     sizes = found.select("doc", "code", "n_words", "digest")
     near = same_text("d", "c")
@@ -205,6 +216,7 @@ def remove_repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "
         ),
         "merged",
     )
+    discard(found, *steps)
     whole = merged.filter(F.col("digest").isNotNull())
     part = merged.filter(F.col("digest").isNull())
     texts = rows.withColumnsRenamed({"doc": "d", "code": "c"})
@@ -232,8 +244,9 @@ def same_text(doc: str, code: str):
     return F.col("doc").eqNullSafe(F.col(doc)) & (F.col("code") == F.col(code))
 
 
-def repeated_windows(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc, code, start, count``: runs of windows that a smaller document has too."""
+def repeated_windows(rows: DataFrame, found: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``doc, code, start, count``: runs of windows that a smaller document has too; and the
+    tables which that reads."""
     known = found.filter(F.col("doc").isNotNull())
     anchors = known.select("doc", F.explode("anchor").alias("anchor"))
     repeated = anchors.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
@@ -246,13 +259,13 @@ def repeated_windows(rows: DataFrame, found: DataFrame) -> DataFrame:
 
     firsts = staged(each.groupBy("anchor", "path").agg(F.min("doc").alias("first")), "firsts")
     several = firsts.groupBy("anchor").agg(F.count("*").alias("paths"))
-    firsts = firsts.join(several, "anchor")
     judged = staged(
-        each.join(firsts, ["anchor", "path"]).select(
+        each.join(firsts.join(several, "anchor"), ["anchor", "path"]).select(
             "doc", "code", "anchor", "path", "start", "count", "first", (F.col("paths") > 1).alias("branches")
         ),
         "judged",
     )
+    discard(repeated, each, firsts)
     whole = judged.filter("first < doc").select("doc", "code", "start", "count")
 
     open_paths = judged.filter("first = doc and branches")
@@ -271,4 +284,4 @@ def repeated_windows(rows: DataFrame, found: DataFrame) -> DataFrame:
     least = least.filter("first < last").select("anchor", "edge", "first")
     single = edges.join(least, ["anchor", "edge"]).filter("first < doc")
     single = single.select("doc", "code", "start", F.lit(1).alias("count"))
-    return whole.unionByName(single)
+    return whole.unionByName(single), [judged, edges]

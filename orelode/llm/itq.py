@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import Forest, runs, staged
+from orelode.llm.common import Forest, discard, runs, staged
 from orelode.llm.components import connected_components
 
 #: Bits of a code, bits of a table's key, and rotations, which are learned apart. Vectors at a
@@ -194,7 +194,7 @@ def near_vectors(
         F.col("key").alias("a"), F.col("node").alias("b")
     )
     edges = found.filter(F.col("b").isNotNull()).select("a", "b").unionByName(several)
-    components = staged(connected_components(edges), "components")
+    components = connected_components(edges)
 
     own = base.select("key", "label_code", "mark", "check", (F.col("usable") & (F.size("embedding") == width)).alias("ok"))
     groups = copies.select(
@@ -247,6 +247,8 @@ def compared(nodes: DataFrame, width: int, total: int, least: float) -> DataFram
         "bucket", "i", "j", "side", "node", "table", "count", "embedding", "label_code", "codes"
     )
     full = full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return staged(
+    links = staged(
         full.mapInArrow(partial(rerank_rows, width=width, least=least), "a long, b long, n long"), "links"
     )
+    discard(coded)
+    return links

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import Cache, Forest, mapped, mixed, runs, slices, staged, utf8, window_hashes
+from orelode.llm.common import Cache, Forest, discard, mapped, mixed, runs, slices, staged, utf8, window_hashes
 from orelode.llm.components import connected_components
 
 #: Growth of sizes within a band; links reach from a band to itself and the next one.
@@ -86,7 +86,8 @@ def block_keys(found: np.ndarray, band: int, blocks: int) -> np.ndarray:
 
     The upper half of a shingle's hash chooses the block, so blocks are runs of the sorted
     hashes; the lower bits choose the bit that it flips. The exclusive or of the whole hashes,
-    a second parity code, keeps blocks apart that have few bits.
+    a second parity code, keeps blocks apart that have few bits. Keys of 48 bits are enough:
+    where two blocks share one by chance, the sketches are compared in vain.
     """
     place = ((found >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
     cuts = np.searchsorted(place, np.arange(blocks + 1, dtype=np.uint64))
@@ -94,7 +95,7 @@ def block_keys(found: np.ndarray, band: int, blocks: int) -> np.ndarray:
     for codes in (np.uint64(1) << (found & np.uint64(63)), mixed(found)):
         parity = np.append(np.uint64(0), np.bitwise_xor.accumulate(codes))
         keys = mixed(keys ^ mixed(parity[cuts[1:]] ^ parity[cuts[:-1]]))
-    return keys
+    return keys >> np.uint64(16)
 
 
 def short_sketch(found: np.ndarray) -> np.ndarray:
@@ -267,7 +268,8 @@ def ngram_components(
     )
     sets = staged(sets, "sets")
     classes = candidate_classes(found, sets, percent)
-    links = staged(class_links(rows, sets, classes, width, percent), "verified")
+    verified = staged(class_links(rows, sets, classes, width, percent), "verified")
+    discard(classes)
     # a document with several sets joins them
     again = found.filter(F.col("n") > 0).select("doc", "node", "check", "n")
     again = again.join(sets.drop("sketch"), ["node", "check", "n"]).select(F.col("doc").alias("a"), F.col("rep").alias("b"))
@@ -275,8 +277,8 @@ def ngram_components(
         F.min("node").alias("lo"), F.max("node").alias("hi")
     )
     several = several.filter("lo < hi").select(F.col("doc").alias("a"))
-    links = links.unionByName(again.join(several, "a", "left_semi"))
-    components = staged(connected_components(links), "components")
+    components = connected_components(verified.unionByName(again.join(several, "a", "left_semi")))
+    discard(verified)
     result = (
         found.select("doc", "n", "node", "check")
         .join(sets.select("node", "check", "n", "rep"), ["node", "check", "n"], "left")
@@ -293,37 +295,37 @@ def ngram_components(
 def candidate_classes(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``node, component``: classes outside of which no set can have a link."""
     blocks = found.filter(F.col("doc").isNotNull()).select(F.explode("keys").alias("key"), "node")
-    shared = blocks.groupBy("key").agg(
-        F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("rows")
-    )
-    shared = shared.filter("lo < hi").select(
-        "key", F.ceil(F.col("rows") / CHUNK).alias("chunks")
-    )
-    shared = staged(shared, "shared")
-    members = blocks.join(shared.select("key"), "key", "left_semi").distinct()
-    members = staged(members, "members")
+    shared = blocks.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    shared = staged(shared.filter("lo < hi").select("key"), "shared")
+    members = staged(blocks.join(shared, "key", "left_semi").distinct(), "members")
+    discard(shared)
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     # one fingerprint, one sketch: equal nodes have equal sets but for a collision, and then
     # either sketch only decides which class they are compared in
     nodes = sets.groupBy("node").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
-    members = members.join(nodes, "node").select("key", "node", "n", "sketch")
-    pairs = tasks(chunked(members, "key", shared), "key").mapInArrow(
-        partial(candidate_rows, percent=percent), "a long, b long"
+    # sketches come last, so that they are shuffled once
+    rows = chunked(members, "key", sizes).join(nodes, "node")
+    rows = tasks(rows.select("key", "i", "j", "side", "node", "n", "sketch"), "key")
+    classes = connected_components(
+        rows.mapInArrow(partial(candidate_rows, percent=percent), "a long, b long")
     )
-    return staged(connected_components(pairs), "classes")
+    discard(members)
+    return classes
 
 
 def class_links(
     rows: DataFrame, sets: DataFrame, classes: DataFrame, width: int, percent: int
 ) -> DataFrame:
     """``a, b``: a forest of links between the smallest documents of the sets."""
-    members = sets.join(classes, "node").select(F.col("component").alias("class"), "rep", "n")
+    members = sets.join(classes, "node").select(
+        F.col("component").alias("class"), F.col("rep").alias("node"), "n"
+    )
     members = staged(members, "class-members")
     sizes = members.groupBy("class").agg(
         F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("chunks")
     )
-    members = members.join(rows, F.col("rep") == F.col("doc")).select(
-        "class", F.col("rep").alias("node"), "text"
-    )
-    return tasks(chunked(members, "class", sizes), "class").mapInArrow(
+    placed = chunked(members.select("class", "node"), "class", sizes)
+    texts = placed.join(rows, F.col("node") == F.col("doc"))
+    return tasks(texts.select("class", "i", "j", "side", "node", "text"), "class").mapInArrow(
         partial(verified_rows, width=width, percent=percent), "a long, b long"
     )
