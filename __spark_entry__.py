@@ -99,8 +99,7 @@ def dims(tables: SalesLake) -> dict[str, tuple[DataFrame, str]]:
 
 
 def land_snapshot(t: SalesLake) -> DataFrame:
-    rows = scan.scan_orders_csv(t.spark, f"{t.root}/landed/orders")
-    return rows.groupBy(INGESTION).agg(F.count("*").alias("rows"))
+    return scan.scan_orders_csv(t.spark, f"{t.root}/landed/orders")
 
 
 def scan_orders_csv(t: SalesLake) -> DataFrame:
@@ -122,19 +121,15 @@ def discover_partitions(t: SalesLake) -> DataFrame:
     table = f"orders_raw_{application}_{os.path.basename(t.root)}"
     columns = ", ".join(f"{name} STRING" for name in ORDERS_COLUMNS)
     rows = landing.discover_partitions(t.spark, table, f"{t.root}/bronze/orders_raw", columns)
-    counts = rows.groupBy(INGESTION).agg(F.count("*").alias("rows"))
-    counts = sinks.write_parquet(counts, t.scratch("discover_partitions"))
+    rows = sinks.write_parquet(rows, t.scratch("discover_partitions"))
     t.spark.sql(f"DROP TABLE {table}")
-    return counts
+    return rows
 
 
 def write_partitioned_parquet(t: SalesLake) -> DataFrame:
     path = t.scratch("write_partitioned_parquet")
     sinks.write_partitioned_parquet(t.orders_clean(), path)
-    rows = sinks.write_partitioned_parquet(t.orders_clean(), path, refresh_only=True)
-    return rows.groupBy("year", "month").agg(
-        F.count("*").alias("rows"), F.round(F.sum("line_amount"), 2).alias("revenue")
-    )
+    return sinks.write_partitioned_parquet(t.orders_clean(), path, refresh_only=True)
 
 
 def write_parquet(t: SalesLake) -> DataFrame:
@@ -144,8 +139,7 @@ def write_parquet(t: SalesLake) -> DataFrame:
 def rebuild_zone(t: SalesLake) -> DataFrame:
     path = t.scratch("rebuild_zone")
     sinks.rebuild_zone(t.orders_clean(), path, ("year", "month"))
-    rows = sinks.rebuild_zone(t.orders_clean(), path, ("year", "month"))
-    return silver.silver_return_split(rows)
+    return sinks.rebuild_zone(t.orders_clean(), path, ("year", "month"))
 
 
 def publish_results(t: SalesLake) -> DataFrame:
@@ -173,13 +167,11 @@ def resolved(t: SalesLake) -> DataFrame:
 
 
 def fact_resolve_product(t: SalesLake) -> DataFrame:
-    rows = gold.fact_resolve_product(t.orders_clean(), t.dim_product())
-    return rows.groupBy("product_id", "source_product_id").agg(F.count("*").alias("rows"))
+    return gold.fact_resolve_product(t.orders_clean(), t.dim_product())
 
 
 def fact_resolve_customer(t: SalesLake) -> DataFrame:
-    rows = gold.fact_resolve_customer(t.orders_clean(), t.dim_customer())
-    return rows.groupBy("customer_id", "source_customer_id").agg(F.count("*").alias("rows"))
+    return gold.fact_resolve_customer(t.orders_clean(), t.dim_customer())
 
 
 def fact_surrogate_id(t: SalesLake) -> DataFrame:
