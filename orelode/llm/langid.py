@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,23 +121,28 @@ def training_rows(docs: DataFrame, text: str, lang: str, eligible: Column, key:
     return mapped(sample, count, "lang string, at double, places array<int>, counts array<long>")
 
 
-def train(rows: list, epochs: int = 12, rate: float = 4.0, batch: int = 16) -> Model:
+def train(table: pa.Table, epochs: int = 12, rate: float = 4.0, batch: int = 16) -> Model:
     """Stochastic gradient descent over averaged embeddings, then a temperature that makes the
     probabilities of a fifth of the rows, left out of the descent, meet their accuracy."""
-    rows = sorted((r for r in rows if len(r["places"])), key=lambda r: (r["at"], r["lang"], r["places"]))
-    languages = sorted({r["lang"] for r in rows})
-    if not rows:
+    if table.num_rows:
+        # hash places and languages order the rows alike in every run
+        keys = [("at", "ascending"), ("lang", "ascending")]
+        table = table.filter(pc.greater(pc.list_value_length(table["places"]), 0)).sort_by(keys)
+    languages = sorted(set(table["lang"].to_pylist()))
+    if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), 1.0)
-    answers = np.array([languages.index(r["lang"]) for r in rows])
+    answers = np.array([languages.index(lang) for lang in table["lang"].to_pylist()])
+    rows = list(zip(table["places"], table["counts"]))
     held = np.arange(len(rows)) % 5 == 4
     if len(rows) < 20:
         held[:] = False
     dice = np.random.default_rng(0)
     embeddings = dice.normal(0, 0.1, (BUCKETS, WIDTH))
     output = dice.normal(0, 0.1, (WIDTH, len(languages)))
-    sparse = [
-        (np.asarray(r["places"]), np.asarray(r["counts"], float) / sum(r["counts"])) for r in rows
-    ]
+    sparse = []
+    for places, counts in rows:
+        weights = counts.values.to_numpy().astype(float)
+        sparse.append((places.values.to_numpy(), weights / weights.sum()))
     learned = np.flatnonzero(~held)
     steps = epochs * -(-len(learned) // batch)
     step = 0
@@ -202,7 +208,7 @@ def identify_language(
     calibration, is a rejection too. Rows are independent: repeated rows and keys give repeated
     results. Columns called lang_pred, score or rejected give way to the new ones.
     """
-    model = train(training_rows(docs, text, lang, eligible, key).collect())
+    model = train(training_rows(docs, text, lang, eligible, key).toArrow())
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     at = kept.index(text)

@@ -16,7 +16,7 @@ MOST_COPIES = 2.0
 #: Bins of the Pareto rank within a source; only one bin of a source is put in exact order.
 BINS = 1 << 12
 #: Times that room left by a document too large for it is offered to smaller ones.
-ROUNDS = 6
+ROUNDS = 4
 
 
 def source_targets(sizes: DataFrame, weights: DataFrame) -> DataFrame:
@@ -142,8 +142,7 @@ def chosen(ranked: DataFrame) -> DataFrame:
     open_rows = ranked.filter((F.col("_wanted") > 0) & (F.col("size") > 0))
     open_rows = open_rows.withColumn("_weight", F.col("size") * F.col("_rows"))
     room = open_rows.groupBy("source").agg(F.max("_wanted").alias("_room"))
-    taken = None
-    left = open_rows
+    taken, left = None, open_rows
     for _ in range(ROUNDS):
         room = staged(room, "room")
         fit = left.join(room.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
@@ -158,8 +157,9 @@ def chosen(ranked: DataFrame) -> DataFrame:
             .filter(F.col("_room") >= 1)
         )
         keys = won.select("source", "_key", "_code")
-        taken = keys if taken is None else taken.unionByName(keys)
-        left = without(left, keys)
+        # one table of what is taken, so that plans do not grow with the rounds
+        taken = keys if taken is None else staged(taken.unionByName(keys), "taken")
+        left = without(open_rows, taken)
     last = closest(left, room)
     taken = last if taken is None else taken.unionByName(last)
     marks = taken.toDF("_s", "_k", "_c").withColumn("_won", F.lit(1))
