@@ -27,8 +27,8 @@ TAGS = ["O"] + [f"{part}-{kind}" for kind in KINDS for part in "BI"]
 #: Buckets of hashed features, and steps of the training.
 BUCKETS = 1 << 12
 STEPS = 160
-#: Lines are decoded together in groups of this many, ordered by length.
-LINES = 512
+#: Tokens that are decoded together, padding included: lines of similar length side by side.
+CELLS = 50_000
 
 #: Words that tell a token's neighbours apart; all other words of letters look alike.
 CUES = {
@@ -323,9 +323,12 @@ def train_field(lines: list[tuple[list[str], list[str]]], decay: float = 2e-5) -
 def decode(field: Field, lines: list[list[list[int]]]) -> list[np.ndarray]:
     """The best tags of each line by Viterbi, lines of similar length side by side."""
     tagged: list = [None] * len(lines)
-    order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
-    for begin in range(0, len(order), LINES):
-        part = order[begin : begin + LINES]
+    parts: list[list[int]] = []
+    for i in sorted(range(len(lines)), key=lambda i: len(lines[i])):
+        if not parts or (len(parts[-1]) + 1) * len(lines[i]) > CELLS:
+            parts.append([])
+        parts[-1].append(i)
+    for part in parts:
         lengths = np.array([len(lines[i]) for i in part])
         width = int(lengths.max())
         emission = np.zeros((len(part), width, len(TAGS)))

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 
 from orelode.llm.common import mapped, slices
 
+# nothing in a tag is matched in two ways, so that broken markup costs no more than its length
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
-    r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
+    r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>",
     re.DOTALL,
 )
 HINTS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -83,13 +84,16 @@ def parse(page: str) -> tuple[Node, list[Node]]:
     """The tree of a page, and its nodes with parents before children."""
     root = Node("#root", None, False)
     nodes, here, at = [root], root, 0
-    while found := MARKUP.search(page, at):
+    last = page.rfind(">") + 1
+    while found := MARKUP.search(page, at, last):
         if found.start() > at:
             here.items.append(page[at : found.start()])
         at, tag = found.end(), (found["tag"] or "").lower()
         if not tag:
             if found[0].startswith("<![CDATA["):
                 here.items.append(html.escape(found[0][9:-3]))
+            elif found[0].startswith("<!--") and not found[0].endswith("-->"):
+                at = len(page)
             continue
         if found["end"]:
             node = here

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import pytest
@@ -78,6 +79,9 @@ def test_field_tags_lines_it_was_not_trained_on():
     found = crf_pii.decode(field, [crf_pii.token_buckets(tokens, known) for tokens, _ in tried])
     pairs = [(a, crf_pii.TAGS[b]) for (_, own), got in zip(tried, found) for a, b in zip(own, got)]
     assert sum(a == b for a, b in pairs) / len(pairs) > 0.97
+    # one long line beside short ones
+    lines = [[crf_pii.token_buckets(["4111"], known)[0]] * n for n in (1, 60_000, 3)]
+    assert [len(tags) for tags in crf_pii.decode(field, lines)] == [1, 60_000, 3]
     # words alone never leave the outside
     for length in (1, 5, 50):
         tags = crf_pii.decode(field, [crf_pii.token_buckets(["word"] * length, known)])[0]
@@ -258,6 +262,17 @@ def test_main_text_without_an_article():
     assert text.startswith("Title\n\nParagraph 0") and text.count("\n\n") == 6 and "entry" not in text
 
 
+def test_broken_markup_costs_no_more_than_its_length():
+    began = time.process_time()
+    pages = ["<a " + "'" * 20_000, "<a " + "'\"" * 20_000 + ">", "<a b" * 20_000, "<!--" * 20_000,
+             "<p " * 20_000 + ">x", "<b>" * 3_000 + "<p>x" * 300, "&amp" * 20_000]
+    for page in pages:
+        text_density.main_text(page)
+    assert time.process_time() - began < 20
+    assert text_density.main_text("a<!-- b > c") == "a"
+    assert text_density.main_text("<p title=\"a > b\">x > y</p>z") == "x > y\n\nz"
+
+
 def test_pages_of_any_kind(spark):
     pages = [PAGE, None, "", "plain &lt;text", "<p>open <b>tags", "<" * 2000, "<div>" * 3000 + "deep", "<script>x", "</p></div>a"]
     rows = [(i, f"u{i}", p, "old") for i, p in enumerate(pages)] + [(0, "u0", PAGE, "old")]
