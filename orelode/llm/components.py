@@ -53,7 +53,6 @@ def large_star(links: DataFrame) -> DataFrame:
         both.filter(F.col("v") > F.col("u"))
         .join(least, F.col("u") == F.col("w"))
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .distinct()
     )
 
 

@@ -111,14 +111,14 @@ def training_rows(docs: DataFrame, text: str, lang: str, eligible: Column, key:
                 counts = subword_counts(value)
                 at = np.flatnonzero(counts)
                 places.append(at.astype(np.int32))
-                values.append(counts[at])
+                values.append(counts[at].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(2), pa.array(places, pa.list_(pa.int32())),
-                 pa.array(values, pa.list_(pa.int64()))],
+                 pa.array(values, pa.list_(pa.int32()))],
                 ["lang", "at", "places", "counts"],
             )
 
-    return mapped(sample, count, "lang string, at double, places array<int>, counts array<long>")
+    return mapped(sample, count, "lang string, at double, places array<int>, counts array<int>")
 
 
 def train(table: pa.Table, epochs: int = 12, rate: float = 4.0, batch: int = 16) -> Model:
@@ -141,7 +141,7 @@ def train(table: pa.Table, epochs: int = 12, rate: float = 4.0, batch: int = 16)
     output = dice.normal(0, 0.1, (WIDTH, len(languages)))
     sparse = []
     for places, counts in rows:
-        weights = counts.values.to_numpy().astype(float)
+        weights = counts.values.to_numpy().astype(np.float32)
         sparse.append((places.values.to_numpy(), weights / weights.sum()))
     learned = np.flatnonzero(~held)
     steps = epochs * -(-len(learned) // batch)

@@ -51,10 +51,11 @@ class Similarity:
     def links(self, common: int, union: int) -> bool:
         return 100 * common >= self.percent * union
 
-    def bands(self, size: int) -> list[tuple[int, int]]:
-        """Bands in which a set of this size seeks partners, each with its number of blocks.
+    def bands(self, size: int) -> list[tuple[int, int, int]]:
+        """Bands in which a set of this size seeks partners, each with its number of blocks and
+        the least number of them that agree with a partner's.
 
-        A pair meets in the band of its smaller set.
+        A pair meets in the band of its smaller set, whose largest pairs decide on the blocks.
         """
         own = int(np.searchsorted(self.starts, size, side="right")) - 1
         found = []
@@ -66,7 +67,8 @@ class Similarity:
             most = self.apart(smallest_most + largest)
             # with no difference allowed, partners are equal sets, which are found as copies
             if size <= largest and most > 0:
-                found.append((band, most + 1))
+                partner = 100 * size // self.percent if band == own else smallest_most
+                found.append((band, most + 1, most + 1 - self.apart(size + partner)))
         return found
 
 
@@ -81,13 +83,17 @@ def shingles(raw: bytes, width: int, hashes: Cache) -> np.ndarray:
     return np.unique(window_hashes(found, width))
 
 
-def block_keys(found: np.ndarray, band: int, blocks: int) -> np.ndarray:
-    """One key for each block of the parity sketch, equal where the blocks are.
+def block_keys(found: np.ndarray, band: int, blocks: int, agree: int) -> np.ndarray:
+    """Keys of the blocks of the parity sketch, equal where the blocks are.
 
     The upper half of a shingle's hash chooses the block, so blocks are runs of the sorted
     hashes; the lower bits choose the bit that it flips. The exclusive or of the whole hashes,
     a second parity code, keeps blocks apart that have few bits. Keys of 48 bits are enough:
     where two blocks share one by chance, the sketches are compared in vain.
+
+    At least ``agree`` blocks are equal in two linked sets, so one fewer may be left out of each:
+    those with the fewest shingles, which unrelated sets share, in an order that depends on the
+    blocks alone. The last in that order of the equal blocks stays in both sets.
     """
     place = ((found >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
     cuts = np.searchsorted(place, np.arange(blocks + 1, dtype=np.uint64))
@@ -95,7 +101,8 @@ def block_keys(found: np.ndarray, band: int, blocks: int) -> np.ndarray:
     for codes in (np.uint64(1) << (found & np.uint64(63)), mixed(found)):
         parity = np.append(np.uint64(0), np.bitwise_xor.accumulate(codes))
         keys = mixed(keys ^ mixed(parity[cuts[1:]] ^ parity[cuts[:-1]]))
-    return keys >> np.uint64(16)
+    keys = keys >> np.uint64(16)
+    return keys[np.lexsort((keys, np.diff(cuts)))[agree - 1 :]]
 
 
 def short_sketch(found: np.ndarray) -> np.ndarray:
@@ -182,7 +189,8 @@ def pair_batch(pairs: list) -> pa.RecordBatch:
 
 
 def candidate_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """From the rows of each block key a forest of the pairs that the short sketches allow."""
+    """From the rows of each block key stars of the nodes that pairs allowed by the short
+    sketches connect."""
     near = Similarity(percent)
     found: set = set()
     for (_, i, j), rows in runs(batches, 3):
@@ -191,12 +199,16 @@ def candidate_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
         sides = rows.column("side").to_numpy()
         if i != j and not (sides.any() and not sides.all()):
             continue
-        nodes = rows.column("node").to_numpy()
+        rows = rows.sort_by("node")
+        nodes, sides = rows.column("node").to_numpy(), rows.column("side").to_numpy()
         sketches = level([np.frombuffer(raw, np.uint64) for raw in rows.column("sketch").to_pylist()])
         forest = Forest(len(nodes))
         for a, b in zip(*near_pairs(sketches, rows.column("n").to_numpy(), sides, near)):
-            if forest.join(int(a), int(b)):
-                found.add((min(nodes[a], nodes[b]), max(nodes[a], nodes[b])))
+            forest.join(int(a), int(b))
+        # stars around the smallest node are alike for many keys, and count once
+        for a in range(len(nodes)):
+            if (root := forest.root(a)) != a and nodes[root] != nodes[a]:
+                found.add((int(nodes[root]), int(nodes[a])))
         if len(found) > 50_000:
             yield pair_batch(list(found))
             found = set()
