@@ -209,6 +209,7 @@ def identify_language(
     results. Columns called lang_pred, score or rejected give way to the new ones.
     """
     model = train(training_rows(docs, text, lang, eligible, key).toArrow())
+    pa.default_memory_pool().release_unused()
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     at = kept.index(text)

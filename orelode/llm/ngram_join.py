@@ -280,6 +280,10 @@ def ngram_components(
     )
     sets = staged(sets, "sets")
     classes = candidate_classes(found, sets, percent)
+    # sizes and fingerprints are all that is read from here on
+    slim = staged(found.select("doc", "n", "node", "check"), "sizes")
+    discard(found)
+    found = slim
     verified = staged(class_links(rows, sets, classes, width, percent), "verified")
     discard(classes)
     # a document with several sets joins them
