@@ -313,7 +313,7 @@ def candidate_classes(found: DataFrame, sets: DataFrame, percent: int) -> DataFr
     blocks = found.filter(F.col("doc").isNotNull()).select(F.explode("keys").alias("key"), "node")
     shared = blocks.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = staged(shared.filter("lo < hi").select("key"), "shared")
-    members = staged(blocks.join(shared, "key", "left_semi").distinct(), "members")
+    members = staged(blocks.join(shared.hint("merge"), "key", "left_semi").distinct(), "members")
     discard(shared)
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     # one fingerprint, one sketch: equal nodes have equal sets but for a collision, and then
@@ -341,7 +341,8 @@ def class_links(
         F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("chunks")
     )
     placed = chunked(members.select("class", "node"), "class", sizes)
-    texts = placed.join(rows, F.col("node") == F.col("doc"))
+    # neither side is bounded, so neither is ever broadcast
+    texts = placed.hint("merge").join(rows, F.col("node") == F.col("doc"))
     return tasks(texts.select("class", "i", "j", "side", "node", "text"), "class").mapInArrow(
         partial(verified_rows, width=width, percent=percent), "a long, b long"
     )
