@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelode.llm.common import mapped, slices, staged
+from orelode.llm.common import mapped, once_in_worker, slices, staged
 
 WINDOW = 2048
 #: Closes every document.
@@ -31,8 +31,8 @@ PLAIN = re.compile(r"[\t\n\r -~¡¿«»À-ÿ]*")
 # Fixed value: how the tokenizer cuts such a text, after lowering it.
 PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
 
-#: Pieces whose ids a task remembers: about 100 MB.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers: under 200 MB.
+REMEMBERED = 800_000
 #: Texts, and new pieces, that are tokenised together.
 TEXTS = 1_024
 TOGETHER = 64
@@ -101,7 +101,7 @@ def signature(ids: np.ndarray, orders: list[np.ndarray]) -> list[int]:
 
 
 def id_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    ids = Ids(path)
+    ids = once_in_worker(f"ids of {path}", lambda: Ids(path))
     orders = [np.random.default_rng(seed).permutation(len(ids.last)).astype(np.int32) for seed in (1, 2)]
     for part in slices(batches, TEXTS):
         raw = ids.of([text or "" for text in part.column(1).to_pylist()])

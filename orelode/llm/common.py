@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -98,6 +99,19 @@ class Cache(dict):
         return value
 
 
+def once_in_worker(name: str, make):
+    """What ``make`` gives, made once in each Python worker and kept for its later tasks.
+
+    Only for what any task would make alike, as a loaded file or remembered results of a pure
+    function. It hangs on the interpreter, as a module of this package would be anew in every
+    task.
+    """
+    kept = sys.__dict__.setdefault("_orelode_kept", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit over all others."""
     with np.errstate(over="ignore"):
