@@ -18,8 +18,8 @@ MARKUP = re.compile(
     r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>",
     re.DOTALL,
 )
-HINTS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 
 # Fixed values of HTML: elements without content, with raw text, and that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -57,27 +57,31 @@ MOSTLY = 0.5
 class Node:
     """An element: its own pieces of text and children in page order, and subtree counts."""
 
-    __slots__ = ("tag", "parent", "items", "dropped", "chars", "tags", "link_chars", "link_tags",
+    __slots__ = ("tag", "parent", "items", "dropped", "named", "chars", "tags", "link_chars", "link_tags",
                  "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, False
         self.items: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def names_other(attributes: str) -> bool:
-    """Whether the attributes mark an element as hidden or as something beside the main text."""
-    if not attributes:
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    for values in HINTS.findall(attributes):
-        for word in re.split(r"[^a-z]+", "".join(values).lower()):
-            if word in NAMED:
-                return True
-    return False
+def told(attributes: str) -> tuple[bool, bool]:
+    """Whether the attributes hide an element, and whether a whole class, id or role names it as
+    something beside the main text: a token made of such words alone."""
+    hidden = named = False
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden":
+            hidden = True
+        elif name == "style":
+            hidden = hidden or UNSEEN.search(value) is not None
+        elif name == "aria-hidden":
+            hidden = hidden or value.strip().lower() == "true"
+        elif name in ("class", "id", "role"):
+            named = named or any(NAMED.issuperset(re.split("[-_]+", token)) for token in value.lower().split())
+    return hidden, named
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
@@ -105,9 +109,11 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         here = closed_by(tag, here)
         rest = found["rest"]
         dropped = here.dropped or tag in DROPPED
-        if not dropped and tag not in ("html", "body", "article", "main"):
-            dropped = names_other(rest)
+        named = False
+        if rest and not dropped and tag not in ("html", "body", "article", "main"):
+            dropped, named = told(rest)
         node = Node(tag, here, dropped)
+        node.named = named
         here.items.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -119,9 +125,47 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             here = node
     if at < len(page):
         here.items.append(page[at:])
+    drop_named(nodes)
     return root, nodes
 
 
+def drop_named(nodes: list[Node]) -> None:
+    """Drops what its name tells to be something else, and all below it.
+
+    An element that holds a main element or an article is kept whatever its name; articles within
+    an article (its comments) do not count. So is one with most of the text of a page whose
+    articles have none: beside one that has, an advert may be the longer text.
+    """
+    if not any(node.named for node in nodes):
+        return
+    chars = {node: 0 for node in nodes}
+    holds: set[Node] = set()
+    for node in reversed(nodes):
+        if node.dropped:
+            continue
+        chars[node] += own_chars(node)
+        if node.parent is not None:
+            chars[node.parent] += chars[node]
+            if node.tag in ARTICLES or node in holds:
+                holds.add(node.parent)
+    within: set[Node] = set()
+    marked = any(node.tag in ARTICLES and chars[node] for node in nodes)
+    for node in nodes:
+        up = node.parent
+        if up is None:
+            continue
+        if up in within or up.tag == "article":
+            within.add(node)
+        if up.dropped:
+            node.dropped = True
+        elif node.named and (node not in holds or node in within):
+            node.dropped = marked and node not in within or chars[node] <= MOSTLY * chars[nodes[0]]
+
+
+def own_chars(node: Node) -> int:
+    return sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
+
+
 def closed_by(tag: str, here: Node) -> Node:
     """The open element that an opening tag belongs into: it may end a paragraph or an item."""
     if tag in BLOCK:
@@ -145,8 +189,7 @@ def weigh(nodes: list[Node]) -> None:
     for node in reversed(nodes):
         if node.dropped:
             continue
-        own = sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
-        node.chars += own
+        node.chars += own_chars(node)
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.link_tags + 1
         up = node.parent

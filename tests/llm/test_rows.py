@@ -284,3 +284,30 @@ def test_pages_of_any_kind(spark):
     assert [found[i]["text"] for i in (1, 2, 3, 4, 6, 7, 8)] == ["", "", "plain <text", "open tags", "deep", "", "a"]
     assert all(v["n_chars"] == len(v["text"]) for v in found.values())
     assert text_density.extract_main_text(frame.limit(0)).collect() == []
+
+
+LONG = "This sentence of the text is long enough to count, and it goes on for a while until it ends."
+
+
+@pytest.mark.parametrize(
+    "opening",
+    ['<div class="content-sidebar-wrap">', '<div class="has-sidebar">', '<div id="no-header">', '<div class="widget">',
+     '<section role="banner" class="menu">', '<div title="The hidden cost">', "<div data-x='display: none'>"],
+)
+def test_names_do_not_drop_the_main_text(opening):
+    close = "</" + opening[1:].split()[0] + ">"
+    paragraphs = "".join(f"<p>{i} {LONG}</p>" for i in range(4))
+    expected = "\n\n".join(f"{i} {LONG}" for i in range(4))
+    for tag in ("article", "main", "div"):
+        page = f"<body><nav>menu</nav>{opening}<{tag}>{paragraphs}</{tag}>{close}<div class=ad>buy</div></body>"
+        assert text_density.main_text(page) == expected
+
+
+def test_hidden_and_named_parts_still_go():
+    parts = ['<div class="x comments">', "<div id=cookie-notice>", "<div hidden>", '<p hidden="">', "<p style='color:red;display: none'>",
+             '<div aria-hidden="true">', '<div class="comments"><article>']
+    for part in parts:
+        page = f'<article><p title="The hidden cost">{LONG}</p><p class="no-header">{LONG}</p>{part}{LONG}'
+        assert text_density.main_text(page) == f"{LONG}\n\n{LONG}"
+    # longer than the article beside it
+    assert text_density.main_text(f"<div class=ad>{LONG} {LONG}</div><article><p>Short.</p></article>") == "Short."
