@@ -49,6 +49,7 @@ WALLS = frozenset("ul ol dl table select div article section main body html td t
 #: Elements that can be the main one, whole articles, and what lies outside the body.
 CONTAINERS = frozenset("#root html body article main section div td table center details".split())
 ARTICLES = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 OUTSIDE = frozenset("html #root".split())
 #: Share of a subtree's text that an article or main element must hold to be taken instead.
 MOSTLY = 0.5
@@ -58,13 +59,15 @@ class Node:
     """An element: its own pieces of text and children in page order, and subtree counts."""
 
     __slots__ = ("tag", "parent", "items", "dropped", "named", "chars", "tags", "link_chars", "link_tags",
-                 "density", "sum")
+                 "density", "sum", "best", "article")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
         self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, False
         self.items: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.best: Node | None = None
+        self.article: Node | None = None
 
 
 def told(attributes: str) -> tuple[bool, bool]:
@@ -184,8 +187,10 @@ def closed_by(tag: str, here: Node) -> Node:
     return here
 
 
-def weigh(nodes: list[Node]) -> None:
-    """Counts of every subtree, its link-adjusted density, and the sum over its children."""
+def weigh(nodes: list[Node]) -> float:
+    """Counts of every subtree, its link-adjusted density and the sum over its children; the
+    container with the largest sum in it, and the longest article below it. Gives the page's
+    share of links."""
     for node in reversed(nodes):
         if node.dropped:
             continue
@@ -203,40 +208,142 @@ def weigh(nodes: list[Node]) -> None:
     for node in nodes:
         if node.dropped or not node.chars:
             continue
-        chars, links = node.chars, max(node.link_chars, 1)
-        plain = max(node.chars - node.link_chars, 1)
-        base = math.log(chars / plain * node.link_chars + share * chars + math.e)
-        tags, link_tags = max(node.tags, 1), max(node.link_tags, 1)
-        ratio = chars / links * tags / link_tags
-        node.density = chars / tags * max(math.log(max(ratio, 1.0)) / math.log(max(base, 1.0001)), 0)
+        node.density = density_of(node.chars, node.tags, node.link_chars, node.link_tags, share)
         if node.parent is not None:
             node.parent.sum += node.density
+    for node in reversed(nodes):
+        if node.dropped:
+            continue
+        # of equal ones the outer, then the first
+        if node.tag in CONTAINERS and node.sum > 0 and (node.best is None or node.sum >= node.best.sum):
+            node.best = node
+        up = node.parent
+        if up is None:
+            continue
+        if node.best is not None and (up.best is None or node.best.sum >= up.best.sum):
+            up.best = node.best
+        longest = node if node.tag in ARTICLES else node.article
+        if longest is not None and (up.article is None or longest.chars >= up.article.chars):
+            up.article = longest
+    return share
+
+
+def density_of(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
+    """Characters per tag, lowered by links."""
+    links, plain = max(link_chars, 1), max(chars - link_chars, 1)
+    base = math.log(chars / plain * link_chars + share * chars + math.e)
+    tags, link_tags = max(tags, 1), max(link_tags, 1)
+    ratio = chars / links * tags / link_tags
+    return chars / tags * max(math.log(max(ratio, 1.0)) / math.log(max(base, 1.0001)), 0)
+
+
+def main_nodes(root: Node, share: float) -> tuple[list[Node], float]:
+    """The subtrees with main text in page order, and the threshold: the least density between
+    the container with the largest sum of child densities and the body.
+
+    From the root down, every subtree that reaches the threshold is taken apart until it is the
+    one with the largest sum in it, which is taken whole; where that one lies deeper, it is taken
+    and the others beside its path are looked at in turn. It gives way to an element around it
+    that adds little text and few links. An article is taken whole, and a container that holds
+    one with most of its text is taken apart. Text that lies bare between elements counts as an
+    element of its own; a heading goes with what follows it.
+    """
+    best = root.best or root
+    path = [best, *ancestors(best)]
+    if any(node.tag == "body" for node in path):
+        path = [node for node in path if node.tag not in OUTSIDE] or path
+    threshold = min(node.density for node in path)
+    taken: list[Node] = []
+    forced: set[Node] = set()
+    ends: dict[Node, Node] = {}
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        inner, target = node.article, node.best
+        mostly = inner is not None and inner.chars >= MOSTLY * node.chars
+        if node.tag in ARTICLES:
+            whole = not (node.tag == "main" and mostly and target is not None and inner in ancestors(target))
+        else:
+            whole = not mostly and (target is None or around(target, node, ends, forced) is node)
+        if whole:
+            taken.append(node)
+            continue
+        if mostly:
+            forced.add(inner)
+            forced.update(between(inner, node))
+        stack.extend(reversed(parts(node, threshold, share, forced)))
+    return taken, threshold
+
+
+def around(target: Node, top: Node, ends: dict[Node, Node], forced: set[Node]) -> Node:
+    """The target or the element below ``top``, or that itself, to which it gives way; what lies
+    on the way from ``top`` to it is marked."""
+    if target not in ends:
+        end = target
+        while end is not top:
+            up = end.parent
+            added, links = up.chars - end.chars, up.link_chars - end.link_chars
+            if up.tag == "body" or up.tag in OUTSIDE or added > MOSTLY * end.chars or 2 * links > added:
+                break
+            end = up
+        ends[target] = end
+        if end is not top:
+            forced.add(end)
+            forced.update(between(end, top))
+    return ends[target]
+
+
+def between(node: Node, top: Node) -> Iterator[Node]:
+    up = node.parent
+    while up is not top:
+        yield up
+        up = up.parent
 
 
-def main_node(root: Node, nodes: list[Node]) -> tuple[Node, float]:
-    """The container with the largest sum of child densities, and the least density on its path
-    to the body.
-
-    A container that holds an article with most of its text gives way to the article. A part of
-    an article gives way to the whole one, and a container to one around it that adds little
-    text and few links (as a heading does).
-    """
-    best = max(nodes, key=lambda n: n.sum if not n.dropped and n.tag in CONTAINERS else 0.0)
-    if best.sum == 0.0:
-        best = root
-    for node in nodes:
-        if node.tag in ARTICLES and not node.dropped and node.chars >= MOSTLY * best.chars:
-            if best in ancestors(node):
-                best = node
-    threshold = min([best.density, *(up.density for up in ancestors(best) if up.tag not in OUTSIDE)])
-    whole = next((up for up in ancestors(best) if up.tag in ARTICLES), None)
-    while whole is None and best.tag not in ARTICLES and best.parent is not None:
-        up = best.parent
-        added, links = up.chars - best.chars, up.link_chars - best.link_chars
-        if up.tag == "body" or up.tag in OUTSIDE or added > MOSTLY * best.chars or 2 * links > added:
-            break
-        best = up
-    return whole or best, threshold
+def parts(node: Node, threshold: float, share: float, forced: set[Node]) -> list[Node]:
+    """Children of an element, and runs of bare text between them, that can hold main text."""
+    units: list[Node] = []
+    run: Node | None = None
+    for item in node.items:
+        if isinstance(item, Node) and (item.tag in BLOCK or item.best is not None or item in forced):
+            run = None
+            if not item.dropped and item.chars:
+                units.append(item)
+            continue
+        if run is None:
+            run = Node("#run", node, False)
+            units.append(run)
+        run.items.append(item)
+        if isinstance(item, str):
+            run.chars += len("".join(item.split()))
+        elif not item.dropped:
+            run.chars += item.chars
+            run.tags += item.tags + 1
+            run.link_chars += item.link_chars
+            run.link_tags += item.link_tags
+    kept, follows = [], False
+    for unit in reversed([unit for unit in units if unit.chars]):
+        if unit.tag == "#run":
+            unit.density = density_of(unit.chars, unit.tags, unit.link_chars, unit.link_tags, share)
+        if unit.density >= threshold or unit in forced:
+            follows = True
+        elif not is_heading(unit):
+            follows = False
+        if follows:
+            kept.append(unit)
+    return kept[::-1]
+
+
+def is_heading(node: Node) -> bool:
+    """Whether all text of an element is that of one heading which is not mostly links."""
+    if 2 * node.link_chars > node.chars:
+        return False
+    while node.tag not in HEADINGS:
+        inner = [x for x in node.items if isinstance(x, Node) and not x.dropped and x.chars]
+        if len(inner) != 1 or inner[0].chars < node.chars:
+            return False
+        node = inner[0]
+    return True
 
 
 def ancestors(node: Node) -> list[Node]:
@@ -287,9 +394,8 @@ def blocks_of(top: Node, threshold: float) -> list[str]:
 def main_text(page: str | None) -> str:
     """The main text of one page; empty for null, for an empty page and for one without text."""
     root, nodes = parse(page or "")
-    weigh(nodes)
-    top, threshold = main_node(root, nodes)
-    return "\n\n".join(blocks_of(top, threshold))
+    tops, threshold = main_nodes(root, weigh(nodes))
+    return "\n\n".join(block for top in tops for block in blocks_of(top, threshold))
 
 
 def extract_main_text(pages: DataFrame, page: str = "html") -> DataFrame:
@@ -297,9 +403,9 @@ def extract_main_text(pages: DataFrame, page: str = "html") -> DataFrame:
 
     Elements that by tag, class, id or role are menus, headers, footers, sidebars, notices,
     adverts, forms, comments or code are left out. Among the others, the subtree with the
-    largest sum of child densities (characters per tag, lowered by links) is the main one;
-    within it, blocks that are mostly links and thinner than every element between the subtree
-    and the body go too.
+    largest sum of child densities (characters per tag, lowered by links) is a main one, and so
+    is every other that is as dense as the least dense element between that one and the body;
+    within them, blocks that are mostly links and thinner than that go too.
 
     Null and empty pages give an empty text. Broken markup never fails: unclosed elements end
     with the page. Rows are independent, so repeated rows and ids give repeated results;

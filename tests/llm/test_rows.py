@@ -311,3 +311,24 @@ def test_hidden_and_named_parts_still_go():
         assert text_density.main_text(page) == f"{LONG}\n\n{LONG}"
     # longer than the article beside it
     assert text_density.main_text(f"<div class=ad>{LONG} {LONG}</div><article><p>Short.</p></article>") == "Short."
+
+
+@pytest.mark.parametrize("count", [1, 3, 5, 10])
+@pytest.mark.parametrize("wrap", ["<div>{}</div>", "<section>{}</section>", "<div><div>{}</div></div>", "<article>{}</article>"])
+def test_text_in_several_subtrees_is_whole(wrap, count):
+    texts = [f"{i} " + " ".join([LONG] * 3) for i in range(3 * count)]
+    halves = [texts[i * count : (i + 1) * count] for i in range(3)]
+    divs = [wrap.format("".join(f"<p>{t}</p>" for t in half)) for half in halves]
+    links = "<div>" + "".join(f"<a href=/{i}>entry {i}</a> " for i in range(30)) + "</div>"
+    page = f"<h1>Title</h1>{divs[0]}{links}{divs[1]}{divs[2]}"
+    expected = "\n\n".join(["Title", *texts])
+    assert text_density.main_text(f"<html><body>{page}</body></html>") == expected
+    assert text_density.main_text(page) == expected
+
+
+def test_bare_text_beside_a_subtree():
+    text = f"{LONG} {LONG}"
+    inner = "".join(f"<p>{text}</p>" for _ in range(5))
+    page = f"<body>{text} <b>bold</b> {text}<div><div>{inner}</div></div><div><h2>More</h2></div><p>{text} {text}</p><p>x</p></body>"
+    expected = [f"{text} bold {text}", *[text] * 5, "More", f"{text} {text}"]
+    assert text_density.main_text(page) == "\n\n".join(expected)
