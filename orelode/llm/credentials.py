@@ -19,14 +19,22 @@ BASE = {
 }
 LEAST_VALUE = 6
 
-#: Parts that mean nothing alone. Group 1 is what follows the name.
+#: What may stand before a name, as in DB_USER; the span begins with it. Neither engine's form
+#: needs a look-behind.
+BEFORE = r"(?:\w*_)?"
+#: The same, but not ending in "secret": a secret_access_key is no identifier.
+NOT_SECRET = r"(?:(?:\w*(?:[^\Wt]|[^\We]t|[^\Wr]et|[^\Wc]ret|[^\We]cret|[^\Ws]ecret)|e?c?r?e?t)?_)?"
+IS = r"[\"']?\x20*[:=]\x20*[\"']?"
+#: Parts that mean nothing alone: names with a value, and endpoints. An assignment whose value
+#: is too short for a base span, or goes on with other signs, is a part too.
 WEAK = {
-    "identifier": r"(?i)\b(?:client_?id|user(?:_?(?:name|id))?|login|account(?:_?id)?|access_?key(?:_?id)?)"
-    r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@+-]{3,})",
-    "credential": r"(?i)\b(?:pass|pwd|pin|auth|bearer|private_?key|access_?secret|credentials?)"
-    r"[\"']?\x20*[:=]\x20*[\"']?([^\s\"'<>]{4,})",
-    "endpoint": r"(?i)\b(?:(?:https?|ftps?|sftp|ssh|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)"
-    r"://[^\s\"'<>]{4,}|(?:host|hostname|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+\.[A-Za-z0-9.-]+(?::[0-9]+)?)",
+    "identifier": rf"(?i)\b(?:{BEFORE}(?:client_?id|user(?:_?(?:name|id))?|login|account(?:_?id)?|access_?key_?id)"
+    rf"|{NOT_SECRET}access_?key){IS}([A-Za-z0-9._@+-]{{3,}})",
+    "credential": rf"(?i)(?:\b{BEFORE}(?:pass(?:_?(?:phrase|code))?|pwd|pin|auth|bearer|access_?secret|credentials?"
+    rf"|secret_?(?:access_?)?key|(?:private|signing|encryption|shared|master|account|storage|session|auth)_?key)"
+    rf"{IS}[^\s\"'<>]{{4,}}|(?:password|passwd|secret|token|api_?key){IS}[^\s\"'<>]+)",
+    "endpoint": rf"(?i)\b{BEFORE}(?:(?:https?|ftps?|sftp|ssh|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)"
+    rf"://[^\s\"'<>]{{4,}}|(?:host|hostname|endpoint|server){IS}[A-Za-z0-9.-]+\.[A-Za-z0-9.-]+(?::[0-9]+)?)",
 }
 KINDS = [*BASE, *WEAK]
 #: The role each kind plays, and the roles of which one has to be near for a weak kind.
@@ -99,8 +107,8 @@ def order_keys(spans: Column) -> Column:
 def find_credentials(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_assign, n_access, n_hex, base_sha256, spans, found`` for every row of ``docs``.
 
-    Base spans stand for themselves. A weak candidate (a named identifier, a short named secret,
-    an endpoint) is reported when a part that complements it lies within ``SCOPE`` code points in
+    Base spans stand for themselves. A weak candidate (a named identifier, a named secret that
+    is no base span, an endpoint) is reported when a part that complements it lies within ``SCOPE`` code points in
     the same text, and when it doesn't overlap a base span. The search for partners is an
     interval join on bins of the text, which asks only whether one exists, so a text full of
     parts is spread over its bins and makes no pairs. ``found`` has the spans with their values.
