@@ -22,9 +22,10 @@ END_ID = 1
 #: Tokens of a shard, the part of the index that is in memory at a time, and of a task.
 SHARD_TOKENS = 2_000_000
 TASK_TOKENS = 32_000_000
-#: Terms of a seed that ask for neighbours, and the constants of BM25.
-QUERY_TERMS = 8
+#: The constants of BM25.
 K1, B = 1.2, 0.75
+#: Neighbours that are put in order at first; the others follow when a window needs them.
+FIRST = 64
 
 #: Texts of these characters have one composed form and one lower form for each character.
 PLAIN = re.compile(r"[\t\n\r -~¡¿«»À-ÿ]*")
@@ -146,25 +147,41 @@ class Shard:
         cuts = np.cumsum([0] + [len(t) for t in terms])
         term, count, owner = map(np.concatenate, (terms, counts, owners))
         weight = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * sizes[owner] / max(mean, 1.0)))
-        self.queries = []
-        for place in range(len(pool)):
-            own = slice(cuts[place], cuts[place + 1])
-            best = np.argsort(-weight[own], kind="stable")[:QUERY_TERMS]
-            self.queries.append(term[own][best])
+        # terms of the shard by number, so that the index is as long as they are
+        known, term = np.unique(term, return_inverse=True)
+        self.terms, self.cuts, self.known = term, cuts, len(known)
+        self.index(term, owner, weight)
+
+    def index(self, term: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> None:
+        """Postings by term, each in the order of the documents."""
         order = np.argsort(term, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
-        self.edges = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        self.term, self.owner, self.weight = term[order], owner[order], weight[order]
+        self.edges = np.searchsorted(self.term, np.arange(self.known + 1)).tolist()
+        self.indexed = int(np.count_nonzero(self.left))
+
+    def forget(self) -> None:
+        """Leaves out the postings of used documents once they are many; the sums of the others
+        keep their order."""
+        if 4 * np.count_nonzero(self.left) < 3 * self.indexed:
+            open_rows = self.left[self.owner] > 0
+            self.index(self.term[open_rows], self.owner[open_rows], self.weight[open_rows])
 
     def neighbours(self, place: int) -> Iterator[int]:
         """Unused documents by falling BM25 score, then the others in the order of the shard."""
-        scores = np.zeros(len(self.pool))
-        for term in self.queries[place]:
-            run = slice(self.edges[term], self.edges[term + 1])
-            # one posting for each document of a term, so no place repeats
-            scores[self.owner[run]] += self.weight[run]
+        self.forget()
+        edges = self.edges
+        runs = [slice(edges[t], edges[t + 1]) for t in self.terms[self.cuts[place] : self.cuts[place + 1]].tolist()]
+        owners = np.concatenate([self.owner[run] for run in runs])
+        scores = np.bincount(owners, np.concatenate([self.weight[run] for run in runs]), len(self.pool))
         scores[self.left == 0] = 0
         scores[place] = 0
         found = np.flatnonzero(scores)
+        # a window needs few of them: the best are put in order first, all that tie with them too
+        if len(found) > 4 * FIRST:
+            least = np.partition(scores[found], len(found) - FIRST)[len(found) - FIRST]
+            high = found[scores[found] >= least]
+            yield from high[np.argsort(-scores[high], kind="stable")].tolist()
+            found = found[scores[found] < least]
         yield from found[np.argsort(-scores[found], kind="stable")].tolist()
         for other in range(self.next, len(self.pool)):
             if self.left[other] and other != place:
@@ -261,7 +278,7 @@ def pack_documents(
     piece. Document frequencies are counted over all documents and are as many as the
     vocabulary. Documents are put in the order of two hashes of their terms, which brings those
     with common terms together and splits any group by key; along that order they fall into
-    shards, each with an inverted index of its own. A seed's heaviest terms ask the shard's index
+    shards, each with an inverted index of its own. All terms of a seed ask the shard's index
     for unused documents, by BM25, and these fill its window; the last one is cut to fit. Only the
     last window of a shard may be short.
 

@@ -10,7 +10,7 @@ from corpus_rows import make_docs
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from orelode.llm.bm25_packing import Ids, pack_documents
+from orelode.llm.bm25_packing import Ids, Shard, pack_documents
 from orelode.llm.pareto_mix import MOST_COPIES, SHARE, WEIGHTS, mix_sources
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -125,6 +125,42 @@ def test_neighbours_share_words(spark):
     assert same > 0.8
 
 
+def test_all_terms_of_a_seed_ask():
+    # a seed's ten rarest terms are its own; the common ones are those of the last document alone
+    dice, vocabulary = np.random.default_rng(1), 2000
+    texts = [np.r_[1000:1010, 0:5], *(dice.integers(500, 900, 20) for _ in range(300)), np.r_[0:5, 1100:1105]]
+    idf = np.full(vocabulary, 1.0)
+    idf[1000:] = 9.0
+    shard = Shard([(i, ids) for i, ids in enumerate(texts)], idf, 15.0, 64)
+    shard.next = 0
+    assert next(shard.neighbours(0)) == len(texts) - 1
+
+
+def test_neighbours_are_in_the_order_of_their_scores():
+    dice = np.random.default_rng(2)
+    idf = dice.random(50) + 0.1
+    texts = [dice.integers(0, 50, dice.integers(5, 30)) for _ in range(400)]
+    shard = Shard([(i, ids) for i, ids in enumerate(texts)], idf, 15.0, 64)
+    shard.next = 0
+    used = dice.permutation(np.arange(1, 400))
+
+    def scores():
+        own = set(texts[0].tolist())
+        found = {}
+        for i, ids in enumerate(texts):
+            count = Counter(t for t in ids.tolist() if t in own)
+            found[i] = sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(ids) / 15.0)) for t, n in count.items())
+        return found
+
+    expected = scores()
+    for gone in (0, 100, 250):
+        shard.left[used[:gone]] = 0
+        found = list(dict.fromkeys(shard.neighbours(0)))
+        ranked = found[: sum(expected[i] > 0 for i in found)]
+        assert all(expected[a] >= expected[b] - 1e-9 for a, b in zip(ranked, ranked[1:]))
+        assert set(found) == set(range(1, 400)) - set(used[:gone].tolist())
+
+
 def test_packing_of_nothing(no_docs):
     assert pack_documents(no_docs, TOKENIZER).collect() == []
 
