@@ -7,8 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from orelode.session import build_session
-
-SF_DIR = "/root/testdata/sf0.001"
+from support import SF_DIR
 
 
 @pytest.fixture(scope="session")
@@ -35,9 +34,3 @@ def lake(spark):
     import __spark_entry__ as registry
 
     return registry.lake(spark, SF_DIR)
-
-
-def rows(frame, *order):
-    """Rows as plain tuples, in a fixed order."""
-    found = [tuple(row) for row in frame.collect()]
-    return found if order == (None,) else sorted(found, key=repr)

@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from orelode import schemas
 from orelode.operators import bronze, gold, invariants, quality, silver
 from orelode.plans import analytics

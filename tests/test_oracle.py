@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
-from conftest import SF_DIR
+from support import SF_DIR
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "

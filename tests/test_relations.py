@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from conftest import SF_DIR
+from support import SF_DIR
 from orelode.operators import quality, silver
 from orelode.plans import analytics
 from orelode.plans.lake import SalesLake

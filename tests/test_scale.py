@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from conftest import rows
+from support import rows
 from orelode.functions.measures import exact_sum, money
 from orelode.operators.lookup import lookup, with_matches
 from orelode.operators.median import lower_median

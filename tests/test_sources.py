@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from orelode import schemas
 from orelode.plans import report
 from orelode.sources import landing, scan, sinks
