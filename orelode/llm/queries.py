@@ -19,6 +19,7 @@ from orelode.llm import (
     ngram_join,
     pareto_mix,
     text_density,
+    whitening,
 )
 from orelode.llm.common import table
 from orelode.llm.oracles import ORACLES  # noqa: F401  (read by the entry)
@@ -72,6 +73,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", "n_chars")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_personal_data": op2_personal_data,
@@ -83,4 +88,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_source_mix": op9_source_mix,
     "op10_main_text": op10_main_text,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
