@@ -85,6 +85,46 @@ SELECT conv_id, COUNT(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+#: CRC-32 of the decimal digits, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+        lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (
+    SELECT conv_id, list(sha256(strlen(role) || ':' || role || text) ORDER BY i) AS codes,
+           list(strlen(text) ORDER BY i) AS sizes, {CRC32} % 9 AS h
+    FROM turns GROUP BY conv_id),
+rebuilt AS (
+    SELECT c.conv_id AS c, list_concat(coalesce(b.codes[1:c.h], []), c.codes[c.h+1:]) AS codes,
+           list_concat(coalesce(b.sizes[1:c.h], []), c.sizes[c.h+1:]) AS sizes
+    FROM lists c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 5),
+members AS (
+    SELECT c, d, codes[1:d] AS path, codes[1:d-1] AS above, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size,
+           d = len(codes) AS is_end
+    FROM (SELECT *, unnest(range(0, len(codes) + 1)) AS d FROM rebuilt)),
+placed AS (SELECT *, MIN(c) OVER (PARTITION BY d, path) AS conv FROM members),
+grouped AS (
+    SELECT conv, d, MIN(above) AS above, COUNT(*) AS n, MIN(size) AS size, any_value(path) AS path,
+           string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end) AS ends
+    FROM placed GROUP BY conv, d),
+nodes AS (
+    SELECT g.*, p.conv AS parent, (SELECT COUNT(*) FROM grouped k WHERE k.d = g.d + 1 AND k.above = g.path) AS children
+    FROM grouped g LEFT JOIN grouped p ON p.d = g.d - 1 AND p.path = g.above),
+sums AS (
+    SELECT a.conv, a.d, SUM((v.n - 1) * v.size) AS saved, COUNT(*) FILTER (v.children = 0) AS leaves
+    FROM nodes v JOIN placed a ON a.c = v.conv AND a.d <= v.d GROUP BY a.conv, a.d)
+SELECT conv AS conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, children AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM nodes JOIN sums USING (conv, d)
+"""
+
 
 def quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
@@ -147,4 +187,5 @@ ORACLES = {
     "op4_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
     "op6_credential_linking": credential_linking(),
     "op11_chat_format": CHAT_FORMAT,
+    "op12_prefix_trie": PREFIX_TRIE,
 }

@@ -19,6 +19,7 @@ from orelode.llm import (
     line_cleaning,
     ngram_join,
     pareto_mix,
+    prefix_trie,
     text_density,
     whitening,
 )
@@ -86,6 +87,10 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_template.read_back(chat_template.format_conversations(rows))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -102,5 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_main_text": op10_main_text,
     "op11_chat_format": op11_chat_format,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
