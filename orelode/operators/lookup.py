@@ -76,7 +76,7 @@ def lookup(
 def text_bytes(rows: DataFrame) -> int:
     """Bytes of the columns without a fixed width; no job where there is none."""
     fixed = ("int", "bigint", "double", "date", "boolean", "smallint", "tinyint", "float")
-    wide = [name for name, kind in rows.dtypes if kind not in fixed]
+    wide = [name for name, kind in rows.dtypes if not kind.startswith(("decimal", *fixed))]
     if not wide:
         return 0
     sizes = [F.sum(F.octet_length(F.col(name).cast("string"))) for name in wide]

@@ -11,6 +11,8 @@ from orelode.functions.measures import FINE, exact_sum, money, percent, ratio
 from orelode.operators.invariants import demo_inner_join_cost, no_customer, no_product
 from orelode.operators.lookup import BROADCAST_ROWS
 from orelode.operators.median import ACCURACY, lower_median
+from orelode.operators.ranking import in_any_top
+from orelode.sources.sinks import staged
 
 TOP = 10
 
@@ -112,19 +114,16 @@ def q2_top_quantity(fact: DataFrame, dim_product: DataFrame, top: int = TOP) ->
 def q2_rank_comparison(fact: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
     """Products in the top by revenue or by quantity, with both ranks (ties share one).
 
-    The best ``top`` products hold all values of a rank up to ``top``; the products with such a
-    value are the ones to show. Their ranks come from counting all products between the values
-    to be ranked, which is a partial aggregate; no window sees the products.
+    The measures, one row per product, are written once and ranked from there; however many
+    products share a value, none of it passes through one task or row.
     """
-    measures = product_measures(fact, dim_product).select("product_id", "revenue", "quantity")
-    shown = None
-    for value in ("revenue", "quantity"):
-        best = measures.orderBy(F.desc(value), "product_id").limit(top).select(value).distinct()
-        found = measures.join(F.broadcast(best), value, "left_semi").select(*measures.columns)
-        shown = found if shown is None else shown.unionByName(found)
-    shown = shown.distinct()
-    for value in ("revenue", "quantity"):
-        shown = with_rank(shown, measures, value)
+    return rank_comparison(staged(product_measures(fact, dim_product), "measures"), dim_product, top)
+
+
+def rank_comparison(measures: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
+    """The same from a table of measures by product."""
+    values = ["revenue", "quantity"]
+    shown = in_any_top(measures.select("product_id", *values), values, top)
     by_revenue = F.col("revenue_rank") <= top
     by_quantity = F.col("quantity_rank") <= top
     ranked = shown.withColumn(
@@ -143,40 +142,6 @@ def q2_rank_comparison(fact: DataFrame, dim_product: DataFrame, top: int = TOP)
     )
 
 
-def with_rank(shown: DataFrame, measures: DataFrame, value: str) -> DataFrame:
-    """``shown`` with the RANK of its values of one measure among all products.
-
-    The values to rank, in falling order, cut the products into steps: a product's step is the
-    number of these values that are not below its own. A value is outranked by the products of
-    the steps up to its place. There are as many steps as values to rank.
-    """
-    cuts = shown.agg(F.sort_array(F.collect_set(value), asc=False).alias("cuts"))
-    step = F.size(F.filter("cuts", lambda cut: cut >= F.col(value)))
-    steps = beside(measures, cuts).groupBy(step.alias("step")).agg(F.count("*").alias("products"))
-    counts = steps.agg(
-        F.map_from_entries(F.collect_list(F.struct("step", "products"))).alias("counts")
-    )
-    ranked = beside(beside(shown, cuts), counts)
-    above = F.aggregate(
-        F.sequence(F.lit(0), (F.array_position("cuts", F.col(value)) - 1).cast("int")),
-        F.lit(0).cast("bigint"),
-        lambda total, i: total + F.coalesce(F.try_element_at("counts", i), F.lit(0)),
-    )
-    return ranked.withColumn(f"{value}_rank", above + 1).drop("cuts", "counts")
-
-
-def beside(rows: DataFrame, one: DataFrame) -> DataFrame:
-    """Every row with the columns of a one-row table, by an equality that always holds."""
-    # Always 0, but not a literal: a literal would be folded out of the join keys.
-    zero = F.pmod(F.xxhash64(*rows.columns[:1]), F.lit(1))
-    other = one.withColumn("_other", F.pmod(F.xxhash64(F.size(one.columns[0])), F.lit(1)))
-    return (
-        rows.withColumn("_zero", zero)
-        .join(F.broadcast(other), F.col("_zero") == F.col("_other"))
-        .drop("_zero", "_other")
-    )
-
-
 def _orders(fact: DataFrame) -> DataFrame:
     """One row per order, which is an invoice number on a day."""
     return fact.groupBy("invoiceno", "date_id").agg(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orelode.session import application_folder
+
 
 def write_parquet(rows: DataFrame, path: str) -> DataFrame:
     """Snappy Parquet table, replaced as a whole; returns the table read back."""
@@ -53,6 +56,16 @@ def read_table(like: DataFrame, path: str) -> DataFrame:
     return like.sparkSession.read.schema(like.schema).parquet(path)
 
 
+def staged(rows: DataFrame, label: str) -> DataFrame:
+    """Intermediate rows that several plans read, written once to a folder of their own.
+
+    The folder lies in this application's part of the shared folder. Plans made from the rows
+    read them when they run, so it stays until ``remove_folder`` or the end of the application.
+    """
+    folder = f"{application_folder(rows.sparkSession)}/staging/{label}-{uuid.uuid4().hex}"
+    return write_parquet(rows, folder)
+
+
 def _folder(spark: SparkSession, path: str):
     """A folder and the file system that holds it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -15,7 +15,10 @@ from orelode.functions.measures import exact_sum, money
 from orelode.operators.lookup import lookup, with_matches
 from orelode.operators.median import lower_median
 from orelode.operators.numbering import number_rows, ranks
+from orelode.operators import ranking
+from orelode.operators.ranking import in_any_top, range_bounds, range_of
 from orelode.plans import analytics
+from orelode.sources import sinks
 
 
 @pytest.fixture(scope="module")
@@ -201,3 +204,52 @@ def test_orphan_profiles_are_the_same_without_any_broadcast(lake, latest_only):
     raw = (lake.orders_raw(), lake.products_raw(), lake.users_raw(), latest_only)
     for profile in (quality.quality_orphan_keys, quality.quality_inner_join_loss):
         assert rows(profile(*raw)) == rows(profile(*raw, broadcast_rows=0))
+
+
+def test_ranks_of_many_ties_need_no_list_of_values(spark, monkeypatch):
+    """100,000 products share the tenth quantity; the plan collects nothing and has no global sort."""
+    quantity = F.when(F.col("id") < 9, 1000 - F.col("id")).when(F.col("id") < 100_009, 5).otherwise(1)
+    measures = spark.range(120_000).select(
+        F.col("id").alias("product_id"), (F.col("id") * 37 % 1009).cast("decimal(38,2)").alias("revenue"),
+        quantity.cast("long").alias("quantity"),
+    )
+    path = sinks.staged(measures, "ties")
+    monkeypatch.setattr(ranking, "RANGE_VALUES", 10_000)
+    found = in_any_top(path, ["revenue", "quantity"], 10)
+    text = found._jdf.queryExecution().toString()
+    assert "collect_set" not in text and "collect_list" not in text
+    window = {v: F.rank().over(Window.orderBy(F.desc(v))) for v in ("revenue", "quantity")}
+    expected = measures.select("*", *[w.alias(f"{v}_rank") for v, w in window.items()])
+    expected = expected.filter("revenue_rank <= 10 or quantity_rank <= 10")
+    assert expected.count() > 100_000
+    assert found.exceptAll(expected.select(*found.columns)).isEmpty() and found.count() == expected.count()
+    assert rows(in_any_top(path, ["revenue", "quantity"], 10, broadcast_rows=0).limit(5).select("product_id"))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(-3, 3) | st.none(), st.integers(0, 4)), min_size=1, max_size=40), st.integers(1, 4))
+def test_tops_equal_windows(spark, pairs, top):
+    # a range for every few values
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ranking, "RANGE_VALUES", 3)
+        check_tops(spark, pairs, top)
+
+
+def check_tops(spark, pairs, top):
+    frame = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "id int, a int, b long")
+    expected = []
+    for i, (a, b) in enumerate(pairs):
+        rank_a = None if a is None else 1 + sum(x is not None and x > a for x, _ in pairs)
+        rank_b = 1 + sum(y > b for _, y in pairs)
+        if rank_a is not None and rank_a <= top or rank_b <= top:
+            expected.append((i, a, b, rank_a, rank_b))
+    found = in_any_top(frame, ["a", "b"], top).select("id", "a", "b", "a_rank", "b_rank")
+    assert rows(found) == sorted(expected, key=repr)
+
+
+def test_ranges_split_the_distinct_values(spark):
+    frame = spark.range(50_000).selectExpr("if(id < 40000, 7, id) AS v")
+    bounds = range_bounds(frame, ["v"], ranges=16)["v"]
+    sizes = frame.distinct().groupBy(F.expr(range_of("double(v)", bounds)).alias("r")).count()
+    assert sizes.count() >= 15 and sizes.agg(F.max("count")).first()[0] < 2 * 10_001 / 16
+    assert range_bounds(frame.limit(0), ["v"], ranges=16) == {}
