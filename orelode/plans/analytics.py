@@ -33,13 +33,18 @@ def last_day(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return days.agg(F.max("full_date").alias("last_day"))
 
 
+def months_start(fact: DataFrame, dim_date: DataFrame, months: int) -> DataFrame:
+    """The last day moved back by ``months``, as one row."""
+    return last_day(fact, dim_date).select(F.add_months("last_day", -months).alias("start"))
+
+
 def _last_months(fact: DataFrame, dim_date: DataFrame, months: int) -> DataFrame:
     """Facts strictly after the last day moved back by ``months``.
 
     The bound is a scalar subquery, known before the scan starts: on the partition
     columns it skips whole months, on the calendar it selects the days.
     """
-    start = last_day(fact, dim_date).select(F.add_months("last_day", -months).alias("start"))
+    start = months_start(fact, dim_date, months)
     first_month = start.select(F.date_format("start", "yyyyMM")).scalar()
     days = dim_date.filter(F.col("full_date") > start.scalar()).select("date_id")
     recent = fact.filter(F.concat("year", "month") >= first_month)
@@ -66,6 +71,11 @@ def q1_by_country(fact: DataFrame, dim_date: DataFrame, months: int = 3) -> Data
         .groupBy("country")
         .agg(F.count("*").alias("lines"), exact_sum("line_amount").alias("revenue"))
     )
+    return country_shares(countries)
+
+
+def country_shares(countries: DataFrame) -> DataFrame:
+    """Lines and exact revenue by country, with each country's share of the whole."""
     everything = F.sum("revenue").over(Window.partitionBy())
     shares = countries.withColumn("revenue_share_pct", percent(F.col("revenue"), everything))
     ordered = shares.orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("country"))
@@ -74,18 +84,23 @@ def q1_by_country(fact: DataFrame, dim_date: DataFrame, months: int = 3) -> Data
 
 def product_measures(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Exact revenue, quantity and mean line price per real product, without its names."""
-    measures = (
+    sums = (
         fact.filter(~no_product())
         .groupBy("product_id")
         .agg(
             exact_sum("line_amount").alias("revenue"),
             F.sum("quantity").alias("quantity"),
-            ratio(
-                F.round(exact_sum("unit_price", FINE), 6), F.count("unit_price")
-            ).alias("avg_unit_price"),
+            exact_sum("unit_price", FINE).alias("prices"),
+            F.count("unit_price").alias("priced"),
         )
     )
-    return measures.join(dim_product.select("product_id"), "product_id", "left_semi")
+    return mean_prices(sums).join(dim_product.select("product_id"), "product_id", "left_semi")
+
+
+def mean_prices(sums: DataFrame) -> DataFrame:
+    """Sums by product with the mean of its line prices."""
+    mean = ratio(F.round("prices", 6), F.col("priced")).alias("avg_unit_price")
+    return sums.select("product_id", "revenue", "quantity", mean)
 
 
 def named(products: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -96,17 +111,25 @@ def named(products: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def q2_top_revenue(fact: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
+    return top_revenue(product_measures(fact, dim_product), dim_product, top)
+
+
+def top_revenue(measures: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
     columns = ["product_id", "title", "category", "revenue", "quantity", "avg_unit_price"]
     order = [F.desc("revenue"), F.asc("product_id")]
-    products = product_measures(fact, dim_product).orderBy(*order).limit(top)
+    products = measures.orderBy(*order).limit(top)
     ordered = named(products, dim_product).orderBy(*order).limit(top)
     return ordered.select(*columns).withColumn("revenue", money("revenue"))
 
 
 def q2_top_quantity(fact: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
+    return top_quantity(product_measures(fact, dim_product), dim_product, top)
+
+
+def top_quantity(measures: DataFrame, dim_product: DataFrame, top: int = TOP) -> DataFrame:
     columns = ["product_id", "title", "category", "quantity", "revenue"]
     order = [F.desc("quantity"), F.asc("product_id")]
-    products = product_measures(fact, dim_product).orderBy(*order).limit(top)
+    products = measures.orderBy(*order).limit(top)
     ordered = named(products, dim_product).orderBy(*order).limit(top)
     return ordered.select(*columns).withColumn("revenue", money("revenue"))
 
@@ -155,10 +178,15 @@ def q3_monthly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     Order, then invoice within the month, then month: each step aggregates the one before
     on the map side, so no distinct count has to multiply the fact's rows.
     """
+    return monthly_of(_orders(fact), dim_date)
+
+
+def monthly_of(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The same from one row per order."""
     months = ["year", "month", "month_name"]
     calendar = dim_date.select("date_id", *months)
     invoices = (
-        _orders(fact)
+        orders
         .join(calendar, "date_id")
         .groupBy(*months, "invoiceno")
         .agg(
@@ -180,7 +208,12 @@ def q3_monthly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def q3_additivity_check(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Monthly distinct counts added up, against the distinct counts of the whole."""
-    orders = fact.filter(F.col("invoiceno").isNotNull()).select("invoiceno", "date_id").distinct()
+    return additivity_of(fact.select("invoiceno", "date_id"), dim_date)
+
+
+def additivity_of(keys: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The same from invoice numbers and days, in any number of copies."""
+    orders = keys.filter(F.col("invoiceno").isNotNull()).distinct()
     calendar = dim_date.select("date_id", "year", "month")
     dated = F.col("year").isNotNull()
     per_month = (
@@ -211,6 +244,11 @@ def q4_basket_by_country(fact: DataFrame, exact: bool = True) -> DataFrame:
     orders = fact.groupBy("invoiceno", "date_id", "country").agg(
         exact_sum("line_amount").alias("amount"), F.sum("quantity").alias("items")
     )
+    return baskets_of(orders, exact)
+
+
+def baskets_of(orders: DataFrame, exact: bool = True) -> DataFrame:
+    """The same from one row per order and country."""
     sketch = F.percentile_approx("amount", 0.5, ACCURACY).alias("median_basket")
     baskets = orders.groupBy("country").agg(
         F.count("*").alias("orders"),
@@ -240,6 +278,11 @@ def q5_top_customers(fact: DataFrame, dim_customer: DataFrame, top: int = 5) ->
         .groupBy("customer_id", "invoiceno", "date_id")
         .agg(exact_sum("line_amount").alias("amount"), F.count("*").alias("lines"))
     )
+    return top_customers(orders, dim_customer, top)
+
+
+def top_customers(orders: DataFrame, dim_customer: DataFrame, top: int = 5) -> DataFrame:
+    """The same from one row per customer and order."""
     measures = orders.groupBy("customer_id").agg(
         F.sum("amount").alias("revenue"),
         F.sum("lines").alias("lines"),
@@ -260,11 +303,11 @@ def q5_top_customers(fact: DataFrame, dim_customer: DataFrame, top: int = 5) ->
     return ranked.select(*columns).withColumn("revenue", money("revenue"))
 
 
-def _population() -> Column:
+def population_of(without_product: Column) -> Column:
     """What is missing on a line; the first case that applies."""
     return (
-        F.when(no_product() & no_customer(), NO_KEYS)
-        .when(no_product(), NO_PRODUCT)
+        F.when(without_product & no_customer(), NO_KEYS)
+        .when(without_product, NO_PRODUCT)
         .when(F.col("customer_id") == schemas.ORPHAN_CUSTOMER, DELETED_CUSTOMER)
         .when(F.col("customer_id") == schemas.UNRECORDED_CUSTOMER, NO_CUSTOMER)
         .otherwise(COMPLETE_KEYS)
@@ -273,11 +316,16 @@ def _population() -> Column:
 
 def q6_orphan_population(fact: DataFrame) -> DataFrame:
     """Lines, quantity and revenue by what is missing, with shares of the whole."""
-    populations = fact.groupBy(_population().alias("population")).agg(
+    populations = fact.groupBy(population_of(no_product()).alias("population")).agg(
         F.count("*").alias("lines"),
         F.sum("quantity").alias("quantity"),
         exact_sum("line_amount").alias("revenue"),
     )
+    return population_shares(populations)
+
+
+def population_shares(populations: DataFrame) -> DataFrame:
+    """Lines, quantity and exact revenue by population, with shares of the whole."""
     everything = Window.partitionBy()
     shares = populations.select(
         "population",
@@ -306,6 +354,11 @@ def q6_orphan_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     daily = fact.groupBy("date_id").agg(
         F.count("*").alias("lines"), F.count_if(no_product() | no_customer()).alias("orphans")
     )
+    return trend_of(daily, dim_date)
+
+
+def trend_of(daily: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The same from lines and unresolved lines by day."""
     monthly = (
         daily.join(dim_date.select("date_id", "year", "month"), "date_id")
         .groupBy("year", "month")

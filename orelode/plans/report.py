@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql.window import Window
 
 from orelode.functions.measures import plain_text
 from orelode.plans import analytics
-from orelode.sources.sinks import copy_folder
+from orelode.sources.sinks import copy_folder, move_folder, remove_folder
 
 # The question each result answers, its place within the question, its title.
 QUERY_INDEX = {
@@ -117,30 +116,37 @@ def report_by_question(long: DataFrame) -> DataFrame:
 
 
 def publish_results(
-    results: Mapping[str, DataFrame], path: str, run_id: str, at_once: int = 4
+    results: Mapping[str, DataFrame], path: str, run_id: str
 ) -> dict[str, DataFrame]:
     """Keep one history folder per run, replace the ``latest`` folder, return the results
     as they were published.
 
-    Each result is computed once, for its history file, and the long form once, from these
-    files. The files are copied to ``latest`` as they are: results are small, a copy needs no
-    job. Results go out as JSON lines, the long form as CSV. Their jobs are short, so a few of
-    them are submitted at a time.
+    One job computes all results: in one plan they share the scans and shuffles that they have in
+    common, and their stages run side by side. Its files are moved to the history folder of each
+    result. The long form is made from these files. All go to
+    ``latest`` as copies: results are small, a move or a copy needs no job. Results go out as
+    JSON lines, the long form as CSV.
     """
-
-    def publish(name: str) -> DataFrame:
+    spark = next(iter(results.values())).sparkSession
+    lines = [
+        result.select(F.lit(name).alias("query"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in result.columns])).alias("value"))
+        for name, result in results.items()
+    ]
+    staging = f"{path}/staging/{run_id}"
+    reduce(DataFrame.unionByName, lines).write.mode("overwrite").partitionBy("query").text(staging)
+    published = {}
+    for name, result in results.items():
         folder = f"{path}/history/raw/{name}/run_id={run_id}"
-        results[name].write.mode("overwrite").json(folder)
-        spark = results[name].sparkSession
+        move_folder(spark, f"{staging}/query={name}", folder)
         copy_folder(spark, folder, f"{path}/latest/raw/{name}")
-        return spark.read.schema(results[name].schema).json(folder)
+        published[name] = spark.read.schema(result.schema).json(folder)
+    remove_folder(spark, staging)
 
-    with ThreadPoolExecutor(at_once) as pool:
-        published = dict(zip(results, pool.map(publish, results)))
     folder = f"{path}/history/report/run_id={run_id}"
     long = report_long_format(published)
-    long.coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
-    copy_folder(long.sparkSession, folder, f"{path}/latest/report")
+    # to one file, but not in one task
+    long.repartition(1).write.mode("overwrite").option("header", True).csv(folder)
+    copy_folder(spark, folder, f"{path}/latest/report")
     return published
 
 

@@ -87,3 +87,16 @@ def copy_folder(spark: SparkSession, source: str, target: str) -> None:
     spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
         system, place, target_system, copy, False, True, spark.sparkContext._jsc.hadoopConfiguration()
     )
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a folder in the place of another one; a source that is not there leaves an empty one."""
+    place, system = _folder(spark, source)
+    goal, _ = _folder(spark, target)
+    system.delete(goal, True)
+    if system.exists(place):
+        system.mkdirs(goal.getParent())
+        if not system.rename(place, goal):
+            raise OSError(f"cannot move {source} to {target}")
+    else:
+        system.mkdirs(goal)
