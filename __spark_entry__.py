@@ -18,7 +18,7 @@ from orelode.plans import analytics, delivery, report, summary
 from orelode.plans.lake import SalesLake
 from orelode.schemas import INGESTION, ORDERS_COLUMNS
 from orelode.session import application_folder
-from orelode.sources import landing, scan, sinks
+from orelode.sources import landing, scan, sinks, versions
 
 try:  # the only place that may run without the operators for training text
     import corpus_pipeline
@@ -33,7 +33,7 @@ _lakes: dict[tuple, SalesLake] = {}
 
 def lake(spark: SparkSession, sf_dir: str) -> SalesLake:
     """The lake over the tables of ``sf_dir``, built once per application and state of them."""
-    key = (spark.sparkContext.applicationId, sf_dir, *versions(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, *table_states(sf_dir))
     if key not in _lakes:
         folder = hashlib.sha256(repr(key).encode()).hexdigest()[:16]
         root = f"{application_folder(spark)}/{folder}"
@@ -58,7 +58,7 @@ DELIVERIES = {
 def landed(spark: SparkSession, sf_dir: str, root: str, source: str) -> str:
     """Text files of a source, landed date by date; the second date arrives twice."""
     path, staging = f"{root}/landed/{source}", f"{root}/staging/{source}"
-    rows = sinks.write_parquet(DELIVERIES[source](spark, sf_dir), staging)
+    rows = sinks.write_plain(DELIVERIES[source](spark, sf_dir), staging)
     for date in (delivery.FIRST_DATE, delivery.SECOND_DATE, delivery.SECOND_DATE):
         one = rows.filter(F.col(INGESTION) == date)
         landing.land_snapshot(one, path, date, "csv" if source == "orders" else "json")
@@ -66,7 +66,7 @@ def landed(spark: SparkSession, sf_dir: str, root: str, source: str) -> str:
     return path
 
 
-def versions(sf_dir: str) -> list[tuple[str, int, int]]:
+def table_states(sf_dir: str) -> list[tuple[str, int, int]]:
     """Size and time of the tables where they are local files; elsewhere they stay as they
     are for as long as an application runs."""
     paths = [f"{sf_dir}/{table}.parquet" for table in delivery.TABLES]
@@ -120,8 +120,9 @@ def discover_partitions(t: SalesLake) -> DataFrame:
     application = t.spark.sparkContext.applicationId.replace("-", "_")
     table = f"orders_raw_{application}_{os.path.basename(t.root)}"
     columns = ", ".join(f"{name} STRING" for name in ORDERS_COLUMNS)
-    rows = landing.discover_partitions(t.spark, table, f"{t.root}/bronze/orders_raw", columns)
-    rows = sinks.write_parquet(rows, t.scratch("discover_partitions"))
+    folder = versions.version_folder(t.spark, f"{t.root}/bronze/orders_raw")
+    rows = landing.discover_partitions(t.spark, table, folder, columns)
+    rows = sinks.write_plain(rows, t.scratch("discover_partitions"))
     t.spark.sql(f"DROP TABLE {table}")
     return rows
 
@@ -237,6 +238,7 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "write_parquet": write_parquet,
     "rebuild_zone": rebuild_zone,
     "publish_results": publish_results,
+    "recorded_rows": lambda t: t.recorded_rows(),
     # raw layer
     "bronze_header_leak": lambda t: bronze.bronze_header_leak(t.orders_raw()),
     "bronze_anomaly_counts": lambda t: bronze.bronze_anomaly_counts(t.orders_raw()),

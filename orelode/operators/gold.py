@@ -62,7 +62,10 @@ def dim_customer(users_clean: DataFrame) -> DataFrame:
 
 
 def fact_resolve_product(
-    rows: DataFrame, products: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame,
+    products: DataFrame,
+    broadcast_rows: int = BROADCAST_ROWS,
+    products_rows: int | None = None,
 ) -> DataFrame:
     """Put the convention key where the product id is NULL or not in the dimension.
 
@@ -70,7 +73,7 @@ def fact_resolve_product(
     key is an unknown id like any other. The delivered id stays as ``source_product_id``.
     """
     natural = products.filter(~F.col("is_unknown")).select(F.col("product_id").alias("known_id"))
-    found = with_matches(rows, natural, "product_id", "known_id", "_found", broadcast_rows)
+    found = with_matches(rows, natural, "product_id", "known_id", "_found", broadcast_rows, products_rows)
     known = F.when(F.col("_found") > 0, F.col("product_id"))
     return found.withColumns(
         {
@@ -85,6 +88,7 @@ def fact_resolve_customer(
     customers: DataFrame,
     broadcast_rows: int = BROADCAST_ROWS,
     key_source: DataFrame | None = None,
+    customers_rows: int | None = None,
 ) -> DataFrame:
     """NULL id: not recorded. Id not in the dimension: orphan. Otherwise the id itself."""
     natural = customers.filter(F.col("customer_type") == "Known").select(
@@ -97,7 +101,8 @@ def fact_resolve_customer(
         "known_id",
         "_found",
         broadcast_rows,
-        key_source=key_source,
+        customers_rows,
+        key_source,
     )
     key = (
         F.when(F.col("customer_id").isNull(), F.lit(schemas.UNRECORDED_CUSTOMER).cast("bigint"))
@@ -134,13 +139,18 @@ def fact_sales(
     customers: DataFrame,
     staging: str,
     broadcast_rows: int = BROADCAST_ROWS,
+    products_rows: int | None = None,
+    customers_rows: int | None = None,
 ) -> DataFrame:
     """The fact: every clean order line once, with resolved keys and a surrogate id.
 
-    Its rows lie in time order, so they can be written by year and month as they are.
+    Its rows lie in time order, so they can be written by year and month as they are. The sizes of
+    the dimensions are counted unless bounds are given.
     """
-    resolved = fact_resolve_product(orders_clean, products, broadcast_rows)
-    resolved = fact_resolve_customer(resolved, customers, broadcast_rows, orders_clean)
+    resolved = fact_resolve_product(orders_clean, products, broadcast_rows, products_rows)
+    resolved = fact_resolve_customer(
+        resolved, customers, broadcast_rows, orders_clean, customers_rows
+    )
     return fact_surrogate_id(resolved, staging).select(
         "sale_id",
         "invoiceno",

@@ -24,11 +24,12 @@ def lookup(
     right_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     key_source: DataFrame | None = None,
+    right_bytes: int | None = None,
 ) -> DataFrame:
     """Left join to ``right``, which has one row per key; every left row stays once.
 
     The size of ``right`` decides: its rows, which are counted unless an upper bound is given as
-    ``right_rows``, and the bytes of its texts, if it has any. (The count of a whole written
+    ``right_rows``, and the bytes of its texts, if it has any, which ``right_bytes`` may bound. (The count of a whole written
     table comes from the file footers, that of a filtered one from a scan.) Up to
     ``broadcast_rows`` it is broadcast and ``left`` is not shuffled. Beyond that both sides are shuffled on
     the key, except that the left rows of hot keys take their values from a broadcast of
@@ -38,7 +39,7 @@ def lookup(
     the outcome of a costly plan. Which keys count as hot changes the work, not the result.
     """
     bound = right.count() if right_rows is None else right_rows
-    if bound <= broadcast_rows and text_bytes(right) <= BROADCAST_TEXT:
+    if bound <= broadcast_rows and (text_bytes(right) if right_bytes is None else right_bytes) <= BROADCAST_TEXT:
         joined = left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
         return joined.drop(right[right_key])
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orelode.sources.sinks import write_parquet
+from orelode.sources.sinks import write_plain
 
 # monotonically_increasing_id() is (partition << 33) + row within the partition.
 ROW_BITS = 33
@@ -29,7 +29,7 @@ def number_rows(rows: DataFrame, order: Sequence[Column], out: str, staging: str
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    placed = write_parquet(placed, staging)
+    placed = write_plain(placed, staging)
     ranges = placed.groupBy(F.shiftright(place, ROW_BITS).alias("_range")).agg(
         F.count("*").alias("_rows")
     )

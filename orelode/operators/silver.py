@@ -80,12 +80,17 @@ def silver_standardise(
     spellings: DataFrame,
     column: str = "country",
     broadcast_rows: int = BROADCAST_ROWS // 10,
+    size: tuple[int | None, int | None] = (None, None),
 ) -> DataFrame:
-    """Replace a column by its standard name; a spelling not on the list gives NULL."""
+    """Replace a column by its standard name; a spelling not on the list gives NULL.
+
+    ``size`` gives rows and text bytes of the list, where they are known without counting.
+    """
     names = spellings.groupBy("spelling").agg(F.min("standard").alias("standard"))
     keyed = rows.withColumn("_form", spelling_key(F.col(column)))
-    bound = spellings.count()
-    found = lookup(keyed, names, "_form", "spelling", bound, broadcast_rows)
+    bound, texts = size
+    bound = spellings.count() if bound is None else bound
+    found = lookup(keyed, names, "_form", "spelling", bound, broadcast_rows, right_bytes=texts)
     return found.withColumn(column, F.col("standard")).drop("_form", "standard")
 
 
@@ -120,12 +125,15 @@ def rejected_by_rule(orders: DataFrame) -> DataFrame:
 
 
 def silver_orders(
-    orders: DataFrame, spellings: DataFrame, date_formats: Sequence[str] = ()
+    orders: DataFrame,
+    spellings: DataFrame,
+    date_formats: Sequence[str] = (),
+    spellings_size: tuple[int | None, int | None] = (None, None),
 ) -> DataFrame:
     """The clean orders: one row per business tuple that meets every rule."""
     kept = silver_reject_rules(silver_typed(silver_dedup(orders), date_formats))
     stamp = F.col("invoice_timestamp")
-    return silver_standardise(kept, spellings).select(
+    return silver_standardise(kept, spellings, size=spellings_size).select(
         "invoiceno",
         "product_id",
         "quantity",

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orelode.operators import gold, silver
 from orelode.operators.lookup import BROADCAST_ROWS
 from orelode.schemas import INGESTION
 from orelode.sources.landing import latest_snapshot
+from orelode.sources import versions
 from orelode.sources.sinks import rebuild_zone, remove_folder
 
 MONTHS = ("year", "month")
@@ -38,6 +41,7 @@ class SalesLake:
     latest_only: bool = True
     broadcast_rows: int = BROADCAST_ROWS
     _tables: dict[str, DataFrame] = field(default_factory=dict)
+    _commits: dict[str, versions.Commit] = field(default_factory=dict)
 
     def saved(
         self,
@@ -51,8 +55,28 @@ class SalesLake:
         if name not in self._tables:
             path = f"{self.root}/{zone}/{name}"
             self._tables[name] = rebuild_zone(build(), path, by, clustered)
+            self._commits[name] = versions.last_commit(self.spark, path)
         return self._tables[name]
 
+    def size(self, name: str) -> tuple[int | None, int | None]:
+        """Rows and text bytes of a table that has been built, as observed while it was written:
+        what others need to know of it costs no job."""
+        commit = self._commits[name]
+        return commit.rows, commit.wide_bytes
+
+    def recorded_rows(self) -> DataFrame:
+        """Rows of every table as recorded by its commit, next to a count of what is read."""
+        for build in (self.orders_clean, self.products_clean, self.users_clean, self.fact_sales, self.dim_date):
+            build()
+        parts = [
+            rows.agg(F.count("*").alias("rows")).select(
+                F.lit(name).alias("table"), F.lit(self.size(name)[0]).cast("long").alias("recorded"), "rows"
+            )
+            for name, rows in self._tables.items()
+        ]
+        found = reduce(DataFrame.unionByName, parts)
+        return found.withColumn("passed", F.col("recorded") == F.col("rows"))
+
     def _catalog(self, rows: DataFrame) -> DataFrame:
         return latest_snapshot(rows, "id") if self.latest_only else rows
 
@@ -68,11 +92,16 @@ class SalesLake:
     def users_raw(self) -> DataFrame:
         return self.saved("bronze", "users_raw", lambda: self.users)
 
+    def spelling_list(self) -> DataFrame:
+        return self.saved("silver", "spellings", lambda: self.spellings)
+
     def orders_clean(self) -> DataFrame:
         return self.saved(
             "silver",
             "orders_clean",
-            lambda: silver.silver_orders(self.orders_raw(), self.spellings, self.date_formats),
+            lambda: silver.silver_orders(
+                self.orders_raw(), self.spelling_list(), self.date_formats, self.size("spellings")
+            ),
             MONTHS,
         )
 
@@ -110,6 +139,8 @@ class SalesLake:
                 self.dim_customer(),
                 self.scratch("fact_numbering"),
                 self.broadcast_rows,
+                self.size("dim_product")[0],
+                self.size("dim_customer")[0],
             ),
             MONTHS,
             clustered=True,

@@ -8,12 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from orelode.session import application_folder
+from orelode.sources import versions
 
 
 def write_parquet(rows: DataFrame, path: str) -> DataFrame:
     """Snappy Parquet table, replaced as a whole; returns the table read back."""
-    rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return read_table(rows, path)
+    return versions.write_table(rows, path)
 
 
 def write_partitioned_parquet(
@@ -25,35 +25,28 @@ def write_partitioned_parquet(
 ) -> DataFrame:
     """Snappy Parquet table in one folder per value of ``by``.
 
-    Rows are rebalanced on the partition columns first, so that a partition gets a few
-    files of a good size instead of one per task, and a partition that holds a third of
-    the rows is split between tasks. ``clustered`` skips this for rows that already lie
-    in partition order. ``refresh_only`` replaces only the partitions present in ``rows``.
+    ``clustered`` is for rows that already lie in partition order, which need no rebalancing.
+    ``refresh_only`` replaces only the partitions present in ``rows``.
     """
-    placed = rows if clustered else rows.hint("rebalance", *by)
-    mode = "dynamic" if refresh_only else "static"
-    (
-        placed.write.mode("overwrite")
-        .option("compression", "snappy")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy(*by)
-        .parquet(path)
-    )
-    return read_table(rows, path)
+    if refresh_only:
+        return versions.refresh_partitions(rows, path, clustered)
+    return versions.write_table(rows, path, by, clustered)
 
 
 def rebuild_zone(
     rows: DataFrame, path: str, by: Sequence[str] = (), clustered: bool = False
 ) -> DataFrame:
-    """Full rebuild of a table: whatever the folder held before is gone afterwards."""
-    if by:
-        return write_partitioned_parquet(rows, path, by, clustered=clustered)
-    return write_parquet(rows, path)
+    """Full rebuild of a table: once it is written, whatever was read before is not read again.
+
+    Until then, and for ever if the rebuild fails, readers see the table as it was.
+    """
+    return versions.write_table(rows, path, by, clustered)
 
 
-def read_table(like: DataFrame, path: str) -> DataFrame:
-    """Read with the written schema, so that partition values keep their type ('04')."""
-    return like.sparkSession.read.schema(like.schema).parquet(path)
+def write_plain(rows: DataFrame, folder: str, by: Sequence[str] = ()) -> DataFrame:
+    """Intermediate files without versions, read back with the written schema."""
+    versions.write_files(rows, folder, by)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def staged(rows: DataFrame, label: str) -> DataFrame:
@@ -63,7 +56,7 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
     read them when they run, so it stays until ``remove_folder`` or the end of the application.
     """
     folder = f"{application_folder(rows.sparkSession)}/staging/{label}-{uuid.uuid4().hex}"
-    return write_parquet(rows, folder)
+    return write_plain(rows, folder)
 
 
 def _folder(spark: SparkSession, path: str):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from support import rows
 from orelode import schemas
 from orelode.plans import report
-from orelode.sources import landing, scan, sinks
+from orelode.sources import landing, scan, sinks, versions
 
 HEADER = "InvoiceNo,ProductID,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
 
@@ -178,8 +178,9 @@ def test_partitioned_write_keeps_text_partitions_and_refreshes(spark, tmp_path):
         [(1, "2026", "04"), (2, "2026", "05")], "v int, year string, month string"
     )
     sinks.write_partitioned_parquet(frame, path)
-    assert os.path.isdir(f"{path}/year=2026/month=04")
-    assert any(n.endswith(".snappy.parquet") for n in os.listdir(f"{path}/year=2026/month=04"))
+    folder = versions.version_folder(spark, path)
+    assert os.path.isdir(f"{folder}/year=2026/month=04")
+    assert any(n.endswith(".snappy.parquet") for n in os.listdir(f"{folder}/year=2026/month=04"))
     april = frame.filter("month = '04'").withColumn("v", F.lit(9))
     after = sinks.write_partitioned_parquet(april, path, refresh_only=True)
     assert rows(after) == [(2, "2026", "05"), (9, "2026", "04")]
