@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle
-from orelode.operators import bronze, gold, invariants, quality, silver
+from orelode.operators import bronze, gold, invariants, quality, silver, tuples
 from orelode.plans import analytics, delivery, report, summary
 from orelode.plans.lake import SalesLake
 from orelode.schemas import INGESTION, ORDERS_COLUMNS
@@ -143,6 +143,14 @@ def rebuild_zone(t: SalesLake) -> DataFrame:
     return sinks.rebuild_zone(t.orders_clean(), path, ("year", "month"))
 
 
+def merged_tuples(t: SalesLake) -> DataFrame:
+    """The table of the first date's tuples, with the second date added as a later delivery."""
+    path, raw = t.scratch("merged_tuples"), t.orders_raw()
+    tuples.write_tuples(raw.filter(F.col(INGESTION) == delivery.FIRST_DATE), path, 8)
+    later = raw.filter(F.col(INGESTION) == delivery.SECOND_DATE)
+    return tuples.add_delivery(path, later).drop(tuples.HASH)
+
+
 def publish_results(t: SalesLake) -> DataFrame:
     published_results(t)
     return report.read_report(t.spark, f"{t.root}/published/latest/report")
@@ -152,7 +160,7 @@ def publish_results(t: SalesLake) -> DataFrame:
 
 
 def silver_typed(t: SalesLake) -> DataFrame:
-    return silver.silver_typed(silver.silver_dedup(t.orders_raw()))
+    return silver.silver_typed(silver.silver_dedup(t.orders_tuples()))
 
 
 def silver_standardise(t: SalesLake) -> DataFrame:
@@ -239,6 +247,8 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "rebuild_zone": rebuild_zone,
     "publish_results": publish_results,
     "recorded_rows": lambda t: t.recorded_rows(),
+    "orders_tuples": lambda t: t.orders_tuples().drop(tuples.HASH),
+    "merged_tuples": merged_tuples,
     # raw layer
     "bronze_header_leak": lambda t: bronze.bronze_header_leak(t.orders_raw()),
     "bronze_anomaly_counts": lambda t: bronze.bronze_anomaly_counts(t.orders_raw()),
@@ -248,7 +258,7 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "multi_date_ratio": lambda t: bronze.multi_date_ratio(t.orders_raw()),
     # profiles
     "quality_completeness": lambda t: quality.quality_completeness(t.orders_raw()),
-    "quality_exact_duplicates": lambda t: quality.quality_exact_duplicates(t.orders_raw()),
+    "quality_exact_duplicates": lambda t: quality.quality_exact_duplicates(t.orders_tuples()),
     "quality_near_duplicates": lambda t: quality.quality_near_duplicates(t.orders_raw()),
     "quality_timestamp_profile": lambda t: quality.quality_timestamp_profile(t.orders_raw()),
     "quality_unreadable_values": lambda t: quality.quality_unreadable_values(t.orders_raw()),
@@ -274,13 +284,13 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "quality_multi_dated_keys": lambda t: quality.quality_multi_dated_keys(t.orders_raw()),
     "quality_null_rate": lambda t: quality.quality_null_rate(t.products_raw()),
     "quality_nested_histogram": lambda t: quality.quality_nested_histogram(t.users_raw()),
-    "quality_silver_forecast": lambda t: quality.quality_silver_forecast(t.orders_raw()),
+    "quality_silver_forecast": lambda t: quality.quality_silver_forecast(t.orders_tuples()),
     # clean layer
-    "silver_dedup": lambda t: silver.silver_dedup(t.orders_raw()),
+    "silver_dedup": lambda t: silver.silver_dedup(t.orders_tuples()),
     "silver_typed": silver_typed,
     "silver_standardise": silver_standardise,
     "silver_reject_rules": lambda t: silver.silver_rejects(silver_typed(t)),
-    "rejected_by_rule": lambda t: silver.rejected_by_rule(t.orders_raw()),
+    "rejected_by_rule": lambda t: silver.rejected_by_rule(t.orders_tuples()),
     "silver_orders": lambda t: t.orders_clean(),
     "silver_products": lambda t: t.products_clean(),
     "silver_users": lambda t: t.users_clean(),

@@ -16,6 +16,7 @@ from orelode.functions.parsing import (
     spelling_key,
 )
 from orelode.operators.lookup import BROADCAST_ROWS, lookup, with_matches
+from orelode.operators.tuples import tuples_of
 from orelode.schemas import INGESTION, ORDERS_COLUMNS
 
 # Reject rules in the order they are tried: label and the condition a row has to meet.
@@ -25,7 +26,6 @@ KEEP_RULES = {
     "R5 quantity missing": "quantity IS NOT NULL",
 }
 DUPLICATE_RULE = "R1 exact duplicate"
-PLAIN_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
 def spelling_frame(spark: SparkSession, spellings: Mapping[str, str]) -> DataFrame:
@@ -34,27 +34,20 @@ def spelling_frame(spark: SparkSession, spellings: Mapping[str, str]) -> DataFra
 
 
 def business_tuples(orders: DataFrame, columns: Sequence[str] = ORDERS_COLUMNS) -> DataFrame:
-    """Distinct business rows with the number of copies; the ingestion date is left out."""
+    """Distinct business rows with the number of copies; the ingestion date is left out.
+
+    A table of tuples is taken as it is.
+    """
+    if "copies" in orders.columns:
+        return orders.select(*columns, "copies")
     return orders.groupBy(*columns).agg(F.count("*").alias("copies"))
 
 
 def silver_dedup(orders: DataFrame, columns: Sequence[str] = ORDERS_COLUMNS) -> DataFrame:
-    """One row per business tuple, with its latest ingestion date.
-
-    The latest is the greatest text that was delivered. An aggregate over text would need a
-    sort of all rows before the shuffle, so numbers stand for the texts: the day for a plain
-    date, and for any other text its place in a sorted list of those, which is empty as a rule.
-    """
-    text = F.col(INGESTION)
-    day = F.when(text.rlike(PLAIN_DATE), F.unix_date(text.try_cast("date")))
-    others = orders.filter(text.isNotNull() & day.isNull())
-    others = others.agg(F.sort_array(F.collect_set(text)).alias("texts")).scalar()
-    place = F.max(F.when(day.isNull(), F.array_position(others, text))).cast("int")
-    latest = F.greatest(
-        F.date_from_unix_date(F.max(day)).cast("string"),
-        F.when(place > 0, F.try_element_at(others, place)),
-    )
-    return orders.groupBy(*columns).agg(latest.alias("source_ingestion_date"))
+    """One row per business tuple, with its latest ingestion date, which is the greatest text."""
+    if "copies" not in orders.columns:
+        orders = tuples_of(orders, columns)
+    return orders.select(*columns, "source_ingestion_date")
 
 
 def typed_columns(date_formats: Sequence[str] = ()) -> list[Column]:

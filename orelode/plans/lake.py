@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orelode.operators import gold, silver
 from orelode.operators.lookup import BROADCAST_ROWS
+from orelode.operators.tuples import write_tuples
 from orelode.schemas import INGESTION
 from orelode.sources.landing import latest_snapshot
 from orelode.sources import versions
@@ -40,6 +41,7 @@ class SalesLake:
     date_formats: Sequence[str] = ()
     latest_only: bool = True
     broadcast_rows: int = BROADCAST_ROWS
+    buckets: int | None = None
     _tables: dict[str, DataFrame] = field(default_factory=dict)
     _commits: dict[str, versions.Commit] = field(default_factory=dict)
 
@@ -86,6 +88,16 @@ class SalesLake:
             "bronze", "orders_raw", lambda: self.orders, (INGESTION,), clustered=True
         )
 
+    def orders_tuples(self) -> DataFrame:
+        """Distinct order lines with their copies, in buckets; all that is asked of duplicates, and
+        the clean orders, are read from here without a shuffle."""
+        if "orders_tuples" not in self._tables:
+            path = f"{self.root}/bronze/orders_tuples"
+            buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self._tables["orders_tuples"] = write_tuples(self.orders_raw(), path, buckets)
+            self._commits["orders_tuples"] = versions.last_commit(self.spark, path)
+        return self._tables["orders_tuples"]
+
     def products_raw(self) -> DataFrame:
         return self.saved("bronze", "products_raw", lambda: self.products)
 
@@ -100,7 +112,7 @@ class SalesLake:
             "silver",
             "orders_clean",
             lambda: silver.silver_orders(
-                self.orders_raw(), self.spelling_list(), self.date_formats, self.size("spellings")
+                self.orders_tuples(), self.spelling_list(), self.date_formats, self.size("spellings")
             ),
             MONTHS,
         )

@@ -46,6 +46,8 @@ class Commit:
     parts: list[Part]
     rows: int | None
     wide_bytes: int | None
+    buckets: int | None = None
+    bucket_column: str | None = None
 
 
 # --- files ------------------------------------------------------------------------------
@@ -191,6 +193,47 @@ def write_table(rows: DataFrame, path: str, by: Sequence[str] = (), clustered: b
     return read_table(spark, path)
 
 
+def write_buckets(rows: DataFrame, path: str, column: str, buckets: int, keep: int = 2) -> DataFrame:
+    """Replaces a table by one whose rows lie in buckets of a column's hash, sorted by it.
+
+    Plans that group or join by this column find the rows where they need them and shuffle none.
+    Spark keeps such a layout in its catalog, so the version has an entry there, made anew by
+    ``read_table`` in a session that does not have it.
+    """
+    spark = rows.sparkSession
+    base = _last_number(spark, path)
+    folder = f"{VERSION}{uuid.uuid4().hex}"
+    seen = Observation()
+    placed = rows.repartition(buckets, column).sortWithinPartitions(column)
+    placed = placed.observe(seen, F.count(F.lit(1)).alias("rows"), _wide_bytes(rows).alias("wide_bytes"))
+    writer = placed.write.format("parquet").option("compression", "snappy").option("path", f"{path}/{folder}")
+    writer.bucketBy(buckets, column).sortBy(column).saveAsTable(_entry(folder))
+    _commit(
+        spark, path, base, schema=rows.schema.json(), by=[], parts=[Part(folder)], rows=seen.get["rows"],
+        wide_bytes=seen.get["wide_bytes"], buckets=buckets, bucket_column=column,
+    )
+    vacuum(spark, path, keep)
+    return read_table(spark, path)
+
+
+def _entry(folder: str) -> str:
+    """Name of a version in the catalog; versions have names of their own wherever they lie."""
+    return "bucketed_" + folder.removeprefix(VERSION)
+
+
+def _bucketed(spark: SparkSession, path: str, commit: Commit) -> DataFrame:
+    folder = commit.parts[0].folder
+    fields = StructType.fromJson(json.loads(commit.schema)).fields
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    place = f"{path}/{folder}".replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {_entry(folder)} ({columns}) USING parquet CLUSTERED BY "
+        f"(`{commit.bucket_column}`) SORTED BY (`{commit.bucket_column}`) INTO {commit.buckets} BUCKETS "
+        f"LOCATION '{place}'"
+    )
+    return spark.table(_entry(folder))
+
+
 def refresh_partitions(rows: DataFrame, path: str, clustered: bool = False, keep: int = 2) -> DataFrame:
     """Replaces the partitions that occur in ``rows``; the others stay where they are.
 
@@ -234,6 +277,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2, grace_seconds: float =
             continue
         old = now - child.getModificationTime() > grace_seconds * 1000
         if name in once or old or not name.startswith(VERSION):
+            spark.sql(f"DROP TABLE IF EXISTS `{_entry(name)}`")
             place, system = _place(spark, f"{path}/{name}")
             system.delete(place, True)
     for commit in gone:
@@ -249,6 +293,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     commit = last_commit(spark, path)
     if commit is None:
         raise FileNotFoundError(f"{path} holds no committed table")
+    if commit.buckets:
+        return _bucketed(spark, path, commit)
     schema = StructType.fromJson(json.loads(commit.schema))
     whole = None
     for part in commit.parts:

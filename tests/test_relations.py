@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from support import SF_DIR
+from support import SF_DIR, rows
 from orelode.operators import quality, silver
 from orelode.plans import analytics
 from orelode.plans.lake import SalesLake
@@ -131,4 +131,16 @@ def test_baskets_read_the_fact_once_and_start_no_job(spark, lake):
 def test_dedup_is_hash_aggregated(lake):
     text = plan(silver.silver_dedup(lake.orders_raw()))
     assert "SortAggregate" not in text
-    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Exchange hashpartitioning(invoiceno") == 1
+
+
+@pytest.mark.parametrize(
+    "ask",
+    [silver.silver_dedup, silver.rejected_by_rule, quality.quality_exact_duplicates, quality.quality_silver_forecast],
+)
+def test_duplicates_are_read_without_a_shuffle(lake, ask):
+    text = plan(ask(lake.orders_tuples()))
+    assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+    # one row of totals at most passes through an exchange
+    assert text.count("Exchange") <= 1
+    assert rows(ask(lake.orders_tuples())) == rows(ask(lake.orders_raw()))
