@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from orelode import schemas
 from orelode.functions.parsing import WHITE_SPACE
@@ -67,6 +68,64 @@ def _scan_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     )
 
 
+def unreadable_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of landed JSON files that are no JSON object, with file, place and text.
+
+    ``_scan_json`` turns such a line into a row of NULLs, which keeps the count of rows; here it
+    can be seen and sent back. ``offset`` is the byte in its file at which a line begins, given
+    lines that end in a line feed. Whether a line is readable is asked of the parser alone, so a
+    value of the wrong type, which only makes its own field NULL, is no reason.
+    """
+    lines = numbered_lines(spark, path)
+    return lines.filter(~_readable()).select("file", "offset", schemas.INGESTION, F.col("value").alias("text"))
+
+
+def line_balance(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of each file by what became of them: blank, unreadable and readable ones add up."""
+    lines = spark.read.schema(f"value string, {schemas.INGESTION} string").text(path)
+    blank = F.length(F.btrim("value", F.lit(WHITE_SPACE))) == 0
+    counted = lines.groupBy(schemas.INGESTION, F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")).agg(
+        F.count("*").alias("lines"),
+        F.count_if(blank).alias("blank"),
+        F.count_if(~blank & ~_readable()).alias("unreadable"),
+        F.count_if(~blank & _readable()).alias("readable"),
+    )
+    balanced = F.col("blank") + F.col("unreadable") + F.col("readable") == F.col("lines")
+    return counted.withColumn("passed", balanced)
+
+
+def _readable() -> Column:
+    """Whether a line is a JSON object: the parser keeps what it cannot read as it is."""
+    broken = F.from_json("value", "_broken string", {"columnNameOfCorruptRecord": "_broken", "mode": "PERMISSIVE"})
+    return F.col("value").rlike(r"^\s*\{") & broken["_broken"].isNull()
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines but blank ones with their file and the byte at which each begins there.
+
+    Files are cut into blocks of lines that one task reads; the bytes of the blocks before are added
+    to the place inside a block, so a file may be of any size.
+    """
+    lines = spark.read.schema(f"value string, {schemas.INGESTION} string").text(path)
+    start, length = F.col("_metadata.file_block_start"), F.octet_length("value") + 1
+    placed = lines.select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("_path"),
+        start.alias("_start"), schemas.INGESTION, "value", length.alias("_length"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    before = Window.partitionBy("_path", "_start").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.withColumn("_within", F.coalesce(F.sum("_length").over(before), F.lit(0)))
+    blocks = placed.groupBy("_path", "_start").agg(F.sum("_length").alias("_bytes"))
+    earlier = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        F.col("_path").alias("_p"), F.col("_start").alias("_s"),
+        F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_before"),
+    )
+    found = within.join(blocks, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
+    found = found.filter(F.length(F.btrim("value", F.lit(WHITE_SPACE))) > 0)
+    return found.select("file", (F.col("_before") + F.col("_within")).alias("offset"), schemas.INGESTION, "value")
+
+
 def _with_camel_keys(schema: T.StructType) -> T.StructType:
     fields = []
     for field in schema:

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from support import rows
 from orelode.functions.measures import exact_sum, money
-from orelode.operators.lookup import lookup, with_matches
+from orelode.operators.lookup import hot_keys, lookup, with_matches
 from orelode.operators.median import lower_median
 from orelode.operators.numbering import number_rows, ranks
 from orelode.operators import ranking
@@ -46,6 +46,12 @@ def test_lookup_by_shuffle_equals_broadcast(lopsided, keyed):
     assert rows(small) == rows(plain) == rows(big)
 
 
+def test_lookup_by_binary_keys(spark, lopsided, keyed):
+    left = lopsided.withColumn("key", F.col("key").cast("string").cast("binary"))
+    right = keyed.withColumn("right_key", F.col("right_key").cast("string").cast("binary"))
+    assert rows(lookup(left, right, "key", "right_key")) == rows(lookup(left, right, "key", "right_key", broadcast_rows=0))
+
+
 def test_lookup_by_shuffle_spreads_hot_and_null_keys(spark, lopsided, keyed):
     settings_ = {
         "spark.sql.adaptive.enabled": "false",
@@ -65,6 +71,19 @@ def test_lookup_by_shuffle_spreads_hot_and_null_keys(spark, lopsided, keyed):
     assert max(size[0] for size in sizes) < 30_000 / 8 * 1.5
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "binary", "decimal(20,0)", "date"])
+def test_hot_keys_of_any_type_are_found_without_a_shuffle(spark, kind):
+    """Hot keys among very many others; the sketch takes no more than the stated share."""
+    number = F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 400 = 1 THEN 8 WHEN id % 50 = 2 THEN NULL ELSE id END")
+    key = F.date_from_unix_date(number.cast("int")) if kind == "date" else number.cast("string").cast(kind)
+    frame = spark.range(300_000).select(key.alias("key"))
+    found = hot_keys(frame, "key")
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    keys = [r[0] for r in found.collect()]
+    expected = frame.groupBy("key").count().filter("key is not null and count > 300").select("key").collect()
+    assert len(expected) == 2 and {r[0] for r in expected} <= set(keys) and len(keys) < 1000
+
+
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 def test_matches_say_what_joins_would_do(spark, lopsided, broadcast_rows):
     right = spark.createDataFrame([(7,), (7,), (8,), (None,)], "k long")

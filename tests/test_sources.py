@@ -214,3 +214,45 @@ def test_publish_keeps_history_and_replaces_latest(spark, tmp_path):
     assert rows(history) == [("run-1", 12345678.5), ("run-2", 20.0)]
     first = report.read_report(spark, f"{path}/history/report/run_id=run-1")
     assert ("Q1", "q1_total", 1, "net_revenue", "12345678.50") in rows(first)
+
+
+def broken_lines(root):
+    put(root, "a.jsonl", '{"id":1,"title":"é"}\nnot json\n\n{"id":"three"}\n{"id":2,\n', "2026-01-01")
+    put(root, "b.jsonl", '[1,2]\n{"id":4} trailing\n{"id":5}\n"text"\nnull\n', "2026-01-02")
+    put(root, "c.jsonl", "  \n", "2026-01-02")
+
+
+def test_unreadable_lines_are_found_where_they_lie(spark, tmp_path):
+    broken_lines(tmp_path)
+    found = scan.unreadable_lines(spark, str(tmp_path))
+    assert found.columns == ["file", "offset", "ingestion_date", "text"]
+    for row in found.collect():
+        data = (tmp_path / f"ingestion_date={row.ingestion_date}" / row.file).read_bytes()
+        assert data[row.offset :].startswith(row.text.encode() + b"\n")
+    texts = {(r.file, r.text) for r in found.collect()}
+    assert {("a.jsonl", "not json"), ("a.jsonl", '{"id":2,'), ("b.jsonl", "[1,2]"), ("b.jsonl", '"text"'), ("b.jsonl", "null")} <= texts
+    assert ("a.jsonl", '{"id":"three"}') not in texts and ("b.jsonl", '{"id":5}') not in texts
+
+
+def test_lines_balance_with_the_scan(spark, tmp_path):
+    broken_lines(tmp_path)
+    found = {r.file: r for r in scan.line_balance(spark, str(tmp_path)).collect()}
+    assert all(r.passed for r in found.values())
+    assert (found["a.jsonl"].lines, found["a.jsonl"].blank, found["c.jsonl"].blank) == (5, 1, 1)
+    scanned = scan.scan_products_json(spark, str(tmp_path))
+    assert sum(r.unreadable + r.readable for r in found.values()) == scanned.count()
+    assert sum(r.unreadable for r in found.values()) == scan.unreadable_lines(spark, str(tmp_path)).count()
+
+
+def test_offsets_go_on_over_the_blocks_of_a_file(spark, tmp_path):
+    texts = [f"broken {i} " + "x" * (i % 97) if i % 50 == 0 else '{"id":%d}' % i for i in range(4000)]
+    put(tmp_path, "long.jsonl", "\n".join(texts) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        found = scan.unreadable_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    data = (tmp_path / "ingestion_date=2026-01-01" / "long.jsonl").read_bytes()
+    assert len(found) == 80
+    assert all(data[r.offset :].startswith(r.text.encode() + b"\n") for r in found)
