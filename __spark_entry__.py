@@ -151,6 +151,37 @@ def merged_tuples(t: SalesLake) -> DataFrame:
     return tuples.add_delivery(path, later).drop(tuples.HASH)
 
 
+def distinct_by_year(t: SalesLake) -> DataFrame:
+    sketches = analytics.monthly_sketches(t.fact_sales(), t.dim_date())
+    sketches = sinks.write_parquet(sketches, t.scratch("monthly_sketches"))
+    return analytics.distinct_by_year(t.fact_sales(), t.dim_date(), sketches)
+
+
+def line_balance(t: SalesLake) -> DataFrame:
+    """What became of the lines of both catalogs, by date."""
+    parts = [
+        scan.line_balance(t.spark, f"{t.root}/landed/{source}").withColumn("source", F.lit(source))
+        for source in ("products", "users")
+    ]
+    counts = parts[0].unionByName(parts[1]).groupBy("source", INGESTION)
+    sums = [F.sum(name).alias(name) for name in ("lines", "blank", "unreadable", "readable")]
+    return counts.agg(*sums, F.bool_and("passed").alias("passed"))
+
+
+def unreadable_lines(t: SalesLake) -> DataFrame:
+    """The catalog landed again with the last sign of every 97th line lost."""
+    raw = t.products_raw()
+    line = F.to_json(F.struct(*[name for name in raw.columns if name != INGESTION]))
+    line = F.when(F.col("id") % 97 == 0, F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    path = t.scratch("broken_products")
+    for date in (delivery.FIRST_DATE, delivery.SECOND_DATE):
+        some = raw.filter(F.col(INGESTION) == date).select(line.alias("value"))
+        landing.land_snapshot(some, path, date, "text")
+    found = scan.unreadable_lines(t.spark, path)
+    number = F.regexp_extract("text", '"id":([0-9]+)', 1).cast("bigint").alias("id")
+    return found.select(INGESTION, number, (F.col("offset") >= 0).alias("placed"))
+
+
 def publish_results(t: SalesLake) -> DataFrame:
     published_results(t)
     return report.read_report(t.spark, f"{t.root}/published/latest/report")
@@ -188,6 +219,15 @@ def fact_surrogate_id(t: SalesLake) -> DataFrame:
     return rows.select("sale_id", "invoice_timestamp", "invoiceno", "source_product_id")
 
 
+def fact_persistent_id(t: SalesLake) -> DataFrame:
+    """Lines of the first date, then all lines: the ids of the first build stay."""
+    path, rows = t.scratch("sale_ids"), resolved(t)
+    first = rows.filter(F.col("source_ingestion_date") == delivery.FIRST_DATE)
+    for number, some in enumerate((first, rows)):
+        found = gold.fact_persistent_id(some, path, f"{t.scratch('sale_numbers')}{number}", 8)
+    return found.select("sale_id", *gold.LINE_KEY)
+
+
 def null_only_on_convention(t: SalesLake) -> DataFrame:
     return invariants.check_dim_null_only_on_convention(
         {
@@ -247,6 +287,8 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "rebuild_zone": rebuild_zone,
     "publish_results": publish_results,
     "recorded_rows": lambda t: t.recorded_rows(),
+    "line_balance": line_balance,
+    "unreadable_lines": unreadable_lines,
     "orders_tuples": lambda t: t.orders_tuples().drop(tuples.HASH),
     "merged_tuples": merged_tuples,
     # raw layer
@@ -311,6 +353,7 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "dim_product": lambda t: t.dim_product(),
     "dim_customer": lambda t: t.dim_customer(),
     "fact_surrogate_id": fact_surrogate_id,
+    "fact_persistent_id": fact_persistent_id,
     "fact_resolve_product": fact_resolve_product,
     "fact_resolve_customer": fact_resolve_customer,
     "fact_sales": lambda t: t.fact_sales(),
@@ -334,6 +377,7 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "check_dim_null_only_on_convention": null_only_on_convention,
     # business questions
     **QUESTIONS,
+    "distinct_by_year": distinct_by_year,
     "month_over_month": lambda t: analytics.full_months(t.fact_sales(), t.dim_date()),
     "global_basket": lambda t: analytics.global_basket(t.fact_sales()),
     "identified_share": lambda t: analytics.identified_share(t.fact_sales()),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelode import schemas
+from orelode.operators.keymap import persistent_ids
 from orelode.operators.lookup import BROADCAST_ROWS, with_matches
 from orelode.operators.numbering import number_rows
 
@@ -133,6 +134,26 @@ def fact_surrogate_id(rows: DataFrame, staging: str) -> DataFrame:
     return number_rows(rows, keys, "sale_id", staging)
 
 
+LINE_KEY = [
+    "invoice_timestamp",
+    "invoiceno",
+    "source_product_id",
+    "source_customer_id",
+    "quantity",
+    "unit_price",
+    "country",
+]
+
+
+def fact_persistent_id(rows: DataFrame, path: str, staging: str, buckets: int) -> DataFrame:
+    """Ids that later deliveries leave as they are: what a line says is its key, the date of its
+    delivery is not. Lines that say the same are told apart by number, the earlier delivered first."""
+    order = [F.col(name).asc_nulls_last() for name in LINE_KEY]
+    return persistent_ids(
+        rows, LINE_KEY, order, path, staging, buckets, "sale_id", ["source_ingestion_date"]
+    )
+
+
 def fact_sales(
     orders_clean: DataFrame,
     products: DataFrame,

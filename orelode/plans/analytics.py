@@ -234,6 +234,51 @@ def additivity_of(keys: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
+#: Registers of a distinct sketch are 2^LOG_REGISTERS; its standard error is 0.83 over the root of that.
+LOG_REGISTERS = 12
+
+
+def monthly_sketches(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Sketches of the distinct orders and invoice numbers of each month, to be stored: the distinct
+    counts of any span of months come from them, where counts of months would not add up."""
+    calendar = dim_date.select("date_id", "year", "month")
+    dated = fact.filter(F.col("invoiceno").isNotNull()).select("invoiceno", "date_id").join(calendar, "date_id")
+    order = F.concat_ws("@", "invoiceno", "date_id")
+    return dated.groupBy("year", "month").agg(
+        F.hll_sketch_agg(order, LOG_REGISTERS).alias("orders_sketch"),
+        F.hll_sketch_agg("invoiceno", LOG_REGISTERS).alias("invoices_sketch"),
+    )
+
+
+def distinct_of_months(sketches: DataFrame) -> DataFrame:
+    """About how many distinct orders and invoice numbers the given months hold together."""
+    return sketches.agg(
+        F.hll_sketch_estimate(F.hll_union_agg("orders_sketch")).alias("orders"),
+        F.hll_sketch_estimate(F.hll_union_agg("invoices_sketch")).alias("invoices"),
+    )
+
+
+def distinct_by_year(fact: DataFrame, dim_date: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Exact distinct counts of each year beside those from its months' sketches, and whether these
+    lie within four standard errors, which all but one in ten thousand do."""
+    calendar = dim_date.select("date_id", "year")
+    orders = fact.filter(F.col("invoiceno").isNotNull()).select("invoiceno", "date_id").distinct()
+    invoices = orders.join(calendar, "date_id").groupBy("year", "invoiceno").agg(F.count("*").alias("n"))
+    exact = invoices.groupBy("year").agg(F.sum("n").alias("orders"), F.count("*").alias("invoices"))
+    sketched = sketches.groupBy(F.col("year").alias("_year")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("orders_sketch")).alias("_orders"),
+        F.hll_sketch_estimate(F.hll_union_agg("invoices_sketch")).alias("_invoices"),
+    )
+    bound = 4 * 0.8326 / 2 ** (LOG_REGISTERS / 2)
+
+    def near(name: str) -> Column:
+        return F.abs(F.col(f"_{name}") - F.col(name)) <= F.greatest(F.col(name) * bound, F.lit(1.0))
+
+    both = exact.join(sketched, F.col("year") == F.col("_year"), "left")
+    within = F.coalesce(near("orders") & near("invoices"), F.lit(False)).alias("within_bound")
+    return both.select("year", "orders", "invoices", within).orderBy("year")
+
+
 def q4_basket_by_country(fact: DataFrame, exact: bool = True) -> DataFrame:
     """Mean and median order value and mean items per order, by country.
 

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from orelode.plans import analytics
 from orelode.plans import summary as module
+from orelode.sources import sinks
 from support import rows
 
 
@@ -70,3 +72,17 @@ def test_the_summary_is_the_same_without_any_broadcast(lake, summary, tmp_path):
     other = module.sales_summary(lake.fact_sales(), lake.dim_product(), str(tmp_path / "s"), broadcast_rows=0)
     assert rows(other.orders) == rows(summary.orders)
     assert rows(other.products) == rows(summary.products)
+
+
+def test_distinct_counts_of_any_months_come_from_their_sketches(lake, tmp_path):
+    fact, dates = lake.fact_sales(), lake.dim_date()
+    sketches = sinks.write_parquet(analytics.monthly_sketches(fact, dates), str(tmp_path / "sketches"))
+    bound = 4 * 0.8326 / 2 ** (analytics.LOG_REGISTERS / 2)
+    dated = fact.join(dates.select("date_id", F.col("year").alias("y"), F.col("month").alias("m")), "date_id")
+    for low, high in ((199503, 199505), (199601, 199712), (199501, 200112)):
+        span = F.col("year") * 100 + F.col("month")
+        found = analytics.distinct_of_months(sketches.filter(span.between(low, high))).first()
+        lines = dated.filter((F.col("y") * 100 + F.col("m")).between(low, high))
+        exact = lines.agg(F.count_distinct("invoiceno", "date_id"), F.count_distinct("invoiceno")).first()
+        for estimate, true in zip(found, exact):
+            assert abs(estimate - true) <= max(true * bound, 1)
