@@ -102,6 +102,21 @@ def land_snapshot(t: SalesLake) -> DataFrame:
     return scan.scan_orders_csv(t.spark, f"{t.root}/landed/orders")
 
 
+def landed_dates(t: SalesLake) -> DataFrame:
+    """What lies under each date when a wrong delivery of the second one was landed before it."""
+    path, raw = t.scratch("landed_dates"), t.orders_raw()
+    second = raw.filter(F.col(INGESTION) == delivery.SECOND_DATE)
+    landing.land_snapshot(second.unionByName(raw), path, delivery.SECOND_DATE)
+    landing.land_snapshot(raw.filter(F.col(INGESTION) == delivery.FIRST_DATE), path, delivery.FIRST_DATE)
+    landing.land_snapshot(second, path, delivery.SECOND_DATE)
+    return scan.scan_orders_csv(t.spark, path).groupBy(INGESTION).agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("invoiceno").alias("invoices"),
+        F.sum(F.length("country")).alias("country_signs"),
+        F.sum(F.col("quantity").try_cast("int")).alias("quantity"),
+    )
+
+
 def scan_orders_csv(t: SalesLake) -> DataFrame:
     return scan.scan_orders_csv(t.spark, f"{t.root}/landed/orders")
 
@@ -187,6 +202,11 @@ def publish_results(t: SalesLake) -> DataFrame:
     return report.read_report(t.spark, f"{t.root}/published/latest/report")
 
 
+def published_by_question(t: SalesLake) -> DataFrame:
+    published_results(t)
+    return report.read_by_question(t.spark, f"{t.root}/published/latest/by_question")
+
+
 # --- composed operators -----------------------------------------------------------------
 
 
@@ -278,6 +298,7 @@ QUESTIONS: dict[str, Callable[[SalesLake], DataFrame]] = {
 OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     # sources and sinks
     "land_snapshot": land_snapshot,
+    "landed_dates": landed_dates,
     "scan_orders_csv": scan_orders_csv,
     "scan_products_json": scan_products_json,
     "scan_users_json": scan_users_json,
@@ -382,6 +403,7 @@ OPERATORS: dict[str, Callable[[SalesLake], DataFrame]] = {
     "global_basket": lambda t: analytics.global_basket(t.fact_sales()),
     "identified_share": lambda t: analytics.identified_share(t.fact_sales()),
     # report
+    "published_by_question": lambda t: published_by_question(t),
     "report_long_format": lambda t: report.report_long_format(published_results(t)),
     "report_by_question": lambda t: report.report_by_question(
         report.report_long_format(published_results(t))

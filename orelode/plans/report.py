@@ -123,9 +123,10 @@ def publish_results(
 
     One job computes all results: in one plan they share the scans and shuffles that they have in
     common, and their stages run side by side. Its files are moved to the history folder of each
-    result. The long form is made from these files. All go to
+    result. The long form is made from these files, and from
+    it the report in reading order, question by question. All go to
     ``latest`` as copies: results are small, a move or a copy needs no job. Results go out as
-    JSON lines, the long form as CSV.
+    JSON lines, as does the report by question, the long form as CSV.
     """
     spark = next(iter(results.values())).sparkSession
     lines = [
@@ -147,6 +148,10 @@ def publish_results(
     # to one file, but not in one task
     long.repartition(1).write.mode("overwrite").option("header", True).csv(folder)
     copy_folder(spark, folder, f"{path}/latest/report")
+    questions = f"{path}/history/by_question/run_id={run_id}"
+    by_question = report_by_question(read_report(spark, folder))
+    by_question.coalesce(1).write.mode("overwrite").json(questions)
+    copy_folder(spark, questions, f"{path}/latest/by_question")
     return published
 
 
@@ -155,6 +160,13 @@ def read_report(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(columns).option("header", True).csv(folder).fillna("", ["value"])
 
 
+def read_by_question(spark: SparkSession, folder: str) -> DataFrame:
+    columns = (
+        "question string, place int, title string, query string, line bigint, column string, value string"
+    )
+    return spark.read.schema(columns).json(folder)
+
+
 def _facts(question: str, one_row: DataFrame, facts: Mapping[str, str]) -> DataFrame:
     kinds = dict(one_row.dtypes)
     cells = [plain_text(F.col(c), kinds[c]).alias(fact) for fact, c in facts.items()]

@@ -212,6 +212,11 @@ def test_publish_keeps_history_and_replaces_latest(spark, tmp_path):
     ]
     history = spark.read.json(f"{path}/history/raw/q1_total").select("run_id", "net_revenue")
     assert rows(history) == [("run-1", 12345678.5), ("run-2", 20.0)]
+    ordered = report.read_by_question(spark, f"{path}/latest/by_question").collect()
+    assert [(r.question, r.place, r.query, r.value) for r in ordered] == [
+        ("Annex", 99, "extra", ""), ("Q1", 1, "q1_total", "20.00"), ("Q1", 1, "q1_total", "2"),
+    ]
+    assert os.path.isdir(f"{path}/history/by_question/run_id=run-1")
     first = report.read_report(spark, f"{path}/history/report/run_id=run-1")
     assert ("Q1", "q1_total", 1, "net_revenue", "12345678.50") in rows(first)
 
