@@ -450,15 +450,17 @@ def find_personal_data(
     kept = [c for c in docs.columns if c not in new]
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     field = train_field(training or labelled_lines())
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    # plain values, as workers need no copy of the library to read them
+    shared = docs.sparkSession.sparkContext.broadcast(vars(field))
     at = kept.index(text)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learned = Field(**shared.value)
         for part in slices(batches):
             values = part.column(at).to_pylist()
             texts = [value or "" for value in values]
             rows = []
-            for value, whole, added in zip(values, texts, field_spans(shared.value, texts)):
+            for value, whole, added in zip(values, texts, field_spans(learned, texts)):
                 base = base_spans(whole)
                 spans = sorted(base + [s for s in added if not any(b[0] < s[2] and s[0] < b[2] for b in base)])
                 counts = [sum(kind == k for _, kind, _ in base) for k in range(len(KINDS))]

@@ -213,10 +213,11 @@ def identify_language(
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     at = kept.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values, as workers need no copy of the library to read them
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = shared.value
+        learned = Model(**shared.value)
         for part in slices(batches):
             names, scores = predict_texts(learned, part.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(

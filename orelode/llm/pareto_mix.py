@@ -15,8 +15,6 @@ MOST_COPIES = 2.0
 
 #: Bins of the Pareto rank within a source; only one bin of a source is put in exact order.
 BINS = 1 << 12
-#: Times that room left by a document too large for it is offered to smaller ones.
-ROUNDS = 4
 
 
 def source_targets(sizes: DataFrame, weights: DataFrame) -> DataFrame:
@@ -60,18 +58,58 @@ def uniform(*columns: Column, seed: int = 0) -> Column:
 
 
 def pareto_rank(chance: Column, inclusion: Column) -> Column:
-    """Odds of a uniform number divided by the odds of inclusion; small ranks are chosen."""
-    return F.try_divide(chance / (1 - chance), F.try_divide(inclusion, 1 - inclusion))
+    """Odds of a uniform number divided by the odds of inclusion; small ranks are chosen. What is
+    certain comes first."""
+    odds = F.try_divide(chance / (1 - chance), F.try_divide(inclusion, 1 - inclusion))
+    return F.when(inclusion >= 1, F.lit(0.0)).otherwise(odds)
+
+
+def inclusion_scales(wanted: DataFrame) -> DataFrame:
+    """``_source, _scale``: the inclusion probability of a document is its size times the scale of
+    its source, and 1 where that is more, such that the sizes included are the wanted ones.
+
+    ``wanted`` has ``source, size, _rows, _wanted``. Sizes are counted first. Documents that reach 1
+    are certain, what they hold is taken off, and the scale of the others rises; each pass finds
+    more of these, or is the last. Only a count comes to the driver.
+    """
+    sizes = staged(
+        wanted.filter((F.col("_wanted") > 0) & (F.col("size") > 0))
+        .groupBy("source", "size")
+        .agg(F.sum("_rows").alias("_rows"), F.max("_wanted").alias("_wanted")),
+        "counts",
+    )
+    size, rows = F.col("size").cast("double"), F.col("_rows")
+    scaled, certain = sizes.withColumn("_scale", F.lit(0.0)), -1
+    while True:
+        full = F.col("_scale") * size >= 1
+        scales = scaled.groupBy(F.col("source").alias("_source")).agg(
+            F.try_divide(
+                F.max("_wanted") - F.coalesce(F.sum(F.when(full, size * rows)), F.lit(0.0)),
+                F.sum(F.when(~full, size * size * rows)),
+            ).alias("_new"),
+            F.count_if(full).alias("_full"),
+            F.max("_scale").alias("_before"),
+        )
+        scales = staged(scales, "scales")
+        found = scales.agg(F.coalesce(F.sum("_full"), F.lit(0))).first()[0]
+        # all documents certain: any scale that makes them so
+        scale = F.coalesce(F.greatest("_new", "_before"), "_before")
+        scales = scales.select("_source", scale.alias("_scale"))
+        if found == certain:
+            return scales
+        certain = found
+        scaled = sizes.join(scales, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
 def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """All columns of ``docs`` with ``size, source_size, target, copies, taken``.
 
     A source's target over its size is the number of times its documents are wanted. The whole
-    part of it is certain: every document is taken so often. The rest is the inclusion
-    probability of one more copy. Documents are ranked by random odds over inclusion odds, and
-    the smallest ranks are taken until the source's target is reached; where the next document
-    is too large for the room left, the room goes to the next ones that fit, a few times over.
+    part of it is certain: every document is taken so often. One more copy of a document is drawn
+    with a probability in proportion to its size, as the words still wanted are a share of all;
+    documents that come to 1 are certain too. Documents are ranked by random odds over inclusion
+    odds, and the smallest ranks are taken until the source's target is reached; where the next
+    document is too large for the room left, the room goes to the next ones, until none fits.
     ``taken`` is ``copies`` times ``size``: documents are taken whole.
 
     Sums along the ranks are taken over bins first, so only the bin in which a source reaches
@@ -102,7 +140,13 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
         .drop("_source", "weight")
         .withColumn("_certain", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)))
         .withColumn("_wanted", F.col("target") - F.col("_certain") * F.col("source_size"))
-        .withColumn("_chance", F.coalesce(F.try_divide("_wanted", "source_size"), F.lit(0.0)))
+    )
+    scales = inclusion_scales(ranked)
+    chance = F.least(F.coalesce(F.col("size") * F.col("_scale"), F.lit(0.0)), F.lit(1.0))
+    ranked = (
+        ranked.join(scales.withColumnRenamed("_source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
+        .withColumn("_chance", chance)
+        .drop("_s", "_scale")
         .withColumn("_rank", pareto_rank(uniform("_key", "_code"), F.col("_chance")))
     )
     # ranks lie in (0, inf); x / (1 + x) keeps their order and fits bins
@@ -143,7 +187,7 @@ def chosen(ranked: DataFrame) -> DataFrame:
     open_rows = open_rows.withColumn("_weight", F.col("size") * F.col("_rows"))
     room = open_rows.groupBy("source").agg(F.max("_wanted").alias("_room"))
     taken, left = None, open_rows
-    for _ in range(ROUNDS):
+    while True:
         room = staged(room, "room")
         fit = left.join(room.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
         fit = fit.filter(F.col("_weight") <= F.col("_room") + 0.5)

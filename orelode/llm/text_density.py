@@ -32,7 +32,7 @@ BLOCK = frozenset(
 #: Elements that never hold main text.
 DROPPED = frozenset(
     "nav header footer aside form script style noscript template button select option textarea "
-    "iframe object svg canvas head title menu dialog audio video math input label fieldset".split()
+    "iframe object svg canvas head title menu dialog audio video input".split()
 )
 #: Words of a class, id or role that name something other than main text.
 NAMED = frozenset(
@@ -42,6 +42,14 @@ NAMED = frozenset(
     "login share sharing social comment comments reply replies disqus related recommended "
     "recommendations pagination pager toolbar search contentinfo complementary alert".split()
 )
+#: Words that tell reader comments, and words beside them that say only whose or in what form.
+COMMENTS = frozenset("comment comments reply replies disqus respond".split())
+FORM_OF = frozenset(
+    "user users reader readers visitor post article blog entry page site list lists section area thread "
+    "threads container wrapper wrap box block item items body content feed form panel main all".split()
+)
+#: Elements of running text: a block of these stays, whatever its links.
+PROSE = frozenset("p pre blockquote figcaption h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Elements that an opening tag closes when they are open.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 CLOSES |= {"tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -83,10 +91,18 @@ def told(attributes: str) -> tuple[bool, bool]:
         elif name == "aria-hidden":
             hidden = hidden or value.strip().lower() == "true"
         elif name in ("class", "id", "role"):
-            named = named or any(NAMED.issuperset(re.split("[-_]+", token)) for token in value.lower().split())
+            named = named or any(names_other(token) for token in value.lower().split())
     return hidden, named
 
 
+def names_other(token: str) -> bool:
+    """Whether a whole token is made of words for what is not main text, or is one for comments."""
+    words = {word for word in re.split("[-_]+", token) if word}
+    if words & COMMENTS:
+        return (NAMED | COMMENTS | FORM_OF).issuperset(words)
+    return bool(words) and NAMED.issuperset(words)
+
+
 def parse(page: str) -> tuple[Node, list[Node]]:
     """The tree of a page, and its nodes with parents before children."""
     root = Node("#root", None, False)
@@ -355,8 +371,8 @@ def ancestors(node: Node) -> list[Node]:
 
 
 def blocks_of(top: Node, threshold: float) -> list[str]:
-    """Texts of the blocks below a node in page order, without blocks that are mostly links
-    and thinner than the threshold."""
+    """Texts of the blocks below a node in page order, without menus: blocks other than running
+    text that hold links and no more than a sign between them, and are thinner than the threshold."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -381,8 +397,8 @@ def blocks_of(top: Node, threshold: float) -> list[str]:
             continue
         elif item.tag == "br":
             line.append(" ")
-        elif not (item.tag in BLOCK and item is not top and item.chars
-                  and 2 * item.link_chars > item.chars and item.density < threshold):
+        elif not (item.tag in BLOCK and item.tag not in PROSE and item is not top and item.chars
+                  and item.chars - item.link_chars <= item.link_tags and item.density < threshold):
             if item.tag in BLOCK:
                 end()
             stack.append(iter(item.items))
@@ -405,7 +421,8 @@ def extract_main_text(pages: DataFrame, page: str = "html") -> DataFrame:
     adverts, forms, comments or code are left out. Among the others, the subtree with the
     largest sum of child densities (characters per tag, lowered by links) is a main one, and so
     is every other that is as dense as the least dense element between that one and the body;
-    within them, blocks that are mostly links and thinner than that go too.
+    within them, blocks other than running text that hold nothing but links, and are thinner than
+    that, go as menus.
 
     Null and empty pages give an empty text. Broken markup never fails: unclosed elements end
     with the page. Rows are independent, so repeated rows and ids give repeated results;

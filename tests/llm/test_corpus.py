@@ -200,3 +200,22 @@ def test_pipeline_packs_what_the_mix_took(spark):
     assert all(r[1] <= 2048 for r in lengths)
     parts = found.groupBy("doc_id", "start").count().groupBy("doc_id").agg({"count": "max"}).collect()
     assert max(r[1] for r in parts) <= 2
+
+
+def test_inclusion_is_in_proportion_to_size(spark):
+    """Sizes 10 and 30 in one source, a third of its words wanted beside one certain copy; one
+    document is so long that it is certain."""
+    rows = [(i, "w " * (10 if i % 2 else 30), "b") for i in range(3000)] + [(3000, "w " * 9000, "b")]
+    rows += [(4000 + i, "v " * 20, s) for s, n in (("a", 900), ("c", 900)) for i in range(n)]
+    found = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    mixed = [r for r in found if r.source == "b"]
+    extra = mixed[0].target - mixed[0].source_size * int(mixed[0].target // mixed[0].source_size)
+    more = {r.doc_id: r.copies - int(r.target // r.source_size) for r in mixed}
+    assert more[3000] == 1
+    # 1,500 documents of each size: scale * (10 * 10 + 30 * 30) * 1500 words beside the long one
+    scale = (extra - 9000) / (1500 * 1000)
+    for size, place in ((10, 1), (30, 0)):
+        share = sum(more[i] for i in range(3000) if i % 2 == place) / 1500
+        spread = (scale * size * (1 - scale * size) / 1500) ** 0.5
+        assert abs(share - scale * size) < 5 * spread, (size, share, scale * size)
+    assert abs(sum(r.taken for r in mixed) - mixed[0].target) <= 10

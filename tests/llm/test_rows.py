@@ -359,3 +359,24 @@ def test_bare_text_beside_a_subtree():
     page = f"<body>{text} <b>bold</b> {text}<div><div>{inner}</div></div><div><h2>More</h2></div><p>{text} {text}</p><p>x</p></body>"
     expected = [f"{text} bold {text}", *[text] * 5, "More", f"{text} {text}"]
     assert text_density.main_text(page) == "\n\n".join(expected)
+
+
+@pytest.mark.parametrize(
+    ("inside", "kept"),
+    [
+        ("<p>See <a href='x'>the very long linked report title of the agency</a> now.</p>", True),
+        ("<p><a href='x'>A paragraph that is one link stays a paragraph.</a></p>", True),
+        ("<p>Energy is <math>E=mc2</math> said he.</p>", True),
+        ("<p>The <label>labelled</label> words.</p>", True),
+        ("<div class='user-comments'><p>Reader words of no use.</p></div>", False),
+        ("<section id='comment-list'><p>Reader words of no use.</p></section>", False),
+        ("<div id='post-comments-area'><p>Reader words of no use.</p></div>", False),
+        ("<div class='comment-on-politics'><p>An opinion piece stays.</p></div>", True),
+        ("<ul><li><a href='1'>Home</a></li><li><a href='2'>News</a></li></ul>", False),
+    ],
+)
+def test_blocks_inside_an_article(inside, kept):
+    body = "".join(f"<p>Sentence number {i} of the article with enough words to be text.</p>" for i in range(8))
+    page = f"<html><body><article><h1>Title</h1>{body}{inside}{body}</article></body></html>"
+    words = " ".join(re.sub(r"<[^>]+>", "", inside.replace("</li>", " ")).split())
+    assert (words in " ".join(text_density.main_text(page).split())) is kept
