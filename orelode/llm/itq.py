@@ -163,8 +163,8 @@ def near_vectors(
     group makes rows for its pairs.
 
     Rows with a null label, or a vector that is null, empty, zero or holds a null or non-finite
-    component, link with nothing and are kept. So are rows whose vector has another length
-    than most. Rows with a null key link with nothing and have a null component; rows with one
+    component, link with nothing and are kept. Vectors of different lengths have no cosine: those
+    of each length are compared among themselves, with rotations of their own. Rows with a null key link with nothing and have a null component; rows with one
     key and different vectors share a component. An empty table gives no rows; other columns
     are not read.
     """
@@ -178,9 +178,7 @@ def near_vectors(
     base = base.withColumn("usable", F.col("usable") & F.col("key").isNotNull())
     base = base.withColumn("mark", F.xxhash64("embedding")).withColumn("check", F.xxhash64("embedding", F.lit(1)))
     good = base.filter("usable")
-    widths = good.groupBy(F.size("embedding").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    width, total = (widths["width"], widths["count"]) if widths else (0, 0)
-    good = good.filter(F.size("embedding") == width)
+    widths = good.groupBy(F.size("embedding").alias("width")).count().orderBy("width").collect()
     copies = staged(
         good.groupBy("label_code", "mark", "check").agg(
             F.min("key").alias("node"), F.count("*").alias("count"), F.first("embedding").alias("embedding")
@@ -188,7 +186,10 @@ def near_vectors(
         "copies",
     )
     nodes = copies.select("node", "count", "embedding", "label_code")
-    found = compared(nodes, width, total, least)
+    found = compared(nodes, 0, 0, least)
+    for row in widths:  # as a rule one
+        some = nodes.filter(F.size("embedding") == row["width"])
+        found = found.unionByName(compared(some, row["width"], row["count"], least))
     links = found.filter(F.col("n").isNotNull()).groupBy("a").agg(F.sum("n").alias("n"))
     several = good.join(copies, ["label_code", "mark", "check"]).filter("key != node").select(
         F.col("key").alias("a"), F.col("node").alias("b")
@@ -196,7 +197,7 @@ def near_vectors(
     edges = found.filter(F.col("b").isNotNull()).select("a", "b").unionByName(several)
     components = connected_components(edges)
 
-    own = base.select("key", "label_code", "mark", "check", (F.col("usable") & (F.size("embedding") == width)).alias("ok"))
+    own = base.select("key", "label_code", "mark", "check", F.col("usable").alias("ok"))
     groups = copies.select(
         F.col("label_code").alias("l"), F.col("mark").alias("m"), F.col("check").alias("c"), "node", "count"
     )

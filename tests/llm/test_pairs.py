@@ -222,3 +222,20 @@ def test_no_vectors(spark):
     nothing = spark.createDataFrame([(1, None, 1, "x"), (None, [1.0], 1, "x")], VECTORS)
     found = itq.near_vectors(nothing).collect()
     assert sorted((r.vec_id or 0, r.n_links, r.kept) for r in found) == [(0, 0, True), (1, 0, True)]
+
+
+def test_vectors_link_within_each_length(spark):
+    dice = np.random.default_rng(8)
+    base = {width: dice.normal(size=width) for width in (2, 4, 40)}
+    rows = []
+    for width, count in ((4, 6), (2, 3), (40, 5)):
+        for _ in range(count):
+            rows.append((len(rows), [float(x) for x in base[width] + dice.normal(size=width) * 1e-4], 1))
+    rows += [(len(rows) + i, [float(x) for x in base[2]], 1) for i in range(2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_vectors(frame).collect()}
+    expected = {}
+    for i, v, _ in rows:
+        same = [j for j, w, _ in rows if len(w) == len(v)]
+        expected[i] = (len(same) - 1, min(same))
+    assert found == expected
