@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,11 @@ SHARD_TOKENS = 2_000_000
 TASK_TOKENS = 32_000_000
 #: The constants of BM25.
 K1, B = 1.2, 0.75
+#: Weights are multiples of this, so that their sums are exact and the same in any order.
+UNIT = 2.0**-20
+#: A term that at least one of so many open documents holds is a row of a matrix; the others have
+#: postings. The matrix has at most so many entries for each posting.
+COMMON = 4
 #: Neighbours that are put in order at first; the others follow when a window needs them.
 FIRST = 64
 
@@ -43,8 +50,9 @@ class Ids:
     """Ids of whole texts, as the tokenizer gives them, with the ids of pieces remembered.
 
     The tokenizer lowers letters, cuts a text into pieces by ``PIECE`` and drops white space;
-    the ids of a text are those of its pieces. New pieces go through the tokenizer in one call,
-    and their ids are told apart by the mark of a piece's end. Texts with characters outside of
+    the ids of a text are those of its pieces. Pieces are numbered as they are met; new ones go
+    through the tokenizer in one call, and their ids are told apart by the mark of a piece's end.
+    The ids of a batch are taken from one array by these numbers. Texts with characters outside of
     ``PLAIN``, or that may hold a special token, go through it as a whole.
     """
 
@@ -60,38 +68,57 @@ class Ids:
         self.last = np.zeros(size, bool)
         for piece, place in self.tokenizer.get_vocab().items():
             self.last[place] = piece.endswith("</w>")
-        self.known: dict[str, bytes] = {}
+        self.forget()
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def learn(self, pieces: set[str]) -> None:
-        """Remembers the ids of all pieces, and forgets others when there are too many."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(pieces.difference(self.known))
+    def forget(self) -> None:
+        self.numbers: defaultdict[str, int] = defaultdict(count().__next__)
+        self.flat, self.sizes = np.empty(0, self.kind), np.empty(0, np.int32)
+        self.starts = np.empty(0, np.int32)
+
+    def learn(self) -> None:
+        """Remembers the ids of all pieces that got a number since the last call."""
+        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.sizes)))[::-1]
         lines = [" ".join(new[i : i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
         found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.concatenate([np.array(one.ids, self.kind) for one in found] or [np.empty(0, self.kind)])
         stops = np.flatnonzero(self.last[ids]) + 1
         if len(stops) == len(new):
-            raw, stops = ids.tobytes(), (stops * self.kind.itemsize).tolist()
-            self.known.update((piece, raw[a:b]) for piece, a, b in zip(new, [0, *stops], stops))
+            sizes = np.diff(stops, prepend=0)
         else:
-            self.known.update((piece, self.direct(piece)) for piece in new)
+            own = [self.direct(piece) for piece in new]
+            ids = np.frombuffer(b"".join(own), self.kind)
+            sizes = np.array([len(raw) // self.kind.itemsize for raw in own])
+        self.flat = np.concatenate([self.flat, ids])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+        self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
 
     def of(self, texts: list[str]) -> list[bytes]:
+        if len(self.numbers) > REMEMBERED:
+            self.forget()
         cut = [
             PIECE.findall(text.lower())
             if PLAIN.fullmatch(text) and not any(special in text for special in self.specials)
             else None
             for text in texts
         ]
-        self.learn(set().union(*filter(None, cut)))
-        known = self.known.__getitem__
+        until = np.cumsum([0] + [len(pieces or ()) for pieces in cut])
+        places = np.fromiter(
+            map(self.numbers.__getitem__, chain.from_iterable(filter(None, cut))), np.int32, until[-1]
+        )
+        self.learn()
+        sizes = self.sizes[places]
+        stops = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        # each piece's ids stand together: its start, then one on for each further id
+        steps = np.repeat(self.starts[places] - stops[:-1], sizes)
+        steps += np.arange(len(steps))
+        raw = self.flat[steps].tobytes()
+        edges = (stops[until] * self.kind.itemsize).tolist()
         return [
-            (self.direct(text) if pieces is None else b"".join(map(known, pieces))) + self.end
-            for text, pieces in zip(texts, cut)
+            (self.direct(text) if pieces is None else raw[a:b]) + self.end
+            for text, pieces, a, b in zip(texts, cut, edges, edges[1:])
         ]
 
 
@@ -147,32 +174,57 @@ class Shard:
         cuts = np.cumsum([0] + [len(t) for t in terms])
         term, count, owner = map(np.concatenate, (terms, counts, owners))
         weight = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * sizes[owner] / max(mean, 1.0)))
+        weight = np.rint(weight / UNIT) * UNIT
         # terms of the shard by number, so that the index is as long as they are
-        known, term = np.unique(term, return_inverse=True)
-        self.terms, self.cuts, self.known = term, cuts, len(known)
-        self.index(term, owner, weight)
+        met = np.zeros(len(idf), bool)
+        met[term] = True
+        number = np.cumsum(met) - 1
+        term = number[term]
+        self.terms, self.cuts, self.known = term, cuts, int(number[-1]) + 1
+        order = np.argsort(term.astype(np.uint16) if self.known <= 1 << 16 else term, kind="stable")
+        self.index(term[order], owner[order], weight[order])
 
     def index(self, term: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> None:
-        """Postings by term, each in the order of the documents."""
-        order = np.argsort(term, kind="stable")
-        self.term, self.owner, self.weight = term[order], owner[order], weight[order]
-        self.edges = np.searchsorted(self.term, np.arange(self.known + 1)).tolist()
-        self.indexed = int(np.count_nonzero(self.left))
+        """Takes postings in the order of terms, then documents. Common terms are rows of a matrix
+        over the open documents, the others have lists."""
+        self.term, self.owner, self.weight = term, owner, weight
+        self.open = np.flatnonzero(self.left)
+        holders = np.bincount(term, minlength=self.known)
+        common = (holders > 0) & (holders * COMMON >= len(self.open))
+        self.row = np.where(common, np.cumsum(common) - 1, -1)
+        dense = common[term]
+        column = np.zeros(len(self.left), np.int64)
+        column[self.open] = np.arange(len(self.open))
+        self.matrix = np.zeros((int(common.sum()), len(self.open)))
+        self.matrix[self.row[term[dense]], column[owner[dense]]] = weight[dense]
+        self.listed, self.listed_weight = owner[~dense], weight[~dense]
+        self.edges = np.append(0, np.cumsum(np.where(common, 0, holders))).tolist()
 
     def forget(self) -> None:
-        """Leaves out the postings of used documents once they are many; the sums of the others
-        keep their order."""
-        if 4 * np.count_nonzero(self.left) < 3 * self.indexed:
+        """Leaves out the postings of used documents once they are many."""
+        if 4 * np.count_nonzero(self.left) < 3 * len(self.open):
             open_rows = self.left[self.owner] > 0
             self.index(self.term[open_rows], self.owner[open_rows], self.weight[open_rows])
 
+    def scores(self, place: int) -> np.ndarray:
+        """BM25 of all documents for the terms of one."""
+        edges, terms = self.edges, self.terms[self.cuts[place] : self.cuts[place + 1]]
+        rows = self.row[terms]
+        asked = np.zeros(len(self.matrix))
+        asked[rows[rows >= 0]] = 1
+        scores = np.zeros(len(self.pool))
+        scores[self.open] = asked @ self.matrix
+        runs = [slice(edges[t], edges[t + 1]) for t in terms[rows < 0].tolist()]
+        if runs:
+            owners = np.concatenate([self.listed[run] for run in runs])
+            weights = np.concatenate([self.listed_weight[run] for run in runs])
+            scores += np.bincount(owners, weights, len(scores))
+        return scores
+
     def neighbours(self, place: int) -> Iterator[int]:
         """Unused documents by falling BM25 score, then the others in the order of the shard."""
         self.forget()
-        edges = self.edges
-        runs = [slice(edges[t], edges[t + 1]) for t in self.terms[self.cuts[place] : self.cuts[place + 1]].tolist()]
-        owners = np.concatenate([self.owner[run] for run in runs])
-        scores = np.bincount(owners, np.concatenate([self.weight[run] for run in runs]), len(self.pool))
+        scores = self.scores(place)
         scores[self.left == 0] = 0
         scores[place] = 0
         found = np.flatnonzero(scores)
