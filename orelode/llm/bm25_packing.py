@@ -122,18 +122,19 @@ class Ids:
         ]
 
 
-def signature(ids: np.ndarray, orders: list[np.ndarray]) -> list[int]:
+def signature(ids: np.ndarray, orders: list[np.ndarray], places: np.ndarray) -> list[int]:
     """The first of the terms in each of two random orders of the vocabulary; texts with common
-    terms tend to share them."""
-    return [int(order[ids].min()) for order in orders]
+    terms tend to share them. They are given by their places in a third order: the first terms
+    of long texts are early ones, and long texts would stand together."""
+    return [int(places[ids[order[ids].argmin()]]) for order in orders]
 
 
 def id_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     ids = once_in_worker(f"ids of {path}", lambda: Ids(path))
-    orders = [np.random.default_rng(seed).permutation(len(ids.last)).astype(np.int32) for seed in (1, 2)]
+    *orders, places = [np.random.default_rng(seed).permutation(len(ids.last)).astype(np.int32) for seed in (1, 2, 3)]
     for part in slices(batches, TEXTS):
         raw = ids.of([text or "" for text in part.column(1).to_pylist()])
-        marks = [signature(np.frombuffer(r, ids.kind), orders) for r in raw]
+        marks = [signature(np.frombuffer(r, ids.kind), orders, places) for r in raw]
         yield pa.RecordBatch.from_arrays(
             [part.column(0), pa.array([len(r) // ids.kind.itemsize for r in raw], pa.int64()),
              pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),

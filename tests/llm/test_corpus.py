@@ -10,7 +10,7 @@ from corpus_rows import make_docs
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from orelode.llm.bm25_packing import Ids, Shard, pack_documents
+from orelode.llm.bm25_packing import Ids, Shard, pack_documents, signature
 from orelode.llm.pareto_mix import MOST_COPIES, SHARE, WEIGHTS, mix_sources
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -161,6 +161,16 @@ def test_neighbours_are_in_the_order_of_their_scores():
         assert set(found) == set(range(1, 400)) - set(used[:gone].tolist())
 
 
+def test_places_of_documents_do_not_tell_their_length():
+    dice = np.random.default_rng(4)
+    orders = [dice.permutation(5_000) for _ in range(3)]
+    sizes = np.where(np.arange(600) % 3, 30, 1_500)
+    marks = [signature(dice.integers(0, 5_000, size), orders[:2], orders[2]) for size in sizes]
+    along = sizes[np.argsort([near for near, _ in marks], kind="stable")]
+    tenths = along.reshape(10, -1).sum(axis=1)
+    assert tenths.max() < 2 * tenths.mean()
+
+
 def test_packing_of_nothing(no_docs):
     assert pack_documents(no_docs, TOKENIZER).collect() == []
 
