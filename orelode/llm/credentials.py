@@ -51,6 +51,9 @@ COMPLEMENT = {
 SCOPE = 200
 BIN = 512
 
+#: Matches that are put together at a time: appending to a list copies it.
+TOGETHER = 256
+
 SPAN = "array<struct<start:int,stop:int,kind:int,value:string>>"
 
 
@@ -77,7 +80,29 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
         )
         return F.struct(stop.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    spans = F.aggregate(steps, start, step, lambda state: state["out"])
+    # runs of steps with the place where each begins, then the spans of each run
+    count = F.size(found)
+    firsts = F.sequence(F.lit(0), F.floor((count - 1) / TOGETHER).cast("int"))
+    runs = F.transform(firsts, lambda k: F.slice(steps, k * TOGETHER + 1, F.lit(TOGETHER)))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    begins = F.aggregate(
+        runs,
+        none,
+        lambda state, run: F.struct(
+            F.aggregate(run, state["at"], lambda at, one: at + one["gap"] + F.length(one["value"])).alias("at"),
+            F.concat(state["out"], F.array(state["at"])).alias("out"),
+        ),
+        lambda state: state["out"],
+    )
+    spans = F.flatten(
+        F.zip_with(
+            runs,
+            begins,
+            lambda run, begin: F.aggregate(
+                run, F.struct(begin.alias("at"), start["out"].alias("out")), step, lambda state: state["out"]
+            ),
+        )
+    )
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orelode.llm.credentials import BASE, COMPLEMENT, KINDS, LEAST_VALUE, ROLE, SCOPE, WEAK
+from orelode.llm.credentials import COMPLEMENT, KINDS, ROLE, SCOPE, WEAK
 from orelode.llm.debruijn import WINDOW
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -143,6 +143,15 @@ def matches(kind: int, pattern: str) -> str:
                     FROM documents WHERE regexp_matches(text, {quoted(pattern)}))))"""
 
 
+#: The base patterns as the rules state them, apart from those of the operator. A run of hex signs
+#: is as long as it can be, so its least length stands in the pattern.
+BASE = {
+    "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]{24,}",
+}
+
+
 def credential_linking() -> str:
     base = " UNION ALL ".join(matches(i, p) for i, p in enumerate(BASE.values()))
     weak = " UNION ALL ".join(matches(len(BASE) + i, p) for i, p in enumerate(WEAK.values()))
@@ -157,7 +166,8 @@ def credential_linking() -> str:
 WITH found AS ({base}),
 base AS (
     SELECT * FROM found
-    WHERE kind <> 0 OR length(regexp_extract(value, {quoted(BASE["assign"])}, 1)) >= {LEAST_VALUE}),
+    WHERE CASE kind WHEN 0 THEN length(regexp_extract(value, {quoted(BASE["assign"])}, 2)) >= 6
+                    WHEN 1 THEN length(value) >= 20 ELSE true END),
 weak AS (
     SELECT * FROM ({weak}) w WHERE NOT EXISTS (
         FROM base b WHERE b.doc_id = w.doc_id AND b.start < w.stop AND w.start < b.stop)),
