@@ -16,15 +16,38 @@ from orelode.llm.common import SPACES, Cache, covered, mapped, slices, window_ha
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 
-ENDS = re.compile(r"[.!?:;…。！？](?:[\"'»”’)\]]|\s|$)")
+ENDS = re.compile(r"[.!?:;…。！？؟।۔](?:[\"'»”’)\]]|\s|$)")
 SEPARATORS = re.compile(r"\s[|•»·>/]\s")
-BOILERPLATE = re.compile(
-    r"all rights reserved|©|\bcopyright \d|licensed under|released under the|"
-    r"this work is licensed|terms of (?:use|service)|privacy policy|cookie|"
-    r"click here|read more|sign (?:in|up)|log ?in|subscribe|javascript|lorem ipsum",
+#: Notices: they fail a line that begins with one, or of whose words they are a good part.
+NOTICE = re.compile(
+    r"(?:©|\(c\)|\bcopyright\b)\s*(?:©|\(c\))?\s*(?:19|20)\d\d\b|\ball rights reserved\b|"
+    r"\b(?:this work is )?licensed under\b|\breleased under (?:the|an?) .*\blicen[cs]e\b|"
+    r"\bterms (?:of (?:use|service)|(?:and|&) conditions)\b|\bprivacy policy\b|\blorem ipsum dolor\b|"
+    r"\balle rechte vorbehalten\b|\bdatenschutzerklärung\b|\bnutzungsbedingungen\b|"
+    r"\btous droits réservés\b|\bpolitique de confidentialité\b|\bconditions d['’]utilisation\b|"
+    r"\b(?:todos los derechos reservados|todos os direitos reservados|tutti i diritti riservati)\b|"
+    r"\bpolítica de privacid(?:ad|ade)\b|\binformativa sulla privacy\b|\balle rechten voorbehouden\b",
     re.IGNORECASE,
 )
-#: A line that is longer than this is prose with a phrase in it, not boilerplate.
+#: A notice that does not begin its line has to hold one in so many of its words.
+NOTICE_SHARE = 3
+#: Requests to the reader: they fail a line that begins with one, if it ends there or goes on as
+#: a request does. "Sign in the window" and "read more books" are none.
+PROMPT = re.compile(
+    r"\W*(?:please )?(?:"
+    r"(?:(?:click|tap) here|read more|learn more|find out more|sign (?:in|up)|log ?in|log on|register|subscribe|"
+    r"share (?:this|on)|follow us)"
+    r"(?=\W*$|[.,!:;»→>|]|\s+(?:to|or|with|via|about|on|at|for|here|now|today|below|our|your)\b)|"
+    r"(?:we|this (?:web)?site|our (?:web)?site) uses? cookies\b|accept (?:all )?cookies\b|"
+    r"by (?:continuing to (?:use|browse)|using) (?:this|our) (?:web)?site\b|"
+    r"(?:you need to )?enable javascript\b|javascript (?:is|must be|seems to be) (?:disabled|required|enabled)\b|"
+    r"(?:weiterlesen|mehr (?:lesen|erfahren)|hier klicken|jetzt (?:anmelden|abonnieren)|"
+    r"lire la suite|en savoir plus|cliquez ici|leer más|haga clic aquí|inici(?:a|ar) sesión|"
+    r"leia mais|clique aqui|leggi (?:tutto|di più)|clicca qui|lees meer|klik hier)"
+    r"(?=\W*$|[.,!:;»→>|]))",
+    re.IGNORECASE,
+)
+#: A line that is longer than this is prose, whatever it begins with.
 BOILERPLATE_WORDS = 25
 #: Symbols a word that a line may hold, and words a menu entry may have.
 SYMBOLS_PER_WORD = 0.5
@@ -39,6 +62,16 @@ SCHEMA = (
 )
 
 
+def is_notice(line: str, n_words: int) -> bool:
+    """Whether a line begins with a notice, or notices hold enough of its words."""
+    found = list(NOTICE.finditer(line))
+    if not found:
+        return False
+    if not any(map(str.isalnum, line[: found[0].start()])):
+        return True
+    return NOTICE_SHARE * sum(len(one[0].split()) for one in found) >= n_words
+
+
 def line_fault(line: str, n_words: int) -> str | None:
     """The first rule that a line with words fails; None for a good line."""
     symbols = sum(line.count(c) for c in SYMBOLS.decode())
@@ -47,7 +80,7 @@ def line_fault(line: str, n_words: int) -> str | None:
         return "navigation"
     if symbols > SYMBOLS_PER_WORD * n_words and symbols > 3:
         return "symbols"
-    if n_words <= BOILERPLATE_WORDS and BOILERPLATE.search(line):
+    if n_words <= BOILERPLATE_WORDS and (PROMPT.match(line) or is_notice(line, n_words)):
         return "boilerplate"
     if not ENDS.search(line):
         return "punctuation"
@@ -102,7 +135,8 @@ def clean_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     """Every document with its figures, its verdict and its text without the failed lines.
 
     A line fails as navigation (four or more short entries between separators), for symbols
-    (more than one to two words), as boilerplate (a short line with a stock phrase) or for
+    (more than one to two words), as boilerplate (a short line that begins with a notice or a
+    request to the reader, or a third of whose words are notices) or for
     punctuation (no sentence ends in it). A document is kept unless it has under 20 words,
     over 30% of its words lie in 8-word windows that it repeats, or its failed lines hold more
     than half of its words.
