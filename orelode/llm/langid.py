@@ -21,9 +21,10 @@ WIDTH = 16
 #: Bytes of a subword; a space stands for the start and end of a word.
 SIZES = (1, 2, 3, 4)
 
-#: Bounds of the training table: labelled rows for each language, and languages.
+#: Bounds of the training table: labelled rows for each language, and for all of them. Beyond
+#: 20 languages each has an equal part of the latter, and one row at least.
 ROWS_PER_LANGUAGE = 400
-MOST_LANGUAGES = 64
+ROWS = 8_000
 
 #: A calibrated probability below this is a rejection.
 REJECT_BELOW = 0.5
@@ -83,24 +84,24 @@ def has_letter(text: str) -> bool:
 def training_rows(docs: DataFrame, text: str, lang: str, eligible: Column, key: str) -> DataFrame:
     """A bounded sample of labelled rows as sparse counts, the same in every run.
 
-    Of each of the ``MOST_LANGUAGES`` most frequent languages about ``ROWS_PER_LANGUAGE`` rows
-    are taken by a hash of their key, and no more than twice as many.
+    Of every language about ``ROWS_PER_LANGUAGE`` rows are taken by a hash of their key, or its
+    part of ``ROWS`` where languages are many; all of them where there are no more. Rows that
+    share a key share a hash, so the whole sample is held to twice its size.
     """
     labelled = docs.filter(eligible & F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = (
         labelled.groupBy(F.col(lang).alias("_lang"))
         .agg(F.count("*").alias("_rows"))
-        .orderBy(F.desc("_rows"), "_lang")
-        .limit(MOST_LANGUAGES)
     )
+    languages = sizes.count()
+    wanted = max(1, min(ROWS_PER_LANGUAGE, ROWS // max(languages, 1)))
     # uniform in [0, 1)
     place = F.pmod(F.xxhash64(F.col(key), F.lit("language")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    near = F.broadcast(sizes)  # at most MOST_LANGUAGES rows
     sample = (
         labelled.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"), place.alias("_at"))
-        .join(near, "_lang")
-        .filter(F.col("_at") * F.col("_rows") < ROWS_PER_LANGUAGE)
-        .limit(2 * MOST_LANGUAGES * ROWS_PER_LANGUAGE)
+        .join(sizes, "_lang")
+        .filter(F.col("_at") * F.col("_rows") < wanted)
+        .limit(2 * max(ROWS, languages))
         .select("_lang", "_text", "_at")
     )
 
