@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -54,6 +55,7 @@ PROSE = frozenset("p pre blockquote figcaption h1 h2 h3 h4 h5 h6 hgroup".split()
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 CLOSES |= {"tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 WALLS = frozenset("ul ol dl table select div article section main body html td th".split())
+MARKS = WALLS.union(*CLOSES.values())
 #: Elements that can be the main one, whole articles, and what lies outside the body.
 CONTAINERS = frozenset("#root html body article main section div td table center details".split())
 ARTICLES = frozenset("article main".split())
@@ -67,10 +69,13 @@ class Node:
     """An element: its own pieces of text and children in page order, and subtree counts."""
 
     __slots__ = ("tag", "parent", "items", "dropped", "named", "chars", "tags", "link_chars", "link_tags",
-                 "density", "sum", "best", "article")
+                 "density", "sum", "best", "article", "para", "mark")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
         self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, False
+        # the nearest open paragraph, and the nearest element that a search for one to end looks at
+        self.para = self if tag == "p" else None if tag in WALLS or parent is None else parent.para
+        self.mark = self if tag in MARKS else None if parent is None else parent.mark
         self.items: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
@@ -107,6 +112,16 @@ def parse(page: str) -> tuple[Node, list[Node]]:
     """The tree of a page, and its nodes with parents before children."""
     root = Node("#root", None, False)
     nodes, here, at = [root], root, 0
+    #: open elements by name, so that an end tag without a start is not searched for
+    opened: Counter[str] = Counter()
+
+    def up_to(node: Node) -> Node:
+        above = here
+        while above is not node:
+            opened[above.tag] -= 1
+            above = above.parent
+        return node
+
     last = page.rfind(">") + 1
     while found := MARKUP.search(page, at, last):
         if found.start() > at:
@@ -119,13 +134,13 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                 at = len(page)
             continue
         if found["end"]:
-            node = here
-            while node is not None and node.tag != tag:
-                node = node.parent
-            if node is not None and node.parent is not None:
-                here = node.parent
+            if opened[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                here = up_to(node.parent)
             continue
-        here = closed_by(tag, here)
+        here = up_to(closed_by(tag, here))
         rest = found["rest"]
         dropped = here.dropped or tag in DROPPED
         named = False
@@ -141,6 +156,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                 node.items.append(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
         elif tag not in VOID and not rest.endswith("/"):
+            opened[tag] += 1
             here = node
     if at < len(page):
         here.items.append(page[at:])
@@ -187,19 +203,14 @@ def own_chars(node: Node) -> int:
 
 def closed_by(tag: str, here: Node) -> Node:
     """The open element that an opening tag belongs into: it may end a paragraph or an item."""
-    if tag in BLOCK:
-        node = here
-        while node is not None and node.tag not in WALLS:
-            if node.tag == "p" and node.parent is not None:
-                here = node.parent
-                break
-            node = node.parent
+    if tag in BLOCK and here.para is not None:
+        here = here.para.parent
     if tag in CLOSES:
-        node = here
+        node = here.mark
         while node is not None and (node.tag not in WALLS or node.tag in CLOSES[tag]):
-            if node.tag in CLOSES[tag] and node.parent is not None:
+            if node.tag in CLOSES[tag]:
                 here = node.parent
-            node = node.parent
+            node = node.parent.mark
     return here
 
 
