@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from orelode.operators import tuples
 from orelode.sources import versions
 from support import rows
@@ -81,3 +82,29 @@ def test_buckets_are_found_by_a_session_without_the_entry(spark, tmp_path):
     assert "Exchange" not in again.groupBy("tuple_hash").count()._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(FileNotFoundError):
         versions.read_table(spark, path + "-none")
+
+
+def test_rows_travel_to_their_buckets_once_and_hot_ones_are_added_up_before(spark):
+    frame = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("a"),
+        F.lit("b").alias("b"), F.concat(F.lit("d"), F.col("id") % 4).alias("ingestion_date"),
+    )
+    placed = tuples.placed_tuples(frame.repartition(6), 4, NAMES)
+    assert rows(placed.drop("tuple_hash")) == rows(tuples.tuples_of(frame, NAMES))
+    again = placed.repartition(4, "tuple_hash").sortWithinPartitions("tuple_hash")
+    text = again._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(tuple_hash") == 1
+    # the hot ones alone are added up before
+    assert len(re.findall(r"Exchange hashpartitioning\(a", text)) == 1
+
+
+def test_buckets_are_more_where_they_would_be_large():
+    assert tuples.bucket_count(None, 8) == tuples.bucket_count(1000, 8) == 8
+    assert tuples.bucket_count(216_000_001, 8) == 433
+
+
+@pytest.mark.parametrize("query, table", [("merged_tuples", "merged_tuples"), ("fact_persistent_id", "sale_ids")])
+def test_queries_take_more_buckets_for_more_rows(lake, monkeypatch, query, table):
+    monkeypatch.setattr(tuples, "BUCKET_ROWS", 500)
+    assert registry.OPERATORS[query](lake).count() > 5_000
+    assert versions.last_commit(lake.spark, lake.scratch(table)).buckets > 8
