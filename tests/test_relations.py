@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from support import SF_DIR, rows
-from orelode.operators import quality, silver
+from orelode.operators import gold, quality, silver
 from orelode.plans import analytics
 from orelode.plans.lake import SalesLake
 
@@ -144,3 +144,31 @@ def test_duplicates_are_read_without_a_shuffle(lake, ask):
     # one row of totals at most passes through an exchange
     assert text.count("Exchange") <= 1
     assert rows(ask(lake.orders_tuples())) == rows(ask(lake.orders_raw()))
+
+
+def test_derived_columns_do_not_travel_to_their_month(lake):
+    text = plan(silver.silver_orders(lake.orders_tuples(), lake.spelling_list(), by_month=True))
+    travels = text[text.index("Exchange hashpartitioning(_month") :]
+    assert "line_amount" in text and "line_amount" not in travels and "is_return" not in travels
+    plain = silver.silver_orders(lake.orders_tuples(), lake.spelling_list())
+    assert rows(plain) == rows(lake.orders_clean().select(*plain.columns))
+
+
+def test_derived_columns_are_not_staged_for_numbering(spark, lake, tmp_path):
+    staging = str(tmp_path / "numbers")
+    fact = gold.fact_sales(lake.orders_clean(), lake.dim_product(), lake.dim_customer(), staging)
+    assert not {"invoice_date", "year", "month"} & set(spark.read.parquet(staging).columns)
+    same = ["sale_id", "product_id", "customer_id", "date_id", "year", "month", "line_amount"]
+    assert rows(fact.select(*same)) == rows(lake.fact_sales().select(*same))
+    resolved = registry.resolved(lake).select("invoice_timestamp", "product_id", "customer_id", "year", "month")
+    assert rows(resolved) == rows(fact.select(*resolved.columns))
+
+
+def test_a_zone_that_lies_by_month_is_rebuilt_without_a_shuffle(lake, monkeypatch):
+    asked = []
+    real = registry.sinks.rebuild_zone
+    monkeypatch.setattr(
+        registry.sinks, "rebuild_zone", lambda *a, **k: asked.append(k.get("clustered")) or real(*a, **k)
+    )
+    assert rows(registry.rebuild_zone(lake)) == rows(lake.orders_clean())
+    assert asked == [True, True]
