@@ -261,3 +261,11 @@ def test_offsets_go_on_over_the_blocks_of_a_file(spark, tmp_path):
     data = (tmp_path / "ingestion_date=2026-01-01" / "long.jsonl").read_bytes()
     assert len(found) == 80
     assert all(data[r.offset :].startswith(r.text.encode() + b"\n") for r in found)
+
+
+def test_json_lines_land_packed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "LANDED_LINES", 40)
+    path = landing.land_snapshot(spark.range(0, 100, 1, 1), str(tmp_path / "x"), "2026-01-01", "json")
+    files = [n for n in os.listdir(f"{path}/ingestion_date=2026-01-01") if n.startswith("part-")]
+    assert len(files) == 3 and all(n.endswith(".json.gz") for n in files)
+    assert scan.scan_products_json(spark, path).selectExpr("count(*)", "sum(id)").first()[:] == (100, 4950)
