@@ -95,6 +95,16 @@ def test_matches_say_what_joins_would_do(spark, lopsided, broadcast_rows):
     assert tuple(found) == (inner, left)
 
 
+def test_rows_stay_where_they_are_when_few_keys_do_not_match_once(spark, lopsided, keyed):
+    """More keys than may be broadcast, of which one is unknown, one repeated and one NULL."""
+    right = keyed.select("right_key").unionByName(spark.range(4_000, 5_000).select(F.col("id").alias("right_key")))
+    right = right.unionByName(spark.createDataFrame([(9,)], "right_key long"))
+    counted = with_matches(lopsided, right, "key", "right_key", "n", broadcast_rows=100)
+    assert rows(counted) == rows(with_matches(lopsided, right, "key", "right_key", "n"))
+    assert counted.schema["n"].dataType.typeName() == "long"
+    assert "Exchange hashpartitioning" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 3) | st.none(), st.integers(0, 50)), min_size=1, max_size=60))
 def test_numbers_equal_a_global_window(spark, tmp_path_factory, pairs):
