@@ -144,8 +144,8 @@ def _matched_amounts(
     """Amounts with the number of catalog rows their keys join, as (rows, amount, ...).
 
     ``latest_only`` counts the snapshots of a catalog row as the one row they describe.
-    Small catalogs are broadcast and no row travels. For the others rows are first reduced
-    to one per pair of keys, so that copies of a row do not travel together.
+    Pairs of keys are nearly as many as rows, so rows are not added up by them: that would fill the
+    memory of the tasks and spare nothing. Rows stay where they are, see ``with_matches``.
     """
     bounds = {"products": products.count(), "users": users.count()}
     amount = (safe_integer(F.col("quantity")) * price()).cast(FINE)
@@ -157,10 +157,6 @@ def _matched_amounts(
         amount.alias("amount"),
     )
     lines = keyed
-    if max(bounds.values()) > broadcast_rows:
-        keyed = keyed.groupBy("product_id", "customer_id", "customer_absent").agg(
-            F.sum("rows").alias("rows"), F.sum("amount").alias("amount")
-        )
     for catalog, key, out in ((products, "product_id", "products"), (users, "customer_id", "users")):
         ids = catalog.select("id")
         keyed = with_matches(keyed, ids, key, "id", out, broadcast_rows, bounds[out], lines)
