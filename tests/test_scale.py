@@ -14,8 +14,8 @@ from support import rows
 from orelode.functions.measures import exact_sum, money
 from orelode.operators.lookup import hot_keys, lookup, with_matches
 from orelode.operators.median import lower_median
-from orelode.operators.numbering import number_rows, ranks
-from orelode.operators import ranking
+from orelode.operators.numbering import number_in_files, number_rows, ranks
+from orelode.operators import gold, ranking, silver
 from orelode.operators.ranking import in_any_top, range_bounds, range_of
 from orelode.plans import analytics
 from orelode.sources import sinks
@@ -282,3 +282,33 @@ def test_ranges_split_the_distinct_values(spark):
     sizes = frame.distinct().groupBy(F.expr(range_of("double(v)", bounds)).alias("r")).count()
     assert sizes.count() >= 15 and sizes.agg(F.max("count")).first()[0] < 2 * 10_001 / 16
     assert range_bounds(frame.limit(0), ["v"], ranges=16) == {}
+
+
+def test_files_in_order_are_numbered_where_they_lie(spark, tmp_path):
+    """Nulls, ties within and between files: the numbers are those of ``number_rows``."""
+    keys = ["a", "b"]
+    order = [F.col(name).asc_nulls_last() for name in keys]
+    frame = spark.range(0, 4000, 1, 3).select(
+        F.when(F.col("id") % 5 != 0, F.col("id") % 7).alias("a"),
+        F.when(F.col("id") % 3 != 0, (F.col("id") % 4).cast("string")).alias("b"),
+    )
+    frame.repartition(1).sort(*order).write.option("maxRecordsPerFile", 37).parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    numbered = number_in_files(table, keys, "no")
+    assert rows(numbered) == rows(number_rows(frame, order, "no", str(tmp_path / "n")))
+    assert number_in_files(table.filter("false"), keys, "no").count() == 0
+    text = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange rangepartitioning" not in text and "SortMergeJoin" not in text
+
+
+def test_the_fact_is_numbered_without_a_shuffle_of_its_rows(spark, lake, tmp_path):
+    clean = lake.orders_clean()
+    fact = gold.fact_sales(clean, lake.dim_product(), lake.dim_customer(), "none", in_order=True)
+    text = fact._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange rangepartitioning" not in text and "Exchange hashpartitioning(invoice" not in text
+    # each file of the clean orders is in order, whatever wrote it
+    for file in clean.inputFiles()[::9]:
+        found = [tuple(r) for r in spark.read.parquet(file).select(*silver.LINE_ORDER).collect()]
+        assert found == sorted(found, key=lambda row: [(v is None, v) for v in row])
+    numbered = gold.fact_sales(clean, lake.dim_product(), lake.dim_customer(), str(tmp_path / "s"))
+    assert rows(numbered) == rows(fact) == rows(lake.fact_sales())

@@ -269,3 +269,13 @@ def test_json_lines_land_packed_in_files_of_bounded_length(spark, tmp_path, monk
     files = [n for n in os.listdir(f"{path}/ingestion_date=2026-01-01") if n.startswith("part-")]
     assert len(files) == 3 and all(n.endswith(".json.gz") for n in files)
     assert scan.scan_products_json(spark, path).selectExpr("count(*)", "sum(id)").first()[:] == (100, 4950)
+
+
+def test_csv_lands_packed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "LANDED_LINES", 40)
+    lines = spark.range(0, 100, 1, 1).selectExpr("cast(id AS string) AS invoiceno", "' a\"b, ' AS country")
+    path = landing.land_snapshot(lines, str(tmp_path / "x"), "2026-01-01")
+    files = [n for n in os.listdir(f"{path}/ingestion_date=2026-01-01") if n.startswith("part-")]
+    assert len(files) == 3 and all(n.endswith(".csv.gz") for n in files)
+    found = spark.read.schema("invoiceno string, country string").option("header", True).option("escape", '"').csv(path)
+    assert rows(found.drop("ingestion_date")) == rows(lines)

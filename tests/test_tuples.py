@@ -108,3 +108,17 @@ def test_queries_take_more_buckets_for_more_rows(lake, monkeypatch, query, table
     monkeypatch.setattr(tuples, "BUCKET_ROWS", 500)
     assert registry.OPERATORS[query](lake).count() > 5_000
     assert versions.last_commit(lake.spark, lake.scratch(table)).buckets > 8
+
+
+@pytest.mark.parametrize("words", [tuples.MARK_WORDS, 1])
+def test_rows_that_no_other_repeats_stay_where_they_are(spark, monkeypatch, words):
+    monkeypatch.setattr(tuples, "MARK_WORDS", words)  # with one word, many share a bit by chance
+    many = [(str(i), "x" if i % 3 else None, "d1") for i in range(300)]
+    given = FIRST + SECOND + many
+    found = tuples.distinct_tuples(spark.createDataFrame(given, SCHEMA), NAMES)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == expected(given)
+    # the rows that may be repeated are the only ones to be shuffled, after the marks were asked
+    assert text.count("Exchange hashpartitioning(a") == 1
+    assert "getbit" in text[text.index("Exchange hashpartitioning(a") :]
+    assert rows(tuples.distinct_tuples(spark.createDataFrame([], SCHEMA), NAMES)) == []
