@@ -86,3 +86,27 @@ def test_distinct_counts_of_any_months_come_from_their_sketches(lake, tmp_path):
         exact = lines.agg(F.count_distinct("invoiceno", "date_id"), F.count_distinct("invoiceno")).first()
         for estimate, true in zip(found, exact):
             assert abs(estimate - true) <= max(true * bound, 1)
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_that_are_added_up_hold_few_sums_and_the_others_do_not_travel(lake):
+    """The map side holds a row for nearly each line and grain: wide rows would not fit a task."""
+    fact, products = lake.fact_sales(), lake.dim_product()
+    text = plan(module.summary_plan(fact, products))
+    partial = [line for line in text.splitlines() if "partial_" in line and "invoiceno" in line]
+    assert len(partial) == 1 and partial[0].count("partial_sum") == 3 and "customer_id" not in partial[0]
+    assert "Exchange hashpartitioning" not in plan(module.narrow_lines(fact, products)).split("BroadcastExchange")[0]
+    assert module.narrow_lines(fact, products).count() == fact.count()
+
+
+def test_answers_move_no_rows_that_a_grain_holds(answers):
+    """Orders and countries are read where they lie, months from one table, customers by revenue alone."""
+    assert "Exchange hashpartitioning(invoiceno" not in plan(answers["q4_basket_by_country"])
+    for name in ("q3_monthly", "q3_additivity_check"):
+        assert "date_id" not in plan(answers[name])
+    ranked = [line for line in plan(answers["q5_top_customers"]).splitlines() if "Exchange hashpartitioning" in line]
+    best = [line for line in ranked if "hashpartitioning(customer_id" in line and "invoiceno" not in line]
+    assert best
