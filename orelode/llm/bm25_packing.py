@@ -8,10 +8,11 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain, count, islice
+from itertools import chain, compress, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +37,16 @@ FIRST = 64
 
 #: Texts of these characters have one composed form and one lower form for each character.
 PLAIN = re.compile(r"[\t\n\r -~¡¿«»À-ÿ]*")
-# Fixed value: how the tokenizer cuts such a text, after lowering it.
-PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
+# Fixed value: how the tokenizer cuts such a text, after lowering it. No piece spans white space;
+# a line break stands between the words that are cut together.
+PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+|\n")
 
 #: Pieces whose ids a worker remembers: under 200 MB.
 REMEMBERED = 800_000
-#: Texts, and new pieces, that are tokenised together.
-TEXTS = 1_024
+#: Texts that are tokenised together, and the bytes beyond which they are taken in halves.
+TEXTS = 2_048
+TEXT_BYTES = 16 << 20
+#: New pieces with other letters than ASCII that go through the tokenizer as one text.
 TOGETHER = 64
 
 
@@ -50,10 +54,11 @@ class Ids:
     """Ids of whole texts, as the tokenizer gives them, with the ids of pieces remembered.
 
     The tokenizer lowers letters, cuts a text into pieces by ``PIECE`` and drops white space;
-    the ids of a text are those of its pieces. Pieces are numbered as they are met; new ones go
-    through the tokenizer in one call, and their ids are told apart by the mark of a piece's end.
-    The ids of a batch are taken from one array by these numbers. Texts with characters outside of
-    ``PLAIN``, or that may hold a special token, go through it as a whole.
+    the ids of a text are those of its pieces. The distinct words of a batch are cut into pieces
+    once. Pieces are numbered as they are met; new ones go through the tokenizer in one call, and
+    their ids are told apart by the mark of a piece's end. The ids of words, then of texts, are
+    taken from arrays by these numbers. Texts with characters outside of ``PLAIN``, or that may
+    hold a special token, go through it as a whole.
     """
 
     def __init__(self, path: str):
@@ -75,53 +80,76 @@ class Ids:
 
     def forget(self) -> None:
         self.numbers: defaultdict[str, int] = defaultdict(count().__next__)
-        self.flat, self.sizes = np.empty(0, self.kind), np.empty(0, np.int32)
-        self.starts = np.empty(0, np.int32)
+        self.numbers["\n"]  # the break between words is piece 0, which has no ids
+        self.flat, self.sizes = np.empty(0, self.kind), np.zeros(1, np.int32)
+        self.starts = np.zeros(1, np.int32)
 
     def learn(self) -> None:
-        """Remembers the ids of all pieces that got a number since the last call."""
+        """Remembers the ids of all pieces that got a number since the last call.
+
+        The tokenizer writes bytes as letters before it merges them, and ASCII as it is; such
+        pieces go to the merges at once.
+        """
         new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.sizes)))[::-1]
-        lines = [" ".join(new[i : i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
-        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.concatenate([np.array(one.ids, self.kind) for one in found] or [np.empty(0, self.kind)])
-        stops = np.flatnonzero(self.last[ids]) + 1
-        if len(stops) == len(new):
-            sizes = np.diff(stops, prepend=0)
-        else:
-            own = [self.direct(piece) for piece in new]
-            ids = np.frombuffer(b"".join(own), self.kind)
-            sizes = np.array([len(raw) // self.kind.itemsize for raw in own])
+        merged = self.tokenizer.model.tokenize
+        own = [[token.id for token in merged(piece)] if piece.isascii() else None for piece in new]
+        rest = [piece for piece, found in zip(new, own) if found is None]
+        others = iter(self.others(rest))
+        own = [next(others) if found is None else found for found in own]
+        sizes = np.fromiter(map(len, own), np.int32, len(own))
+        ids = np.fromiter(chain.from_iterable(own), self.kind, sizes.sum())
         self.flat = np.concatenate([self.flat, ids])
-        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+        self.sizes = np.concatenate([self.sizes, sizes])
         self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
 
+    def others(self, new: list[str]) -> list[list[int]]:
+        """The ids of each of these pieces, by the whole tokenizer."""
+        lines = [" ".join(new[i : i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = [place for one in found for place in one.ids]
+        stops = (np.flatnonzero(self.last[ids]) + 1).tolist() if ids else []
+        if len(stops) != len(new):
+            return [self.tokenizer.encode(piece, add_special_tokens=False).ids for piece in new]
+        return [ids[a:b] for a, b in zip([0, *stops], stops)]
+
     def of(self, texts: list[str]) -> list[bytes]:
         if len(self.numbers) > REMEMBERED:
             self.forget()
-        cut = [
-            PIECE.findall(text.lower())
-            if PLAIN.fullmatch(text) and not any(special in text for special in self.specials)
-            else None
+        plain = [
+            PLAIN.fullmatch(text) is not None and not any(special in text for special in self.specials)
             for text in texts
         ]
-        until = np.cumsum([0] + [len(pieces or ()) for pieces in cut])
-        places = np.fromiter(
-            map(self.numbers.__getitem__, chain.from_iterable(filter(None, cut))), np.int32, until[-1]
-        )
+        split = pc.ascii_split_whitespace(pa.array(list(compress(texts, plain)), pa.string()))
+        words = split.flatten().dictionary_encode()
+        distinct = pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary)
+        lines = pc.binary_join(distinct, "\n")[0].as_py()
+        cut = PIECE.findall(f"{lines}\n".lower()) if len(words) else []
+        pieces = np.fromiter(map(self.numbers.__getitem__, cut), np.int32, len(cut))
         self.learn()
-        sizes = self.sizes[places]
-        stops = np.append(0, np.cumsum(sizes, dtype=np.int64))
-        # each piece's ids stand together: its start, then one on for each further id
-        steps = np.repeat(self.starts[places] - stops[:-1], sizes)
-        steps += np.arange(len(steps))
-        raw = self.flat[steps].tobytes()
-        edges = (stops[until] * self.kind.itemsize).tolist()
+        # every word ends at its break
+        flat, until = taken(self.flat, self.starts, self.sizes, pieces)
+        until = np.append(0, until[np.flatnonzero(pieces == 0) + 1])
+        raw, until = taken(flat, until[:-1], np.diff(until), words.indices.to_numpy())
+        ids = raw.tobytes()
+        edges = (until[split.value_lengths().to_numpy().cumsum()] * self.kind.itemsize).tolist()
+        runs = zip(chain((0,), edges), edges)
         return [
-            (self.direct(text) if pieces is None else raw[a:b]) + self.end
-            for text, pieces, a, b in zip(texts, cut, edges, edges[1:])
+            (ids[slice(*next(runs))] if whole else self.direct(text)) + self.end
+            for text, whole in zip(texts, plain)
         ]
 
 
+def taken(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` at these places, one after another, and where each begins and the
+    last one ends."""
+    own = sizes[places]
+    until = np.append(0, np.cumsum(own, dtype=np.int64))
+    # a run's entries stand together: its start, then one on for each further entry
+    steps = np.repeat(starts[places] - until[:-1], own)
+    steps += np.arange(len(steps))
+    return flat[steps], until
+
+
 def signature(ids: np.ndarray, orders: list[np.ndarray], places: np.ndarray) -> list[int]:
     """The first of the terms in each of two random orders of the vocabulary; texts with common
     terms tend to share them. They are given by their places in a third order: the first terms
@@ -129,10 +157,20 @@ def signature(ids: np.ndarray, orders: list[np.ndarray], places: np.ndarray) ->
     return [int(places[ids[order[ids].argmin()]]) for order in orders]
 
 
+def halved(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``TEXT_BYTES`` of text, or of one row."""
+    half = batch.num_rows // 2
+    if half and batch.column(1).nbytes > TEXT_BYTES:
+        yield from halved(batch.slice(0, half))
+        yield from halved(batch.slice(half))
+    else:
+        yield batch
+
+
 def id_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     ids = once_in_worker(f"ids of {path}", lambda: Ids(path))
     *orders, places = [np.random.default_rng(seed).permutation(len(ids.last)).astype(np.int32) for seed in (1, 2, 3)]
-    for part in slices(batches, TEXTS):
+    for part in chain.from_iterable(map(halved, slices(batches, TEXTS))):
         raw = ids.of([text or "" for text in part.column(1).to_pylist()])
         marks = [signature(np.frombuffer(r, ids.kind), orders, places) for r in raw]
         yield pa.RecordBatch.from_arrays(

@@ -4,13 +4,15 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from corpus_rows import make_docs
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from orelode.llm.bm25_packing import Ids, Shard, pack_documents, signature
+from orelode.llm import bm25_packing
+from orelode.llm.bm25_packing import PIECE, Ids, Shard, pack_documents, signature
 from orelode.llm.pareto_mix import MOST_COPIES, SHARE, WEIGHTS, mix_sources
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -84,6 +86,32 @@ def test_ids_are_those_of_the_whole_text():
     assert [np.frombuffer(raw, ids.kind).tolist() for raw in ids.of(texts)] == [ids_by_hand(t) for t in texts]
 
 
+def test_words_of_a_batch_are_cut_into_pieces_once(monkeypatch):
+    class Counting:
+        letters = 0
+
+        def findall(self, text):
+            self.letters += len(text)
+            return PIECE.findall(text)
+
+    counting = Counting()
+    monkeypatch.setattr(bm25_packing, "PIECE", counting)
+    text = "The cat's mat, \t\r\n 12 ÉCOLE\n\nthe the; "
+    ids = Ids(TOKENIZER)
+    found = ids.of([text * 40, text, "\n ", ""])
+    assert [np.frombuffer(raw, ids.kind).tolist() for raw in found] == [ids_by_hand(t) for t in (text * 40, text, "\n ", "")]
+    assert counting.letters <= 2 * len(text)
+
+
+def test_long_texts_are_tokenised_in_smaller_parts(monkeypatch):
+    monkeypatch.setattr(bm25_packing, "TEXT_BYTES", 100)
+    texts = ["a b " * 10, "", None, "c" * 500, "d", "e f " * 30]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6), pa.int64()), pa.array(texts)], ["doc", "text"])
+    parts = list(bm25_packing.halved(batch))
+    assert [text for part in parts for text in part.column(1).to_pylist()] == texts
+    assert all(part.num_rows == 1 or part.column(1).nbytes <= 100 for part in parts) and len(parts) > 2
+
+
 @pytest.mark.parametrize("window", [2048, 64])
 def test_every_id_is_in_one_piece(docs, window):
     rows = make_docs()
