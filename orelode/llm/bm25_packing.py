@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.llm.common import mapped, once_in_worker, slices, staged
@@ -181,6 +181,17 @@ def id_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         )
 
 
+def vocabulary_size(spark: SparkSession, path: str) -> int:
+    """Read by a worker, which needs the tokenizer anyway; the driver's memory is for plans."""
+
+    def count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = once_in_worker(f"ids of {path}", lambda: Ids(path))
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(ids.last)] * batch.num_rows, pa.int64())], ["size"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(count_ids, "size long").first()[0]
+
+
 def document_frequencies(batches: Iterator[pa.RecordBatch], kind: np.dtype, size: int) -> Iterator[pa.RecordBatch]:
     """Of each term of the vocabulary, the documents of this task that hold it."""
     counts = np.zeros(size, np.int64)
@@ -377,9 +388,7 @@ def pack_documents(
     documents. Texts of any length are packed whole. An empty table gives no rows; other columns
     are not read.
     """
-    from tokenizers import Tokenizer
-
-    size = Tokenizer.from_file(tokenizer).get_vocab_size()
+    size = vocabulary_size(docs.sparkSession, tokenizer)
     kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     found = staged(

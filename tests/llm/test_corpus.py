@@ -8,11 +8,13 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 from corpus_rows import make_docs
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from orelode.llm import bm25_packing
 from orelode.llm.bm25_packing import PIECE, Ids, Shard, pack_documents, signature
+from orelode.llm.common import PLAN_LENGTH, PLAN_SETTING, staged
 from orelode.llm.pareto_mix import MOST_COPIES, SHARE, WEIGHTS, mix_sources
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -199,6 +201,24 @@ def test_places_of_documents_do_not_tell_their_length():
     assert tenths.max() < 2 * tenths.mean()
 
 
+def test_driver_does_not_load_the_tokenizer(spark, monkeypatch):
+    monkeypatch.setattr("tokenizers.Tokenizer", None)
+    rows = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.length) for r in pack_documents(rows, TOKENIZER).collect()) == [(1, 3), (2, 1)]
+
+
+def test_driver_keeps_short_descriptions_of_written_plans(spark):
+    rows = spark.range(10)
+    for i in range(60):
+        rows = rows.filter(F.col("id") != 100 + i).withColumn("id", F.expr(f"id + rand({i})").cast("long"))
+    before = spark.conf.get(PLAN_SETTING)
+    staged(rows, "wide")
+    assert spark.conf.get(PLAN_SETTING) == before
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    assert len(store.executionsList().last().physicalPlanDescription()) <= PLAN_LENGTH
+
+
 def test_packing_of_nothing(no_docs):
     assert pack_documents(no_docs, TOKENIZER).collect() == []
 
