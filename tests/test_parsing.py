@@ -63,3 +63,11 @@ def test_results_do_not_depend_on_ansi_mode(spark):
         assert read(spark, parsing.safe_integer, "12.5", "7") == [None, 7]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_plain_numbers_are_read_like_others(spark):
+    values = ["7", "12.50", "123456789.123456789", "1234567890", "12\n", "12\u0085", "1.2.3", ".", "٣", "+1", "1."]
+    expected = [7.0, 12.5, 123456789.123456789, 1234567890.0, 12.0, None, None, None, None, 1.0, 1.0]
+    assert read(spark, parsing.safe_double, *values) == expected
+    text = spark.createDataFrame([], "v string").select(parsing.safe_double(F.col("v")))._jdf.queryExecution()
+    assert parsing.PLAIN_NUMBER in text.optimizedPlan().toString()

@@ -312,3 +312,11 @@ def test_the_fact_is_numbered_without_a_shuffle_of_its_rows(spark, lake, tmp_pat
         assert found == sorted(found, key=lambda row: [(v is None, v) for v in row])
     numbered = gold.fact_sales(clean, lake.dim_product(), lake.dim_customer(), str(tmp_path / "s"))
     assert rows(numbered) == rows(fact) == rows(lake.fact_sales())
+
+
+def test_clean_orders_read_each_text_once(lake):
+    """Not once for the reject rules and once more for the columns."""
+    clean = silver.silver_orders(lake.orders_tuples(), lake.spelling_list(), in_order=True)
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    for text in ("invoicedate", "quantity"):
+        assert plan.count(f"RLIKE({text}#") == 1

@@ -135,3 +135,21 @@ def test_a_rebuilt_zone_is_a_table_with_versions(spark, path):
     sinks.rebuild_zone(spark.range(3), path)
     assert sinks.rebuild_zone(spark.range(1), path).count() == 1
     assert versions.last_commit(spark, path).number == 2
+
+
+def test_rows_of_many_partitions_in_any_order_are_written_side_by_side(spark, path, monkeypatch):
+    """More partitions than are open at once; the others are sorted, and the session stays as it was."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    enter = versions._open_partitions
+
+    def watched(session, number):
+        seen.append(number)
+        return enter(session, number)
+
+    monkeypatch.setattr(versions, "_open_partitions", watched)
+    monkeypatch.setattr(versions, "OPEN_PARTITIONS", 3)
+    before = spark.conf.get(name)
+    data = spark.range(0, 200, 1, 2).selectExpr("id", "lpad(string(id % 10), 2, '0') AS month")
+    table = versions.write_table(data, path, ["month"], clustered=True, ordered=False)
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, data.collect()))
+    assert seen == [3] and spark.conf.get(name) == before
