@@ -55,3 +55,19 @@ def test_the_map_does_not_travel(spark, tmp_path):
     assert "SelectedBucketsCount: 4 out of 4" in right
     # the lines are placed by hash once; no exchange stands above the scan of the map
     assert len(re.findall(r"Exchange hashpartitioning\(key_hash[^,]*, 4\)", text)) == 1
+
+
+def test_lines_travel_once_for_their_number_and_their_id(spark, tmp_path):
+    """The buckets of the map hold the rows of a key together: telling its copies apart moves none again."""
+    data = [(i % 30, "x", f"d{i}") for i in range(90)]
+    build(spark, tmp_path, data, 0)
+    frame = spark.createDataFrame(data, SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = persistent_ids(frame, ["a", "b"], order(), str(tmp_path / "map"), str(tmp_path / "t"), 4, "id", ["day"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Window" in plan and len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    expected = {(a, day): 3 * a + copy + 1 for a in range(30) for copy, day in enumerate(sorted(f"d{i}" for i in range(a, 90, 30)))}
+    assert {(r["a"], r["day"]): r["id"] for r in found.collect()} == expected
