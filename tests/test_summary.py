@@ -110,3 +110,16 @@ def test_answers_move_no_rows_that_a_grain_holds(answers):
     ranked = [line for line in plan(answers["q5_top_customers"]).splitlines() if "Exchange hashpartitioning" in line]
     best = [line for line in ranked if "hashpartitioning(customer_id" in line and "invoiceno" not in line]
     assert best
+
+
+def test_products_meet_their_dimension_once_for_all_that_is_written(lake, tmp_path, monkeypatch):
+    """Where the dimension is too large to broadcast, the distinct keys of the fact are matched first."""
+    from orelode.operators import lookup
+
+    labels, real = [], lookup.staged
+    monkeypatch.setattr(lookup, "staged", lambda rows, label: labels.append(label) or real(rows, label))
+    made = module.sales_summary(lake.fact_sales(), lake.dim_product(), str(tmp_path / "once"), broadcast_rows=0)
+    assert labels == ["matches"]
+    plain = module.sales_summary(lake.fact_sales(), lake.dim_product(), str(tmp_path / "plain"))
+    for name in ("orders", "products", "lines"):
+        assert rows(getattr(made, name)) == rows(getattr(plain, name))
