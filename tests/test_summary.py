@@ -123,3 +123,19 @@ def test_products_meet_their_dimension_once_for_all_that_is_written(lake, tmp_pa
     plain = module.sales_summary(lake.fact_sales(), lake.dim_product(), str(tmp_path / "plain"))
     for name in ("orders", "products", "lines"):
         assert rows(getattr(made, name)) == rows(getattr(plain, name))
+
+
+def test_lines_are_added_up_once_by_day_and_once_by_customer(answers):
+    """The answers read these sums; of the lines themselves only the best customers' are looked at again."""
+    for name in ("q6_orphan_population", "q6_orphan_impact", "q6_orphan_trend", "q1_by_country"):
+        assert "line_amount" not in plan(answers[name]), name
+
+
+def test_answers_of_no_lines_are_those_of_an_empty_fact(spark, lake, tmp_path):
+    fact, dates = lake.fact_sales().filter("false"), lake.dim_date()
+    made = module.sales_summary(fact, lake.dim_product(), str(tmp_path / "none"))
+    found = module.answers(made, dates, lake.dim_product(), lake.dim_customer())
+    tables = Tables(fact, dates, lake.dim_product(), lake.dim_customer())
+    for name, question in registry.QUESTIONS.items():
+        assert rows(found[name]) == rows(question(tables)), name
+        assert found[name].dtypes == question(tables).dtypes, name
