@@ -59,7 +59,7 @@ def _scan_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """
     both = _with_camel_keys(schema)
     lines = spark.read.schema(f"value string, {schemas.INGESTION} string").text(path)
-    lines = lines.filter(F.length(F.btrim("value", F.lit(WHITE_SPACE))) > 0)
+    lines = lines.filter(~_blank())
     # The cast is by position: it gives the two spellings of a key distinct names.
     parsed = F.from_json("value", both).cast(_distinct_names(both))
     return lines.select(parsed.alias("row"), schemas.INGESTION).select(
@@ -83,7 +83,7 @@ def unreadable_lines(spark: SparkSession, path: str) -> DataFrame:
 def line_balance(spark: SparkSession, path: str) -> DataFrame:
     """Lines of each file by what became of them: blank, unreadable and readable ones add up."""
     lines = spark.read.schema(f"value string, {schemas.INGESTION} string").text(path)
-    blank = F.length(F.btrim("value", F.lit(WHITE_SPACE))) == 0
+    blank = _blank()
     counted = lines.groupBy(schemas.INGESTION, F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file")).agg(
         F.count("*").alias("lines"),
         F.count_if(blank).alias("blank"),
@@ -94,6 +94,11 @@ def line_balance(spark: SparkSession, path: str) -> DataFrame:
     return counted.withColumn("passed", balanced)
 
 
+def _blank() -> Column:
+    """Whether a line holds white space alone; the first other sign settles it, however long the line."""
+    return ~F.col("value").rlike(f"[^{WHITE_SPACE}]")
+
+
 def _readable() -> Column:
     """Whether a line is a JSON object: the parser keeps what it cannot read as it is."""
     broken = F.from_json("value", "_broken string", {"columnNameOfCorruptRecord": "_broken", "mode": "PERMISSIVE"})
@@ -122,7 +127,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_before"),
     )
     found = within.join(blocks, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
-    found = found.filter(F.length(F.btrim("value", F.lit(WHITE_SPACE))) > 0)
+    found = found.filter(~_blank())
     return found.select("file", (F.col("_before") + F.col("_within")).alias("offset"), schemas.INGESTION, "value")
 
 

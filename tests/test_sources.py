@@ -279,3 +279,11 @@ def test_csv_lands_packed_in_files_of_bounded_length(spark, tmp_path, monkeypatc
     assert len(files) == 3 and all(n.endswith(".csv.gz") for n in files)
     found = spark.read.schema("invoiceno string, country string").option("header", True).option("escape", '"').csv(path)
     assert rows(found.drop("ingestion_date")) == rows(lines)
+
+
+def test_blank_lines_are_told_by_their_first_other_sign(spark):
+    lines = ["", " \t\f\u000b\r ", " x", "x ", " ", " ", " \n ", " \n{}"]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    blank = [row[0] for row in frame.select(scan._blank()).collect()]
+    assert blank == [True, True, False, False, False, False, True, False]
+    assert "trim" not in frame.select(scan._blank())._jdf.queryExecution().optimizedPlan().toString()
